@@ -1 +1,114 @@
-"""Placeholder."""
+"""Streaming jobs over the events table, run to the end of what is there."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from creditloom.queries.decisions import ACTION, BAND, PREDICTION
+from creditloom.queries.monitoring import CHECK_NAME, CHECK_STATUS, categorical_psi_sql, numeric_psi_sql
+from creditloom.queries.registry import query
+from creditloom.session import shared_dir
+from creditloom.sources import fixtures as fx
+from creditloom.streaming import jobs
+
+T = 0.08
+PROBABILITY = "(event_id * 7919 % 1000) / 1000e0 * 0.2e0"
+
+
+def event_stream(spark, sf_dir):
+    schema = fx.table(spark, sf_dir, "events").schema
+    events = jobs.read_stream(spark, f"{sf_dir}/event[s].parquet", schema)
+    return events.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def decisions(spark, sf_dir):
+    scored = event_stream(spark, sf_dir).selectExpr("user_id", "ts", f"{PROBABILITY} AS probability")
+    return jobs.triage_stream(scored, "user_id", "probability", T, F.col("ts"))
+
+
+TRIAGE_SQL = f"""SELECT 'credit_decision_triage' AS event_type, ts AS emitted_at, user_id AS client_id, probability,
+  {PREDICTION} AS prediction, 0.08e0 AS threshold, {BAND} AS risk_band, {ACTION} AS action, true AS human_in_the_loop
+  FROM (SELECT user_id, ts, {PROBABILITY} AS probability FROM events)"""
+
+
+@query("triage_stream", f"SELECT *, action AS queue FROM ({TRIAGE_SQL})", "probability threshold")
+def triage_stream(spark, sf_dir):
+    base = shared_dir(spark, "triage")
+    jobs.run_available(jobs.queue_sink(decisions(spark, sf_dir), f"{base}/queues"), f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/queues")
+
+
+@query(
+    "latest_per_queue",
+    f"""SELECT * EXCLUDE (rn) FROM (SELECT *, action AS queue,
+          row_number() OVER (PARTITION BY action ORDER BY emitted_at DESC, client_id DESC) AS rn FROM ({TRIAGE_SQL})) WHERE rn = 1""",
+    "probability threshold",
+)
+def latest_per_queue(spark, sf_dir):
+    base = shared_dir(spark, "latest")
+    latest = jobs.latest_stream(decisions(spark, sf_dir))
+    jobs.run_available(jobs.upsert_sink(latest, f"{base}/rows"), f"{base}/checkpoint")
+    return jobs.latest_rows(spark, f"{base}/rows", ["queue"])
+
+
+@query(
+    "monitor_window",
+    f"""SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, count(*) FILTER (WHERE status = 'ok') AS ok,
+          count(*) FILTER (WHERE status = 'warn') AS warn, count(*) FILTER (WHERE status = 'fail') AS fail, count(*) AS checks
+        FROM (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, lower({CHECK_STATUS}) AS status FROM events) GROUP BY 1""",
+)
+def monitor_window(spark, sf_dir):
+    base = shared_dir(spark, "monitor")
+    checks = event_stream(spark, sf_dir).selectExpr("ts", f"{CHECK_NAME} AS name", f"lower({CHECK_STATUS}) AS status")
+    windows = jobs.monitor_window(checks, "ts", "status")
+    jobs.run_available(jobs.upsert_sink(windows, f"{base}/rows"), f"{base}/checkpoint")
+    return jobs.latest_rows(spark, f"{base}/rows", ["window_start", "window_end"])
+
+
+@query(
+    "fresh_only",
+    """SELECT event_id, ts, event_type FROM events JOIN (
+         SELECT event_type, min(ts) + INTERVAL 1 DAY * length(event_type) AS trained_at FROM events GROUP BY 1) USING (event_type)
+       WHERE trained_at >= ts - INTERVAL 24 HOUR""",
+)
+def fresh_only(spark, sf_dir):
+    base = shared_dir(spark, "fresh")
+    runs = fx.table(spark, sf_dir, "events").groupBy("event_type").agg(F.min("ts").alias("first"))
+    age = F.make_dt_interval(F.length("event_type"))
+    runs = runs.select("event_type", (F.col("first") + age).alias("trained_at"))
+    events = event_stream(spark, sf_dir).select("event_id", "ts", "event_type")
+    fresh = jobs.fresh_only(events, runs, "event_type", "ts", "trained_at")
+    jobs.run_available(jobs.append_sink(fresh, f"{base}/rows"), f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/rows").select("event_id", "ts", "event_type")
+
+
+@query("dedupe_stream", "SELECT event_id, ts, user_id, value FROM events", "value")
+def dedupe_stream(spark, sf_dir):
+    """Every event arrives once, one in five twice."""
+    base = shared_dir(spark, "dedupe")
+    events = event_stream(spark, sf_dir).select("event_id", "ts", "user_id", "value")
+    again = event_stream(spark, sf_dir).select("event_id", "ts", "user_id", "value").filter("event_id % 5 = 0")
+    once = jobs.dedupe_events(events.union(again), ["event_id"], "ts")
+    jobs.run_available(jobs.append_sink(once, f"{base}/rows"), f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/rows")
+
+
+HALF = "TIMESTAMP '2024-01-16 00:00:00'"
+OLD, NEW = (f"(SELECT value AS v FROM events WHERE ts {op} {HALF})" for op in ("<", ">="))
+OLD_TYPE, NEW_TYPE = (f"(SELECT event_type AS v FROM events WHERE ts {op} {HALF})" for op in ("<", ">="))
+
+
+@query(
+    "stream_psi",
+    f"{numeric_psi_sql('value', OLD, NEW)} UNION ALL {categorical_psi_sql('event_type', OLD_TYPE, NEW_TYPE)}",
+    "psi",
+)
+def stream_psi(spark, sf_dir):
+    base = shared_dir(spark, "psi")
+    half = F.lit("2024-01-16 00:00:00").cast("timestamp")
+    reference = fx.table(spark, sf_dir, "events").filter(F.col("ts") < half).select("value", "event_type")
+    incoming = event_stream(spark, sf_dir).filter(F.col("ts") >= half).select("value", "event_type")
+    jobs.run_available(
+        jobs.psi_sink(incoming, reference, ["value"], ["event_type"], f"{base}/rows"), f"{base}/checkpoint"
+    )
+    return jobs.latest_rows(spark, f"{base}/rows", ["feature"])

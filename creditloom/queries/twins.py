@@ -191,6 +191,8 @@ def with_ctes(body: str) -> str:
 
     visit(body)
     parts = [f"{name} AS MATERIALIZED ({CTES[name]})" for name in CTES if name in needed]
+    if body.lstrip().startswith("WITH"):
+        body = f"SELECT * FROM ({body})"
     return f"WITH {', '.join(parts)} {body}" if parts else body
 
 

@@ -25,7 +25,6 @@ def read_csv_table(
         .option("encoding", encoding)
         .option("nullValue", "")
         .option("nanValue", "NaN")
-        .option("quote", '"')
         .option("escape", '"')
     )
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
