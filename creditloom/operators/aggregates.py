@@ -140,7 +140,7 @@ def histogram(df: DataFrame, col: str, edges: Sequence[float] | None = None, bin
         cuts, count = F.array(*[F.lit(float(e)) for e in edges]), len(edges) - 1
     counts = (
         df.select(value.alias("v"), cuts.alias("cuts"))
-        .select(bin_of(F.col("v"), F.col("cuts")).alias("bin"))
+        .select(bin_of(F.col("v"), F.col("cuts"), count + 1).alias("bin"))
         .filter("bin IS NOT NULL")
         .groupBy("bin")
         .agg(F.count("*").alias("n"))
@@ -154,11 +154,17 @@ def histogram(df: DataFrame, col: str, edges: Sequence[float] | None = None, bin
     )
 
 
-def bin_of(value: Column, edges: Column) -> Column:
-    """0-based bin among sorted edges; NULL outside them."""
+def bin_of(value: Column, edges: Column, most: int) -> Column:
+    """0-based bin among at most `most` sorted edges; NULL outside them.
+
+    Plain comparisons rather than a lambda keep the expression in generated code.
+    """
     last = F.size(edges) - 1
     inside = (value >= F.get(edges, F.lit(0))) & (value <= F.get(edges, last))
-    return F.when(inside, F.least(F.size(F.filter(edges, lambda e: e <= value)), last) - 1)
+    reached = F.lit(0)
+    for i in range(most):
+        reached = reached + F.when(F.get(edges, F.lit(i)) <= value, 1).otherwise(0)
+    return F.when(inside, F.least(reached, last) - 1)
 
 
 def coverage(sources: Mapping[str, DataFrame], spine: DataFrame, key: str) -> DataFrame:

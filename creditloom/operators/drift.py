@@ -48,7 +48,7 @@ def psi_numeric(
     cuts = F.array_distinct(F.try_element_at(edges, F.col("feature")))
     counted = (
         rows.withColumn("cuts", cuts)
-        .withColumn("bin", F.when(F.size("cuts") >= 2, bin_of(F.col("value"), F.col("cuts"))))
+        .withColumn("bin", F.when(F.size("cuts") >= 2, bin_of(F.col("value"), F.col("cuts"), bins + 1)))
         .groupBy("feature", "bin")
         .agg(
             F.sum("is_ref").alias("ref"),

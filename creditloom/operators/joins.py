@@ -1,4 +1,9 @@
-"""Key joins: semi, anti, bridge, one-to-one attach, dictionary lookups."""
+"""Key joins: semi, anti, bridge, one-to-one attach, dictionary lookups.
+
+The side that only answers "does the key exist" is reduced to distinct keys first, so a
+key repeated many times there is merged before the shuffle. Spark splits a skewed key
+on the other side at run time.
+"""
 
 from __future__ import annotations
 
@@ -45,7 +50,7 @@ def require_unique(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
 
 def semi_filter(df: DataFrame, universe: DataFrame, key: str) -> DataFrame:
     """Rows whose key occurs in the universe."""
-    return df.join(universe.select(key), key, "left_semi")
+    return df.join(universe.select(key).distinct(), key, "left_semi")
 
 
 def inner_bridge(child: DataFrame, links: DataFrame, on: str, parent: str, check: bool = True) -> DataFrame:
@@ -69,11 +74,11 @@ def left_attach(
 def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Distinct non-null child keys that no parent row has."""
     keys = child.select(F.col(child_key).alias("key")).filter("key IS NOT NULL").distinct()
-    return keys.join(parent.select(F.col(parent_key).alias("key")), "key", "left_anti")
+    return keys.join(parent.select(F.col(parent_key).alias("key")).distinct(), "key", "left_anti")
 
 
 def outside_universe(df: DataFrame, universe: DataFrame, key: str) -> DataFrame:
-    return df.join(universe.select(key), key, "left_anti")
+    return df.join(universe.select(key).distinct(), key, "left_anti")
 
 
 def unequal_after_align(left: DataFrame, right: DataFrame, key: str, col: str) -> DataFrame:
@@ -139,11 +144,12 @@ def label_join(df: DataFrame, col: str, labels: DataFrame, name: str = "label")
 
 def lookup_rows(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Rows of the wanted ids; an id without a row is an error."""
-    wanted = ids.select(key).distinct()
-    absent = wanted.join(df.select(key), key, "left_anti").limit(5).collect()
+    wanted = broadcast_if_small(ids.select(key).distinct())
+    rows = df.join(wanted, key, "left_semi")
+    absent = wanted.subtract(rows.select(key)).limit(5).collect()
     if absent:
         raise KeyError(f"{key} not found: {[row[key] for row in absent]}")
-    return df.join(broadcast_if_small(wanted), key, "left_semi")
+    return rows
 
 
 def search_rows(

@@ -112,25 +112,38 @@ def _weight(df: DataFrame, spec: ModelSpec) -> Column:
     return F.when(F.col(LABEL) == 1, 0.5 / rate).otherwise(0.5 / (1.0 - rate))
 
 
+def _category_modes(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[str, int]]:
+    """Most frequent category and number of categories per column."""
+    if not cols:
+        return {}
+    counts = (
+        df.select(*cols)
+        .unpivot([], list(cols), "feature", "value")
+        .filter("value IS NOT NULL")
+        .groupBy("feature", "value")
+        .agg(F.count("*").alias("n"))
+    )
+    modes = counts.groupBy("feature").agg(
+        F.min_by("value", F.struct(-F.col("n"), "value")).alias("mode"), F.count("*").alias("categories")
+    )
+    return {r["feature"]: (r["mode"], r["categories"]) for r in modes.collect()}  # one row per column
+
+
 def fit(train: DataFrame, spec: ModelSpec, features: Sequence[str], seed: int = 42) -> FittedModel:
     """Fit one model; columns without any value in `train` are left out.
 
-    One scan finds the usable columns, the most frequent category and the category
-    counts. `train` should be a written table: each stage reads it again.
+    Category counts are grouped by (column, category), so no task holds a column's whole
+    value set. `train` should be a written table: each stage reads it again.
     """
     texts = set(text_columns(train))
     categorical = [c for c in features if c in texts]
     numeric = [c for c in features if c not in texts]
-    facts = train.agg(
-        *[F.count(c).alias(f"n_{c}") for c in features],
-        *[F.mode(c).alias(f"m_{c}") for c in categorical],
-        *[F.approx_count_distinct(c).alias(f"d_{c}") for c in categorical],
-    ).first()
-    numeric = [c for c in numeric if facts[f"n_{c}"]]
-    categorical = [c for c in categorical if facts[f"n_{c}"]]
-    fills = {c: facts[f"m_{c}"] for c in categorical}
-    # a tree needs a bin per category; the distinct count is approximate, so leave room
-    max_bins = max([32, *[int(facts[f"d_{c}"] * 1.2) + 4 for c in categorical]])
+    filled = train.agg(*[F.count(c).alias(c) for c in features]).first()
+    numeric = [c for c in numeric if filled[c]]
+    categorical = [c for c in categorical if filled[c]]
+    modes = _category_modes(train, categorical)
+    fills = {c: modes[c][0] for c in categorical}
+    max_bins = max([32, *[modes[c][1] + 2 for c in categorical]])  # a tree needs a bin per category
     data = _prepared(train, numeric, categorical, fills).withColumn("__weight", _weight(train, spec))
     started = time.perf_counter()
     stages = Pipeline(stages=[*_encoder(numeric, categorical, spec.kind), _classifier(spec, max_bins, seed)]).fit(

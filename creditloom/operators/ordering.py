@@ -3,10 +3,12 @@
 Every operator here first counts rows per *bucket*. A bucket is a fixed monotone
 function of the value (logarithmic steps, relative width 1/STEPS), so any task on
 any attempt computes the same bucket, and the number of buckets is bounded by the
-range of a double (about 2 * 710 * STEPS) however many rows there are. Bucket
-totals give each bucket's starting rank; only then are the few rows that matter
-looked at closely, with equal values collapsed to one counted row first, so a
-value shared by a third of the table costs one row.
+range of a double (about 2 * 710 * STEPS) however many rows there are. A bucket that
+holds many values, as when all values lie close together, is cut further into equal
+widths between its own smallest and largest value, in proportion to its weight: about
+CELLS cells in total. Cell totals give each cell's starting rank; only then are the
+rows that matter looked at closely, with equal values collapsed to one counted row
+first, so a value shared by a third of the table costs one row.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 STEPS = 1024.0
+CELLS = 8192
 
 
 def order_bucket(value: Column) -> Column:
@@ -24,6 +27,12 @@ def order_bucket(value: Column) -> Column:
     return F.signum(value) * F.floor(F.log1p(F.abs(value)) * F.lit(STEPS)).cast("double") + F.lit(0.0)
 
 
+def cell_in_bucket(value: Column, low: Column, high: Column, weight: Column, total: Column) -> Column:
+    """Weakly increasing cell number of a value inside its bucket [low, high]."""
+    cells = F.ceil(weight / total * F.lit(CELLS))
+    return F.when(high > low, F.floor((value - low) / (high - low) * cells)).otherwise(F.lit(0)).cast("int")
+
+
 def long_values(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """(by..., feature, value) rows of the numeric columns, missing values left out."""
     doubles = [F.col(c).cast("double").alias(c) for c in cols]
@@ -50,32 +59,48 @@ def exact_quantiles(
     before = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     counts = (
         rows.groupBy(*keys, "bucket")
-        .agg(F.count("*").alias("n"))
+        .agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
         .withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
         .withColumn("total", F.sum("n").over(Window.partitionBy(*keys)))
     )
     places = [F.lit(float(p)) * (F.col("total") - 1) for p in probs]
     ranks = F.array(*[f(place).cast("bigint") for place in places for f in (F.floor, F.ceil)])
+
+    def holding(ranks: Column, start: Column, n: Column) -> Column:
+        return F.filter(ranks, lambda r: (r >= start) & (r < start + n))
+
     wanted = (
         counts.withColumn("ranks", F.array_distinct(ranks))
-        .withColumn(
-            "ranks",
-            F.filter("ranks", lambda r: (r >= F.col("start")) & (r < F.col("start") + F.col("n"))),
-        )
+        .withColumn("ranks", holding(F.col("ranks"), F.col("start"), F.col("n")))
         .filter(F.size("ranks") > 0)
-        .select(*keys, "bucket", "start", "total", "ranks")
     )
-    if by:
-        near = rows.groupBy(*keys, "bucket", "value").agg(F.count("*").alias("c"))
-        near = near.join(wanted, [*keys, "bucket"])
-    else:
-        # at most 2 * len(probs) buckets per feature, so the broadcast side is bounded
-        near = (
-            rows.join(F.broadcast(wanted), [*keys, "bucket"])
-            .groupBy(*keys, "bucket", "start", "total", "ranks", "value")
-            .agg(F.count("*").alias("c"))
-        )
-    upto = Window.partitionBy(*keys, "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    if not by:
+        wanted = F.broadcast(wanted)  # at most 2 * len(probs) buckets per feature
+    near = (
+        rows.groupBy(*keys, "bucket", "value").agg(F.count("*").alias("c")).join(wanted, [*keys, "bucket"])
+        if by
+        else rows.join(wanted.select(*keys, "bucket"), [*keys, "bucket"])
+        .groupBy(*keys, "bucket", "value")
+        .agg(F.count("*").alias("c"))
+        .join(wanted, [*keys, "bucket"])
+    )
+    near = near.withColumn(
+        "cell", cell_in_bucket(F.col("value"), F.col("low"), F.col("high"), F.lit(1.0), F.lit(1.0))
+    )
+    here = [*keys, "bucket", "cell"]
+    ahead = Window.partitionBy(*keys, "bucket").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = (
+        near.groupBy(*here, "start", "total", "ranks")
+        .agg(F.sum("c").alias("m"))
+        .withColumn("start", F.col("start") + F.coalesce(F.sum("m").over(ahead), F.lit(0)))
+        .withColumn("ranks", holding(F.col("ranks"), F.col("start"), F.col("m")))
+        .filter(F.size("ranks") > 0)
+        .select(*here, "start", "total", "ranks")
+    )
+    if not by:
+        cells = F.broadcast(cells)  # again at most one cell per wanted rank
+    upto = Window.partitionBy(*here).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    near = near.select(*here, "value", "c").join(cells, here)
     near = near.withColumn("stop", F.col("start") + F.sum("c").over(upto))
     hits = near.select(
         *keys,
@@ -132,24 +157,42 @@ def running_totals(
         return F.col(name).desc() if descending else F.col(name).asc()
 
     names = list(measures)
-    keyed = df.filter(F.col(value).isNotNull()).withColumn(
-        "__bucket", order_bucket(F.col(value).cast("double"))
+    where = [*by, "__bucket", "__cell"]
+    per_value = (
+        df.filter(F.col(value).isNotNull())
+        .withColumn("__bucket", order_bucket(F.col(value).cast("double")))
+        .groupBy(*by, "__bucket", value)
+        .agg(*[F.sum(c).alias(m) for m, c in measures.items()])
+    )
+    spans = per_value.groupBy(*by, "__bucket").agg(
+        F.count("*").alias("__n"),
+        F.min(F.col(value).cast("double")).alias("__low"),
+        F.max(F.col(value).cast("double")).alias("__high"),
+    )
+    spans = spans.withColumn("__all", F.sum("__n").over(Window.partitionBy(*by)))
+    if not by:
+        spans = F.broadcast(spans)  # bounded by the number of buckets
+    cell = cell_in_bucket(
+        F.col(value).cast("double"), F.col("__low"), F.col("__high"), F.col("__n"), F.col("__all")
     )
-    per_value = keyed.groupBy(*by, "__bucket", value).agg(*[F.sum(c).alias(m) for m, c in measures.items()])
-    before = Window.partitionBy(*by).orderBy(order("__bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = keyed.groupBy(*by, "__bucket").agg(*[F.sum(c).alias(f"__{m}") for m, c in measures.items()])
+    placed = per_value.join(spans, [*by, "__bucket"]).select(
+        *by, "__bucket", cell.alias("__cell"), value, *names
+    )
+    before = (
+        Window.partitionBy(*by)
+        .orderBy(order("__bucket"), order("__cell"))
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    offsets = placed.groupBy(*where).agg(*[F.sum(m).alias(f"__{m}") for m in names])
     offsets = offsets.select(
-        *by,
-        "__bucket",
+        *where,
         *[F.coalesce(F.sum(f"__{m}").over(before), F.lit(0)).alias(f"__off_{m}") for m in names],
         *[F.sum(f"__{m}").over(Window.partitionBy(*by)).alias(f"total_{m}") for m in names],
     )
     if not by:
-        offsets = F.broadcast(offsets)  # bounded by the number of buckets
-    inside = (
-        Window.partitionBy(*by, "__bucket").orderBy(order(value)).rowsBetween(Window.unboundedPreceding, 0)
-    )
-    return per_value.join(offsets, [*by, "__bucket"]).select(
+        offsets = F.broadcast(offsets)  # bounded by the number of buckets plus CELLS
+    inside = Window.partitionBy(*where).orderBy(order(value)).rowsBetween(Window.unboundedPreceding, 0)
+    return placed.join(offsets, where).select(
         *by,
         value,
         *names,
@@ -161,44 +204,21 @@ def running_totals(
 def rank_by(df: DataFrame, metric: str, key: str, descending: bool = True) -> DataFrame:
     """Position of every row in the metric's order, ties by the numeric unique `key`.
 
-    Rows are numbered inside (metric value, key bucket) cells, so neither the whole
-    table nor one heavily shared metric value is ordered by a single task. Rows whose
-    metric is null are left out, as a rank needs a value.
+    Running totals give the first rank of each metric value. Rows of one value are
+    numbered inside key buckets, so neither the whole table nor one heavily shared
+    value is ordered by a single task. Rows without a metric get no rank and are left out.
     """
-    rows = df.filter(F.col(metric).isNotNull()).withColumn("__cell", order_bucket(F.col(key).cast("double")))
-    bucket = order_bucket(F.col(metric).cast("double"))
-    direction = -1 if descending else 1
-    cells = (
-        rows.groupBy(metric, "__cell")
-        .agg(F.count("*").alias("__n"))
-        .withColumn("__bucket", bucket * direction)
-        .withColumn("__ordered", F.col(metric).cast("double") * direction)
-    )
-    sizes = rows.groupBy((bucket * direction).alias("__bucket")).agg(F.count("*").alias("__size"))
-    starts = sizes.select(
-        "__bucket",
-        F.coalesce(
-            F.sum("__size").over(
-                Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-            ),
-            F.lit(0),
-        ).alias("__start"),
-    )
-    inside = (
-        Window.partitionBy("__bucket")
-        .orderBy("__ordered", "__cell")
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    placed = cells.join(F.broadcast(starts), "__bucket").select(
-        F.col(metric),
-        "__cell",
-        (F.col("__start") + F.sum("__n").over(inside) - F.col("__n")).alias("__before"),
-    )
-    within = Window.partitionBy(metric, "__cell").orderBy(key)
-    return (
-        rows.join(placed, [metric, "__cell"])
-        .withColumn("rank", F.col("__before") + F.row_number().over(within))
-        .select(*df.columns, "rank")
+    rows = df.filter(F.col(metric).isNotNull()).withColumn("__keys", order_bucket(F.col(key).cast("double")))
+    values = running_totals(rows, metric, {"n": F.lit(1)}, descending=descending)
+    ahead = Window.partitionBy(metric).orderBy("__keys").rowsBetween(Window.unboundedPreceding, -1)
+    groups = rows.groupBy(metric, "__keys").agg(F.count("*").alias("__m"))
+    groups = groups.withColumn("__ahead", F.coalesce(F.sum("__m").over(ahead), F.lit(0)))
+    starts = groups.join(
+        values.select(metric, (F.col("cum_n") - F.col("n")).alias("__start")), metric
+    ).select(metric, "__keys", (F.col("__start") + F.col("__ahead")).alias("__start"))
+    within = Window.partitionBy(metric, "__keys").orderBy(key)
+    return rows.join(starts, [metric, "__keys"]).select(
+        *df.columns, (F.col("__start") + F.row_number().over(within)).alias("rank")
     )
 
 
@@ -251,8 +271,11 @@ def quantile_bands(df: DataFrame, col: str, most: int = 10, missing: str = "Não
         probs = [i / bands for i in range(bands + 1)]
         df = df.withColumn("__edges", F.array_distinct(quantile_lookup(df, [col], probs)[col]))
         edges = F.col("__edges")
-        inner = F.slice(edges, F.lit(2), F.size(edges) - 2)
-        band = F.when(known, F.size(F.filter(inner, lambda e: e < value)))
+        above = F.lit(0)
+        for i in range(1, bands):
+            is_inner = F.lit(i) < F.size(edges) - 1
+            above = above + F.when(is_inner & (F.get(edges, F.lit(i)) < value), 1).otherwise(0)
+        band = F.when(known, above)
         lo, hi = F.get(edges, band), F.get(edges, band + 1)
     out = df.withColumn("band", band.cast("int"))
     out = out.withColumn("band_lo", floor_at_zero(lo)).withColumn("band_hi", floor_at_zero(hi))

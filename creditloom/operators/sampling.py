@@ -1,6 +1,6 @@
 """Deterministic samples and splits by the md5 order of a unique key.
 
-Rows are never sorted as a whole. Counting rows per leading hash digits (4096 even
+Rows are never sorted as a whole. Counting rows per leading hash digits (65536 even
 slices per class) tells which slice holds the wanted cut; only that slice is ordered
 to find the exact cut hash, and membership is then a comparison with it in a map-only
 pass. Class sizes do not matter: no task ever holds a whole class.
@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SLICE_DIGITS = 3
+SLICE_DIGITS = 4
 
 
 def hash_order(key: str, seed: int) -> Column:

@@ -130,12 +130,18 @@ def portfolio_benchmark(portfolio: DataFrame, clients: DataFrame, key: str, feat
 def apply_overrides(df: DataFrame, scenarios: DataFrame, key: str) -> DataFrame:
     """Replace values by (client_id, feature, value) scenario rows.
 
-    Features the table lacks are ignored. The scenario table becomes one wide row per
-    client, joined once.
+    Features the table lacks are ignored; of several values for one feature the largest
+    text counts. The scenario table becomes one row per client, holding at most one entry
+    per feature, and is joined once.
     """
     features = [c for c in df.columns if c != key]
-    wide = scenarios.filter(F.col("feature").isin(*features)).groupBy(F.col("client_id").alias(key)).agg(
-        F.map_from_entries(F.collect_set(F.struct("feature", "value"))).alias("__new")
+    asked = (
+        scenarios.filter(F.col("feature").isin(*features))
+        .groupBy(F.col("client_id").alias(key), "feature")
+        .agg(F.max("value").alias("value"))
+    )
+    wide = asked.groupBy(key).agg(
+        F.map_from_entries(F.collect_list(F.struct("feature", "value"))).alias("__new")
     )
     joined = df.join(wide, key, "left")
     changed = {}
@@ -163,7 +169,7 @@ def override_diff(original: DataFrame, scored: DataFrame, scenarios: DataFrame,
     """(key, overrides): map feature -> (original, applied) for overrides that changed a value."""
     features = [c for c in original.columns if c != key and c in scored.columns]
     asked = scenarios.filter(F.col("feature").isin(*features)).groupBy(F.col("client_id").alias(key)).agg(
-        F.collect_set("feature").alias("__asked")
+        F.collect_set("feature").alias("__asked")  # at most one entry per column
     )
 
     def texts(df: DataFrame, name: str) -> DataFrame:

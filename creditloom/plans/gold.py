@@ -1,8 +1,10 @@
 """Clean tables -> one row per client.
 
-Each history is cut to the client universe by a semi join, aggregated per client with
-partial aggregation before the shuffle, and attached to the application by a left join
-on the client key. All shuffles are on that key except the contract-level steps.
+Each history is aggregated per client and then cut to the client universe. Aggregating
+first gives the same rows and lets every task merge its rows per client before the
+shuffle; a semi join ahead of it would shuffle the raw history and gather a client that
+owns much of it in one task. The cut and the left join onto the application work on one
+row per client, already placed by the aggregate's shuffle.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ OVERDUE_STATUS = ("1", "2", "3", "4", "5")
 
 
 def _of_universe(df: DataFrame, universe: DataFrame | None) -> DataFrame:
+    """Rows of known clients; without a universe the later left join drops the others."""
     return df if universe is None else semi_filter(df, universe, CLIENT)
 
 
@@ -33,7 +36,7 @@ def _is(col: str, value: str):
 
 def aggregate_bureau(bureau: DataFrame, universe: DataFrame | None = None) -> DataFrame:
     out = named_agg(
-        _of_universe(bureau, universe),
+        bureau,
         [CLIENT],
         {
             "BUREAU_CNT_CREDITS": ("SK_ID_BUREAU", "count"),
@@ -50,7 +53,7 @@ def aggregate_bureau(bureau: DataFrame, universe: DataFrame | None = None) -> Da
             "BUREAU_DAYS_CREDIT_MIN": ("DAYS_CREDIT", "min"),
         },
     )
-    return out.withColumn("HAS_BUREAU", F.lit(1))
+    return _of_universe(out, universe).withColumn("HAS_BUREAU", F.lit(1))
 
 
 def aggregate_bureau_balance(
@@ -58,8 +61,7 @@ def aggregate_bureau_balance(
 ) -> DataFrame:
     """Months -> contract -> client.
 
-    Months shrink to one row per contract before the bridge join, and the bridge is cut to
-    the universe first, so contracts of other clients never reach the client level.
+    Months shrink to one row per contract before the bridge join.
     """
     per_contract = named_agg(
         balance,
@@ -71,7 +73,7 @@ def aggregate_bureau_balance(
             "unknown": (_is("STATUS", "X"), "sum"),
         },
     ).withColumn("overdue_rate", safe_ratio(F.col("overdue"), F.col("months")))
-    bridged = inner_bridge(per_contract, _of_universe(links, universe), "SK_ID_BUREAU", CLIENT, check)
+    bridged = inner_bridge(per_contract, links, "SK_ID_BUREAU", CLIENT, check)
     out = named_agg(
         bridged,
         [CLIENT],
@@ -85,12 +87,12 @@ def aggregate_bureau_balance(
             "BB_CONTRACTS_WITH_OVERDUE": ("overdue", "count_positive"),
         },
     )
-    return out.withColumn("HAS_BUREAU_BALANCE", F.lit(1))
+    return _of_universe(out, universe).withColumn("HAS_BUREAU_BALANCE", F.lit(1))
 
 
 def aggregate_pos_cash(pos: DataFrame, universe: DataFrame | None = None) -> DataFrame:
     out = named_agg(
-        _of_universe(pos, universe),
+        pos,
         [CLIENT],
         {
             "POS_CNT_MONTHS": ("MONTHS_BALANCE", "count"),
@@ -100,7 +102,7 @@ def aggregate_pos_cash(pos: DataFrame, universe: DataFrame | None = None) -> Dat
             "POS_CNT_CONTRACTS": ("SK_ID_PREV", "nunique"),
         },
     )
-    return out.withColumns(
+    return _of_universe(out, universe).withColumns(
         {
             "POS_RATE_DPD": safe_ratio(F.col("POS_CNT_DPD_GT0"), F.col("POS_CNT_MONTHS")),
             "HAS_POS_CASH": F.lit(1),
@@ -111,7 +113,7 @@ def aggregate_pos_cash(pos: DataFrame, universe: DataFrame | None = None) -> Dat
 def aggregate_credit_card(card: DataFrame, universe: DataFrame | None = None) -> DataFrame:
     usage = safe_ratio(F.col("AMT_BALANCE"), F.col("AMT_CREDIT_LIMIT_ACTUAL"))
     out = named_agg(
-        _of_universe(card, universe),
+        card,
         [CLIENT],
         {
             "CC_CNT_MONTHS": ("MONTHS_BALANCE", "count"),
@@ -126,7 +128,7 @@ def aggregate_credit_card(card: DataFrame, universe: DataFrame | None = None) ->
             "CC_CNT_DRAWINGS_ATM_SUM": ("CNT_DRAWINGS_ATM_CURRENT", "sum"),
         },
     )
-    return out.withColumns(
+    return _of_universe(out, universe).withColumns(
         {
             "CC_RATE_DPD": safe_ratio(F.col("CC_CNT_DPD_GT0"), F.col("CC_CNT_MONTHS")),
             "HAS_CREDIT_CARD": F.lit(1),
@@ -137,7 +139,7 @@ def aggregate_credit_card(card: DataFrame, universe: DataFrame | None = None) ->
 def aggregate_previous_application(previous: DataFrame, universe: DataFrame | None = None) -> DataFrame:
     status = "NAME_CONTRACT_STATUS"
     out = named_agg(
-        _of_universe(previous, universe),
+        previous,
         [CLIENT],
         {
             "PREV_CNT_APPS": ("SK_ID_PREV", "count"),
@@ -150,7 +152,7 @@ def aggregate_previous_application(previous: DataFrame, universe: DataFrame | No
             "PREV_DAYS_DECISION_MIN": ("DAYS_DECISION", "min"),
         },
     )
-    return out.withColumns(
+    return _of_universe(out, universe).withColumns(
         {
             "PREV_APPROVAL_RATE": safe_ratio(F.col("PREV_CNT_APPROVED"), F.col("PREV_CNT_APPS")),
             "PREV_REFUSAL_RATE": safe_ratio(F.col("PREV_CNT_REFUSED"), F.col("PREV_CNT_APPS")),
@@ -162,7 +164,7 @@ def aggregate_previous_application(previous: DataFrame, universe: DataFrame | No
 def aggregate_installments(payments: DataFrame, universe: DataFrame | None = None) -> DataFrame:
     """Split payments collapse to one row per instalment before the client level."""
     instalments = named_agg(
-        _of_universe(payments, universe),
+        payments,
         ["SK_ID_PREV", CLIENT, "NUM_INSTALMENT_NUMBER"],
         {
             "due": ("AMT_INSTALMENT", "max"),
@@ -186,7 +188,7 @@ def aggregate_installments(payments: DataFrame, universe: DataFrame | None = Non
         },
     )
     count = F.col("INST_CNT_PARCELAS")
-    return out.withColumns(
+    return _of_universe(out, universe).withColumns(
         {
             "INST_PAYMENT_RATIO": safe_ratio(F.col("INST_AMT_PAYMENT_SUM"), F.col("INST_AMT_INSTALMENT_SUM")),
             "INST_RATE_ATRASO": safe_ratio(F.col("INST_CNT_ATRASO"), count),

@@ -36,43 +36,47 @@ def clean_bureau(spark, sf_dir):
     return silver.clean_bureau(fx.raw_bureau(spark, sf_dir))
 
 
+def whole(spark, sf_dir):
+    """No universe: the join onto the application cuts the clients."""
+
+
 def universe(spark, sf_dir):
     return fx.raw_application(spark, sf_dir).select(gold.CLIENT)
 
 
 @query("agg_bureau", "SELECT * FROM agg_bureau", BUREAU)
-def agg_bureau(spark, sf_dir):
-    return gold.aggregate_bureau(clean_bureau(spark, sf_dir), universe(spark, sf_dir))
+def agg_bureau(spark, sf_dir, clients=universe):
+    return gold.aggregate_bureau(clean_bureau(spark, sf_dir), clients(spark, sf_dir))
 
 
 @query("agg_bureau_balance", "SELECT * FROM agg_bureau_balance", BALANCE)
-def agg_bureau_balance(spark, sf_dir):
+def agg_bureau_balance(spark, sf_dir, clients=universe):
     balance = silver.clean_bureau_balance(fx.raw_bureau_balance(spark, sf_dir))
     links = fx.raw_bureau(spark, sf_dir).select("SK_ID_BUREAU", gold.CLIENT)
-    return gold.aggregate_bureau_balance(balance, links, universe(spark, sf_dir), check=False)
+    return gold.aggregate_bureau_balance(balance, links, clients(spark, sf_dir), check=False)
 
 
 @query("agg_pos_cash", "SELECT * FROM agg_pos_cash", POS)
-def agg_pos_cash(spark, sf_dir):
-    return gold.aggregate_pos_cash(silver.clean_pos_cash(fx.raw_pos_cash(spark, sf_dir)), universe(spark, sf_dir))
+def agg_pos_cash(spark, sf_dir, clients=universe):
+    return gold.aggregate_pos_cash(silver.clean_pos_cash(fx.raw_pos_cash(spark, sf_dir)), clients(spark, sf_dir))
 
 
 @query("agg_credit_card", "SELECT * FROM agg_credit_card", CARD)
-def agg_credit_card(spark, sf_dir):
+def agg_credit_card(spark, sf_dir, clients=universe):
     card = silver.clean_credit_card(fx.raw_credit_card(spark, sf_dir))
-    return gold.aggregate_credit_card(card, universe(spark, sf_dir))
+    return gold.aggregate_credit_card(card, clients(spark, sf_dir))
 
 
 @query("agg_previous", "SELECT * FROM agg_previous", PREVIOUS)
-def agg_previous(spark, sf_dir):
+def agg_previous(spark, sf_dir, clients=universe):
     previous = silver.clean_previous_application(fx.raw_previous_application(spark, sf_dir))
-    return gold.aggregate_previous_application(previous, universe(spark, sf_dir))
+    return gold.aggregate_previous_application(previous, clients(spark, sf_dir))
 
 
 @query("agg_installments", "SELECT * FROM agg_installments", INSTALMENTS)
-def agg_installments(spark, sf_dir):
+def agg_installments(spark, sf_dir, clients=universe):
     payments = silver.clean_installments(fx.raw_installments(spark, sf_dir))
-    return gold.aggregate_installments(payments, universe(spark, sf_dir))
+    return gold.aggregate_installments(payments, clients(spark, sf_dir))
 
 
 AGGREGATES = {
@@ -96,5 +100,5 @@ AGGREGATES = {
 )
 def abt(spark, sf_dir):
     """Every side is grouped by the client key in this plan, so its keys are unique."""
-    sides = {name: build(spark, sf_dir) for name, build in AGGREGATES.items()}
+    sides = {name: build(spark, sf_dir, whole) for name, build in AGGREGATES.items()}
     return gold.build_abt(application(spark, sf_dir), sides, check=False)
