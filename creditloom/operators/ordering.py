@@ -158,13 +158,11 @@ def running_totals(
 
     names = list(measures)
     where = [*by, "__bucket", "__cell"]
-    per_value = (
-        df.filter(F.col(value).isNotNull())
-        .withColumn("__bucket", order_bucket(F.col(value).cast("double")))
-        .groupBy(*by, "__bucket", value)
-        .agg(*[F.sum(c).alias(m) for m, c in measures.items()])
+    rows = df.filter(F.col(value).isNotNull()).withColumn(
+        "__bucket", order_bucket(F.col(value).cast("double"))
     )
-    spans = per_value.groupBy(*by, "__bucket").agg(
+    per_value = rows.groupBy(*by, "__bucket", value).agg(*[F.sum(c).alias(m) for m, c in measures.items()])
+    spans = rows.groupBy(*by, "__bucket").agg(
         F.count("*").alias("__n"),
         F.min(F.col(value).cast("double")).alias("__low"),
         F.max(F.col(value).cast("double")).alias("__high"),
