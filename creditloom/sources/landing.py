@@ -9,9 +9,15 @@ from pyspark.sql import functions as F
 
 
 def landed_files(spark: SparkSession, path: str) -> DataFrame:
-    """(file, length) of the files under a folder; contents are not read."""
+    """(file, length) of the files under a folder; contents are not read.
+
+    A scan skips empty files, so the names come from the file index the scan planned with.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "length")
+    name = F.element_at(F.split("path", "/"), -1).alias("file")
+    names = spark.createDataFrame([(f,) for f in files.inputFiles()], "path string").select(name)
+    sizes = files.select(name, "length")
+    return names.join(sizes, "file", "left").select("file", F.coalesce("length", F.lit(0)).alias("length"))
 
 
 def audit_landing(spark: SparkSession, manifest: Sequence[str], path: str) -> DataFrame:
