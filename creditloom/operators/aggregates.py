@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditloom.functions import safe_ratio, sum_or_zero
-from creditloom.operators.ordering import exact_quantiles, long_values, quantile_lookup
+from creditloom.operators.ordering import exact_quantiles, long_values, quantile_values
 
 FUNCTIONS = {
     "count": F.count,
@@ -115,8 +115,10 @@ def moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
             F.when(n > 2, F.skewness("value") * F.sqrt(n * (n - 1)) / (n - 2)).alias("skew"),
         )
     )
-    medians = quantile_lookup(df, cols, [0.5])
-    return shape.withColumn("median", medians[F.col("feature")][0]).select("feature", "mean", "median", "skew")
+    medians = F.lit(None).cast("double")
+    for feature, (median,) in quantile_values(df, cols, [0.5]).items():
+        medians = F.when(F.col("feature") == feature, F.lit(median)).otherwise(medians)
+    return shape.select("feature", "mean", medians.alias("median"), "skew")
 
 
 def histogram(df: DataFrame, col: str, edges: Sequence[float] | None = None, bins: int = 10) -> DataFrame:
@@ -127,44 +129,31 @@ def histogram(df: DataFrame, col: str, edges: Sequence[float] | None = None, bin
     """
     value = F.col(col).cast("double")
     if edges is None:
-        span = df.agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
-        flat = F.col("lo") == F.col("hi")
-        span = span.select(
-            F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
-            F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
-        ).select(
-            F.array(*[F.col("lo") + (F.col("hi") - F.col("lo")) * F.lit(i / bins) for i in range(bins)], "hi")
-        )
-        cuts, count = span.scalar(), bins
-    else:
-        cuts, count = F.array(*[F.lit(float(e)) for e in edges]), len(edges) - 1
+        span = df.agg(F.min(value).alias("lo"), F.max(value).alias("hi")).first()
+        if span["lo"] is None:
+            raise ValueError(f"{col} has no values")
+        lo, hi = (span["lo"], span["hi"]) if span["lo"] < span["hi"] else (span["lo"] - 0.5, span["hi"] + 0.5)
+        edges = [lo + (hi - lo) * (i / bins) for i in range(bins)] + [hi]
+    edges = [float(e) for e in edges]
     counts = (
-        df.select(value.alias("v"), cuts.alias("cuts"))
-        .select(bin_of(F.col("v"), F.col("cuts"), count + 1).alias("bin"))
-        .filter("bin IS NOT NULL")
-        .groupBy("bin")
-        .agg(F.count("*").alias("n"))
+        df.select(bin_of(value, edges).alias("bin")).filter("bin >= 0").groupBy("bin").agg(F.count("*").alias("n"))
     )
-    frame = df.sparkSession.range(count).select(F.col("id").cast("int").alias("bin"))
-    return frame.join(counts, "bin", "left").select(
-        "bin",
-        F.get(cuts, F.col("bin")).alias("lo"),
-        F.get(cuts, F.col("bin") + 1).alias("hi"),
-        F.coalesce("n", F.lit(0)).alias("n"),
+    frame = df.sparkSession.createDataFrame(
+        [(i, edges[i], edges[i + 1]) for i in range(len(edges) - 1)], "bin int, lo double, hi double"
+    )
+    return frame.join(F.broadcast(counts), "bin", "left").select(  # one row per bin: bounded
+        "bin", "lo", "hi", F.coalesce("n", F.lit(0)).alias("n")
     )
 
 
-def bin_of(value: Column, edges: Column, most: int) -> Column:
-    """0-based bin among at most `most` sorted edges; NULL outside them.
-
-    Plain comparisons rather than a lambda keep the expression in generated code.
-    """
-    last = F.size(edges) - 1
-    inside = (value >= F.get(edges, F.lit(0))) & (value <= F.get(edges, last))
+def bin_of(value: Column, edges: Sequence[float]) -> Column:
+    """0-based bin among sorted edges, -1 outside them; missing stays missing."""
     reached = F.lit(0)
-    for i in range(most):
-        reached = reached + F.when(F.get(edges, F.lit(i)) <= value, 1).otherwise(0)
-    return F.when(inside, F.least(reached, last) - 1)
+    for edge in edges:
+        reached = reached + (value >= F.lit(edge)).cast("int")
+    inside = value.between(F.lit(edges[0]), F.lit(edges[-1]))
+    known = value.isNotNull() & ~F.isnan(value)
+    return F.when(known, F.when(inside, F.least(reached, F.lit(len(edges) - 1)) - 1).otherwise(-1))
 
 
 def coverage(sources: Mapping[str, DataFrame], spine: DataFrame, key: str) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from creditloom.functions import cap_above, floor_below, null_when, parse_money, strip_upper, to_number
-from creditloom.operators.ordering import quantile_lookup
+from creditloom.operators.ordering import quantile_values
 
 # Fixed values of the domain.
 EMPLOYED_SENTINEL = 365243
@@ -90,13 +90,17 @@ def floor_zero(df: DataFrame, cols: Iterable[str]) -> DataFrame:
 
 
 def cap_percentile(df: DataFrame, cols: Sequence[str], percent: float = 99.9) -> DataFrame:
-    """Clip each column at its own exact percentile, all columns in one pair of scans."""
+    """Clip each column at its own exact percentile.
+
+    Finding the percentiles runs jobs over these columns, all together; a column without
+    any number keeps its values.
+    """
     names = present(df, cols)
     if not names:
         return df
     numbers = df.select(*[to_number(F.col(c)).alias(c) for c in names])
-    caps = quantile_lookup(numbers, names, [percent / 100.0])
-    return df.withColumns({c: cap_above(to_number(F.col(c)), caps[c][0]) for c in names})
+    caps = quantile_values(numbers, names, [percent / 100.0])
+    return df.withColumns({c: cap_above(to_number(F.col(c)), F.lit(cap)) for c, (cap,) in caps.items()})
 
 
 def fill_zero(df: DataFrame, cols: Iterable[str]) -> DataFrame:

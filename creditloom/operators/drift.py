@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from creditloom.functions import is_fresh
 from creditloom.operators.aggregates import bin_of
-from creditloom.operators.ordering import long_values, quantile_lookup
+from creditloom.operators.ordering import quantile_values
 
 # Fixed values of the monitoring contract.
 PSI_WARN, PSI_FAIL = 0.10, 0.25
@@ -34,53 +34,62 @@ def _sided(reference: DataFrame, actual: DataFrame) -> DataFrame:
     return reference.withColumn("is_ref", F.lit(1)).unionByName(actual.withColumn("is_ref", F.lit(0)))
 
 
+def reference_edges(reference: DataFrame, features: Sequence[str], bins: int = 10) -> dict[str, list[float]]:
+    """Distinct quantile edges of the reference per feature; a feature without values has none."""
+    found = quantile_values(reference, features, [i / bins for i in range(bins + 1)])
+    return {feature: list(dict.fromkeys(values)) for feature, values in found.items()}
+
+
 def psi_numeric(
-    reference: DataFrame, actual: DataFrame, features: Sequence[str], bins: int = 10
+    reference: DataFrame,
+    actual: DataFrame,
+    features: Sequence[str],
+    bins: int = 10,
+    edges: Mapping[str, Sequence[float]] | None = None,
 ) -> DataFrame:
     """(feature, psi) over the reference's quantile bins.
 
     Values outside the reference range count nowhere. No values on one side gives NULL,
     fewer than two distinct edges gives 0. Both tables are binned and counted in one
-    pass; only bin counts are shuffled.
+    pass; only bin counts are shuffled. Edges of an earlier call can be passed in.
     """
-    edges = quantile_lookup(reference, features, [i / bins for i in range(bins + 1)])
-    rows = _sided(long_values(reference, features), long_values(actual, features))
-    cuts = F.array_distinct(F.try_element_at(edges, F.col("feature")))
-    counted = (
-        rows.withColumn("cuts", cuts)
-        .withColumn("bin", F.when(F.size("cuts") >= 2, bin_of(F.col("value"), F.col("cuts"), bins + 1)))
-        .groupBy("feature", "bin")
-        .agg(
-            F.sum("is_ref").alias("ref"),
-            F.sum(1 - F.col("is_ref")).alias("act"),
-            F.max(F.size("cuts")).alias("edges"),
-        )
+    if edges is None:
+        edges = reference_edges(reference, features, bins)
+
+    def binned(df: DataFrame) -> DataFrame:
+        columns = []
+        for feature in features:
+            value, cuts = F.col(feature).cast("double"), edges.get(feature, ())
+            known = value.isNotNull() & ~F.isnan(value)
+            bin_ = bin_of(value, cuts) if len(cuts) >= 2 else F.when(known, F.lit(-1))
+            columns.append(bin_.alias(feature))
+        return df.select(*columns).unpivot([], list(features), "feature", "bin").filter("bin IS NOT NULL")
+
+    counted = _sided(binned(reference), binned(actual)).groupBy("feature", "bin").agg(
+        F.sum("is_ref").alias("ref"), F.sum(1 - F.col("is_ref")).alias("act")
     )
+    inside = F.col("bin") >= 0
     per_feature = counted.groupBy("feature").agg(
         F.sum("ref").alias("ref_rows"),
         F.sum("act").alias("act_rows"),
-        F.sum(F.when(F.col("bin").isNotNull(), F.col("ref"))).alias("ref_total"),
-        F.sum(F.when(F.col("bin").isNotNull(), F.col("act"))).alias("act_total"),
-        F.max("edges").alias("edges"),
-        F.collect_list(F.when(F.col("bin").isNotNull(), F.struct("ref", "act"))).alias("filled"),
+        F.coalesce(F.sum(F.when(inside, F.col("ref"))), F.lit(0)).alias("ref_total"),
+        F.coalesce(F.sum(F.when(inside, F.col("act"))), F.lit(0)).alias("act_total"),
+        F.collect_list(F.when(inside, F.struct("ref", "act"))).alias("filled"),  # one entry per bin
     )
     # a bin empty on both sides has equal shares and adds nothing
     terms = F.aggregate(
         "filled",
         F.lit(0.0),
         lambda acc, b: acc
-        + _psi_term(
-            _share(b["ref"], F.coalesce("ref_total", F.lit(0))),
-            _share(b["act"], F.coalesce("act_total", F.lit(0))),
-        ),
+        + _psi_term(_share(b["ref"], F.col("ref_total")), _share(b["act"], F.col("act_total"))),
     )
+    flat = [f for f in features if len(edges.get(f, ())) < 2]
     psi = (
         F.when((F.col("ref_rows") == 0) | (F.col("act_rows") == 0), F.lit(None).cast("double"))
-        .when(F.col("edges") < 2, 0.0)
+        .when(F.col("feature").isin(flat), 0.0)
         .otherwise(terms)
     )
-    names = F.array(*[F.lit(f) for f in features])
-    wanted = reference.sparkSession.range(1).select(F.explode(names).alias("feature"))
+    wanted = reference.sparkSession.createDataFrame([(f,) for f in features], "feature string")
     return wanted.join(per_feature.select("feature", psi.alias("psi")), "feature", "left")
 
 

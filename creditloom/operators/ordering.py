@@ -13,13 +13,16 @@ first, so a value shared by a third of the table costs one row.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 STEPS = 1024.0
 CELLS = 8192
+SMALL = 1_000_000
 
 
 def order_bucket(value: Column) -> Column:
@@ -46,14 +49,142 @@ def long_values(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> D
     return rows.filter(keep)
 
 
+def _holding(ranks: Column, start: Column, n: Column) -> Column:
+    return F.filter(ranks, lambda r: (r >= start) & (r < start + n))
+
+
+def _interpolated(at: Mapping[int, float], total: int, p: float) -> float:
+    place = float(p) * (total - 1)
+    low, high = at[math.floor(place)], at[math.ceil(place)]
+    return low if low == high else low + (high - low) * (place - math.floor(place))
+
+
+@dataclass(frozen=True)
+class Span:
+    """A closed value range that holds wanted ranks: `n` rows, the first of rank `start`."""
+
+    feature: str
+    bucket: float
+    low: float
+    high: float
+    start: int
+    n: int
+
+
+class QuantileSearch:
+    """Exact quantiles of several columns by narrowing value ranges.
+
+    The first pass counts rows per bucket and keeps the buckets that hold a wanted rank;
+    a range that still holds more than SMALL rows of different values is cut into CELLS
+    equal widths and counted again. Each pass scans the needed columns and shuffles only
+    counts. What comes to the driver is at most two ranges per wanted quantile.
+    """
+
+    def __init__(self, df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> None:
+        self.probs = [float(p) for p in probs]
+        self.rows = long_values(df, cols).withColumn("bucket", order_bucket(F.col("value")))
+        before = Window.partitionBy("feature").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+        whole = Window.partitionBy("feature")
+        several = 1 + (F.col("low") < F.col("high")).cast("int")
+        places = [F.lit(p) * (F.col("total") - 1) for p in self.probs]
+        ranks = F.array(*[f(place).cast("bigint") for place in places for f in (F.floor, F.ceil)])
+        found = (
+            self.rows.groupBy("feature", "bucket")
+            .agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+            .withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
+            .withColumn("total", F.sum("n").over(whole))
+            .withColumn("distinct_at_least", F.sum(several).over(whole))
+            .filter(F.size(_holding(ranks, F.col("start"), F.col("n"))) > 0)
+            .collect()
+        )
+        self.totals = {r["feature"]: r["total"] for r in found}
+        self.distinct_at_least = {r["feature"]: r["distinct_at_least"] for r in found}
+        self.spans = [Span(r["feature"], r["bucket"], r["low"], r["high"], r["start"], r["n"]) for r in found]
+
+    def _ranks(self, feature: str) -> list[int]:
+        places = [p * (self.totals[feature] - 1) for p in self.probs]
+        return sorted({f(place) for place in places for f in (math.floor, math.ceil)})
+
+    def _rows_of(self, spans: Sequence[Span]) -> DataFrame:
+        """Rows inside the ranges, with the range and the ranks wanted from it."""
+        table = [
+            (i, s.feature, s.bucket, s.low, s.high, s.start,
+             [r for r in self._ranks(s.feature) if s.start <= r < s.start + s.n])
+            for i, s in enumerate(spans)
+        ]
+        small = self.rows.sparkSession.createDataFrame(
+            table, "span int, feature string, bucket double, low double, high double, start bigint, ranks array<bigint>"
+        )
+        inside = F.col("value").between(F.col("low"), F.col("high"))
+        return self.rows.join(F.broadcast(small), ["feature", "bucket"]).filter(inside)
+
+    def _narrow(self, spans: Sequence[Span]) -> list[Span]:
+        keys = ["span", "start", "ranks"]
+        cell = cell_in_bucket(F.col("value"), F.col("low"), F.col("high"), F.lit(1.0), F.lit(1.0))
+        before = Window.partitionBy("span").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+        found = (
+            self._rows_of(spans)
+            .groupBy(*keys, cell.alias("cell"))
+            .agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+            .withColumn("start", F.col("start") + F.coalesce(F.sum("n").over(before), F.lit(0)))
+            .filter(F.size(_holding(F.col("ranks"), F.col("start"), F.col("n"))) > 0)
+            .collect()
+        )
+        return [
+            Span(spans[r["span"]].feature, spans[r["span"]].bucket, r["low"], r["high"], r["start"], r["n"])
+            for r in found
+        ]
+
+    def _pick(self, spans: Sequence[Span]) -> list[tuple[str, int, float]]:
+        """(feature, rank, value) of the wanted ranks in small ranges."""
+        upto = Window.partitionBy("span").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+        counted = (
+            self._rows_of(spans)
+            .groupBy("span", "start", "ranks", "value")
+            .agg(F.count("*").alias("n"))
+            .withColumn("start", F.col("start") + F.sum("n").over(upto) - F.col("n"))
+        )
+        hits = counted.select(
+            "span", "value", F.explode(_holding(F.col("ranks"), F.col("start"), F.col("n"))).alias("rank")
+        )
+        return [(spans[r["span"]].feature, r["rank"], r["value"]) for r in hits.collect()]
+
+    def values(self) -> dict[str, list[float]]:
+        """Quantile values per column in the order of the probabilities; no rows, no entry."""
+        spans = self.spans
+        while heavy := [s for s in spans if s.n > SMALL and s.low < s.high]:
+            spans = [s for s in spans if s not in heavy] + self._narrow(heavy)
+        at: dict[str, dict[int, float]] = {feature: {} for feature in self.totals}
+        for s in spans:
+            if s.low == s.high:
+                at[s.feature].update({r: s.low for r in self._ranks(s.feature) if s.start <= r < s.start + s.n})
+        mixed = [s for s in spans if s.low < s.high]
+        if mixed:
+            for feature, rank, value in self._pick(mixed):
+                at[feature][rank] = value
+        return {f: [_interpolated(at[f], self.totals[f], p) for p in self.probs] for f in at}
+
+
+def quantile_values(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, list[float]]:
+    """Exact linear-interpolated quantiles; runs jobs, as `approxQuantile` does."""
+    return QuantileSearch(df, cols, probs).values()
+
+
 def exact_quantiles(
     df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
-    """Linear-interpolated quantiles as (by..., feature, p, value) rows.
+    """Linear-interpolated quantiles as (by..., feature, p, value) rows."""
+    if by:
+        return _grouped_quantiles(df, cols, probs, by)
+    values = quantile_values(df, cols, probs)
+    rows = [(feature, float(p), v) for feature, vs in values.items() for p, v in zip(probs, vs)]
+    return df.sparkSession.createDataFrame(rows, "feature string, p double, value double")
 
-    Two column-pruned scans: bucket counts, then only the rows in buckets that hold
-    a wanted rank. Both shuffle counts, not rows.
-    """
+
+def _grouped_quantiles(
+    df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str]
+) -> DataFrame:
+    """Quantiles per group, for any number of groups: nothing comes to the driver."""
     keys = [*by, "feature"]
     rows = long_values(df, cols, by).withColumn("bucket", order_bucket(F.col("value")))
     before = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -65,25 +196,10 @@ def exact_quantiles(
     )
     places = [F.lit(float(p)) * (F.col("total") - 1) for p in probs]
     ranks = F.array(*[f(place).cast("bigint") for place in places for f in (F.floor, F.ceil)])
-
-    def holding(ranks: Column, start: Column, n: Column) -> Column:
-        return F.filter(ranks, lambda r: (r >= start) & (r < start + n))
-
-    wanted = (
-        counts.withColumn("ranks", F.array_distinct(ranks))
-        .withColumn("ranks", holding(F.col("ranks"), F.col("start"), F.col("n")))
-        .filter(F.size("ranks") > 0)
-    )
-    if not by:
-        wanted = F.broadcast(wanted)  # at most 2 * len(probs) buckets per feature
-    near = (
-        rows.groupBy(*keys, "bucket", "value").agg(F.count("*").alias("c")).join(wanted, [*keys, "bucket"])
-        if by
-        else rows.join(wanted.select(*keys, "bucket"), [*keys, "bucket"])
-        .groupBy(*keys, "bucket", "value")
-        .agg(F.count("*").alias("c"))
-        .join(wanted, [*keys, "bucket"])
-    )
+    wanted = counts.withColumn(
+        "ranks", _holding(F.array_distinct(ranks), F.col("start"), F.col("n"))
+    ).filter(F.size("ranks") > 0)
+    near = rows.groupBy(*keys, "bucket", "value").agg(F.count("*").alias("c")).join(wanted, [*keys, "bucket"])
     near = near.withColumn(
         "cell", cell_in_bucket(F.col("value"), F.col("low"), F.col("high"), F.lit(1.0), F.lit(1.0))
     )
@@ -93,22 +209,15 @@ def exact_quantiles(
         near.groupBy(*here, "start", "total", "ranks")
         .agg(F.sum("c").alias("m"))
         .withColumn("start", F.col("start") + F.coalesce(F.sum("m").over(ahead), F.lit(0)))
-        .withColumn("ranks", holding(F.col("ranks"), F.col("start"), F.col("m")))
+        .withColumn("ranks", _holding(F.col("ranks"), F.col("start"), F.col("m")))
         .filter(F.size("ranks") > 0)
         .select(*here, "start", "total", "ranks")
     )
-    if not by:
-        cells = F.broadcast(cells)  # again at most one cell per wanted rank
     upto = Window.partitionBy(*here).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     near = near.select(*here, "value", "c").join(cells, here)
-    near = near.withColumn("stop", F.col("start") + F.sum("c").over(upto))
+    near = near.withColumn("start", F.col("start") + F.sum("c").over(upto) - F.col("c"))
     hits = near.select(
-        *keys,
-        "total",
-        "value",
-        F.explode(
-            F.filter("ranks", lambda r: (r < F.col("stop")) & (r >= F.col("stop") - F.col("c")))
-        ).alias("rank"),
+        *keys, "total", "value", F.explode(_holding(F.col("ranks"), F.col("start"), F.col("c"))).alias("rank")
     )
     at_rank = hits.groupBy(*keys).agg(
         F.max("total").alias("total"),
@@ -128,20 +237,6 @@ def exact_quantiles(
     return at_rank.select(*keys, F.inline(F.array(*points)))
 
 
-def quantile_lookup(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> Column:
-    """One-row subquery: map feature -> quantile values in the order of `probs`."""
-    per_feature = (
-        exact_quantiles(df, cols, probs)
-        .groupBy("feature")
-        .agg(F.sort_array(F.collect_list(F.struct("p", "value"))).alias("points"))
-        .select("feature", F.transform("points", lambda x: x["value"]).alias("values"))
-    )
-    lookup = per_feature.agg(
-        F.map_from_entries(F.collect_list(F.struct("feature", "values"))).alias("lookup")
-    )
-    return lookup.scalar()
-
-
 def running_totals(
     df: DataFrame,
     value: str,
@@ -233,24 +328,21 @@ def percentile_of_each(df: DataFrame, feature: str) -> DataFrame:
 
 # ---------------------------------------------------------------- bands
 
-def band_count(df: DataFrame, col: str, most: int) -> int:
-    """min(most, number of distinct values), with the cheap proof tried first.
+def band_edges(df: DataFrame, col: str, most: int) -> list[float]:
+    """Distinct quantile edges of min(most, distinct values) bands; one edge or none when flat.
 
-    Each occupied bucket holds one distinct value, or two when its minimum and maximum
-    differ. Only when that falls short are distinct values counted.
+    The first pass of the search proves how many distinct values there are at least, as
+    each occupied bucket holds one, or two when its smallest and largest differ. Only when
+    that falls short of `most` are distinct values counted.
     """
-    values = long_values(df, [col])
-    known = (
-        values.groupBy(order_bucket(F.col("value")).alias("b"))
-        .agg((F.lit(1) + (F.min("value") < F.max("value")).cast("int")).alias("n"))
-        .agg(F.sum("n").alias("n"))
-        .first()["n"]
-    )
-    if known is None:
-        return 0
-    if known >= most:
-        return most
-    return min(most, values.agg(F.count_distinct("value").alias("n")).first()["n"])
+    search = QuantileSearch(df, [col], [i / most for i in range(most + 1)])
+    if col not in search.totals:
+        return []
+    if search.distinct_at_least[col] < most:
+        distinct = search.rows.agg(F.count_distinct("value").alias("n")).first()["n"]
+        if distinct < most:
+            search = QuantileSearch(df, [col], [i / distinct for i in range(distinct + 1)])
+    return list(dict.fromkeys(search.values()[col]))
 
 
 def quantile_bands(df: DataFrame, col: str, most: int = 10, missing: str = "Não informado") -> DataFrame:
@@ -259,26 +351,23 @@ def quantile_bands(df: DataFrame, col: str, most: int = 10, missing: str = "Não
     Repeated edges collapse. A single distinct value gives one band; a null gets the
     `missing` label and no band.
     """
-    bands = band_count(df, col, most)
+    edges = band_edges(df, col, most)
     value = F.col(col).cast("double")
     known = value.isNotNull() & ~F.isnan(value)
-    if bands < 2:
+    if len(edges) < 2:
         lo = hi = F.when(known, value)
         band = F.when(known, F.lit(0))
     else:
-        probs = [i / bands for i in range(bands + 1)]
-        df = df.withColumn("__edges", F.array_distinct(quantile_lookup(df, [col], probs)[col]))
-        edges = F.col("__edges")
         above = F.lit(0)
-        for i in range(1, bands):
-            is_inner = F.lit(i) < F.size(edges) - 1
-            above = above + F.when(is_inner & (F.get(edges, F.lit(i)) < value), 1).otherwise(0)
+        for edge in edges[1:-1]:
+            above = above + (value > F.lit(edge)).cast("int")
         band = F.when(known, above)
-        lo, hi = F.get(edges, band), F.get(edges, band + 1)
+        marks = F.array(*[F.lit(e) for e in edges])
+        lo, hi = F.get(marks, band), F.get(marks, band + 1)
     out = df.withColumn("band", band.cast("int"))
     out = out.withColumn("band_lo", floor_at_zero(lo)).withColumn("band_hi", floor_at_zero(hi))
     label = F.concat(F.format_string("%.2f", "band_lo"), F.lit(" - "), F.format_string("%.2f", "band_hi"))
-    return out.withColumn("band_label", F.when(F.col("band").isNull(), missing).otherwise(label)).drop("__edges")
+    return out.withColumn("band_label", F.when(F.col("band").isNull(), missing).otherwise(label))
 
 
 def floor_at_zero(value: Column) -> Column:

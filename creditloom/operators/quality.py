@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from creditloom.functions import is_infinite, strip_upper
 from creditloom.operators.cleaning import with_prefix
 from creditloom.operators.joins import outside_universe, unequal_after_align
-from creditloom.operators.ordering import quantile_lookup
+from creditloom.operators.ordering import quantile_values
 
 PASS, FAIL, WARNING, INFO = "PASS", "FAIL", "WARNING", "INFO"
 RESULT_COLUMNS = ("stage", "check", "level", "message", "observed")
@@ -75,8 +75,9 @@ def in_domain(col: str, values: Sequence) -> Check:
 
 
 def capped(df: DataFrame, col: str, q: float = 0.999, slack: float = 1.001) -> Check:
-    limit = quantile_lookup(df, [col], [q])[col][0]
-    return Check(f"{col}_capped", F.count_if(F.col(col) > limit * slack))
+    found = quantile_values(df, [col], [q])
+    limit = found[col][0] * slack if col in found else None
+    return Check(f"{col}_capped", F.count_if(F.col(col) > F.lit(limit)))
 
 
 def no_nulls(col: str) -> Check:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.functions import floor_below, is_infinite, null_when, safe_ratio
-from creditloom.operators.ordering import percentile_of_each, quantile_bands, quantile_lookup
+from creditloom.operators.ordering import percentile_of_each, quantile_bands, quantile_values
 
 # Fixed values of the decision contract.
 LOW_SHARE = 0.4
@@ -102,23 +102,23 @@ def segment_risk(
 
 def portfolio_benchmark(portfolio: DataFrame, clients: DataFrame, key: str, features: Sequence[str]) -> DataFrame:
     """(key, feature, client_value, p50, p75, p90, percentile) for the given clients."""
-    marks = quantile_lookup(portfolio, features, [0.5, 0.75, 0.9])
+    marks = quantile_values(portfolio, features, [0.5, 0.75, 0.9])
     parts = []
     for feature in features:
+        p50, p75, p90 = marks.get(feature, (None, None, None))
         mine = clients.select(key, F.col(feature).cast("double").alias("client_value")).filter(
             "client_value IS NOT NULL"
         )
         numbers = portfolio.select(F.col(feature).cast("double").alias("client_value"))
         places = percentile_of_each(numbers, "client_value")
-        mark = F.try_element_at(marks, F.lit(feature))
         parts.append(
             mine.join(places, "client_value").select(
                 key,
                 F.lit(feature).alias("feature"),
                 "client_value",
-                mark[0].alias("p50"),
-                mark[1].alias("p75"),
-                mark[2].alias("p90"),
+                F.lit(p50).cast("double").alias("p50"),
+                F.lit(p75).cast("double").alias("p75"),
+                F.lit(p90).cast("double").alias("p90"),
                 "percentile",
             )
         )

@@ -6,7 +6,8 @@ number with overwrite, so a replayed batch replaces itself and never counts twic
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from creditloom.functions import is_fresh
-from creditloom.operators.drift import psi_categorical, psi_numeric
+from creditloom.operators.drift import psi_categorical, psi_numeric, reference_edges
 from creditloom.operators.scoring import queue_of, triage
 
 
@@ -114,12 +115,18 @@ def psi_sink(
     categorical: Sequence[str],
     path: str,
 ) -> DataStreamWriter:
-    """Drift of every micro-batch against a reference table: (feature, psi) per batch number."""
-    steps: list[tuple[Callable, Sequence[str]]] = [(psi_numeric, numeric), (psi_categorical, categorical)]
+    """Drift of every micro-batch against a reference table: (feature, psi) per batch number.
+
+    The reference's bin edges are found once, when the stream is defined.
+    """
+    edges = reference_edges(reference, numeric) if numeric else {}
 
     def write(batch: DataFrame, number: int) -> None:
-        parts = [step(reference, batch, names) for step, names in steps if names]
-        rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-        rows.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        parts = []
+        if numeric:
+            parts.append(psi_numeric(reference, batch, numeric, edges=edges))
+        if categorical:
+            parts.append(psi_categorical(reference, batch, categorical))
+        reduce(DataFrame.unionByName, parts).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     return incoming.writeStream.outputMode("append").foreachBatch(write)

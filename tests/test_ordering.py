@@ -38,6 +38,17 @@ def test_quantiles_are_exact(spark, shape):
         assert got["v", p] == pytest.approx(float(np.quantile(values, p)), rel=1e-12, abs=1e-300)
 
 
+@pytest.mark.parametrize("shape", SHAPES)
+def test_quantiles_by_repeated_narrowing(spark, shape, monkeypatch):
+    """With tiny limits every range is cut several times; the values stay exact."""
+    monkeypatch.setattr(o, "SMALL", 3)
+    monkeypatch.setattr(o, "CELLS", 4)
+    values = SHAPES[shape]
+    df = spark.createDataFrame([(float(v),) for v in values], "v double").repartition(5)
+    got = o.quantile_values(df, ["v"], [0.0, 0.5, 1.0])["v"]
+    assert got == pytest.approx([float(np.quantile(values, p)) for p in (0.0, 0.5, 1.0)], rel=1e-12, abs=1e-300)
+
+
 def test_quantiles_by_group_and_empty(spark):
     rows = [(g, float(v)) for g in (0, 1) for v in range(50 * (g + 1))] + [(None, 1.0), (2, None)]
     got = quantiles(spark.createDataFrame(rows, "g int, v double"), by=["g"])
@@ -92,7 +103,7 @@ def test_bands_of_few_values(spark):
     one = spark.createDataFrame([(4.0,), (4.0,)], "v double")
     assert {(r["band"], r["band_label"]) for r in o.quantile_bands(one, "v").collect()} == {(0, "4.00 - 4.00")}
     close = spark.createDataFrame([(1e9 + i,) for i in range(30)], "v double")
-    assert o.band_count(close, "v", 10) == 10
+    assert len(o.band_edges(close, "v", 10)) == 11
     none = spark.createDataFrame([(None,)], "v double")
     assert o.quantile_bands(none, "v").first()["band_label"] == "Não informado"
 
