@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditloom.functions import safe_ratio
@@ -210,5 +210,11 @@ def compare(metric_rows: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, metric_rows)
 
 
+def ranked(metric_rows: DataFrame, metric: str = "pr_auc", by: Sequence[str] = ()) -> DataFrame:
+    """Add the position of each metric row; one row per evaluated model, so the table is tiny."""
+    best_first = Window.partitionBy(*by).orderBy(F.col(metric).desc_nulls_last(), "model")
+    return metric_rows.withColumn("rank", F.row_number().over(best_first))
+
+
 def best_model(metric_rows: DataFrame, metric: str = "pr_auc") -> DataFrame:
     return argmax_row(metric_rows, metric)

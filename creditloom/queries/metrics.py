@@ -62,6 +62,16 @@ def ranking_metrics(spark, sf_dir):
     return m.ranking_metrics(fx.scored(spark, sf_dir), "TARGET", "probability")
 
 
+@query("avg_precision", f"SELECT pr_auc FROM ({RANKING_SQL})", "pr_auc")
+def avg_precision(spark, sf_dir):
+    return m.average_precision(fx.scored(spark, sf_dir), "TARGET", "probability")
+
+
+@query("roc_auc", f"SELECT roc_auc FROM ({RANKING_SQL})", "roc_auc")
+def roc_auc(spark, sf_dir):
+    return m.roc_auc(fx.scored(spark, sf_dir), "TARGET", "probability")
+
+
 @query(
     "score_curve",
     """SELECT probability, CAST(pos AS BIGINT) AS pos, CAST(neg AS BIGINT) AS neg, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp,

@@ -8,11 +8,9 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import functions as F
-
 from creditloom.operators import metrics, models
 from creditloom.operators.sampling import k_fold, undersample
-from creditloom.operators.scoring import top_factors
+from creditloom.operators.scoring import segment_risk, top_factors
 from creditloom.plans import training
 from creditloom.queries import gold
 from creditloom.queries.registry import query
@@ -28,8 +26,13 @@ FOREST = replace(models.FOREST, params={"numTrees": 10, "maxDepth": 5, "minInsta
 BOOSTED = replace(models.BOOSTED, params={**models.BOOSTED.params, "maxIter": 5, "maxDepth": 3})
 
 
+def modelling_table(spark, sf_dir):
+    """Written once: splitting and folding read it several times."""
+    return materialize(gold.abt(spark, sf_dir), "abt")
+
+
 def split(spark, sf_dir):
-    return training.split_table(gold.abt(spark, sf_dir), **FRACTIONS)
+    return training.split_table(modelling_table(spark, sf_dir), **FRACTIONS)
 
 
 def scored_by(spec, spark, sf_dir):
@@ -57,7 +60,7 @@ def gbt_scores(spark, sf_dir):
 
 @query("train_run")
 def train_run(spark, sf_dir):
-    record = training.train_run(gold.abt(spark, sf_dir), FOREST, T, "full", LEAKY, **FRACTIONS)[2]
+    record = training.train_run(modelling_table(spark, sf_dir), FOREST, T, "full", LEAKY, **FRACTIONS)[2]
     return record.drop("trained_at")
 
 
@@ -80,9 +83,10 @@ def contributions(spark, sf_dir):
 def compare_models(spark, sf_dir):
     table = split(spark, sf_dir)
     tracks = {t: training.model_features(table, t, LEAKY) for t in ("core", "full")}
-    return models.compare_models(
+    rows = models.compare_models(
         training.part(table, "train"), training.part(table, "test"), [LOGISTIC, FOREST, BOOSTED], tracks, T
     )
+    return metrics.ranked(rows, by=["track"])
 
 
 @query("tree_sweep")
@@ -114,7 +118,7 @@ def undersampled_model(spark, sf_dir):
 
 @query("cross_validation")
 def cross_validation(spark, sf_dir):
-    abt = materialize(k_fold(gold.abt(spark, sf_dir), 5), "folds")
+    abt = materialize(k_fold(modelling_table(spark, sf_dir), 5), "folds")
     features = training.model_features(abt.drop("fold"), "core", LEAKY)
     rows = models.cross_validate(abt, LOGISTIC, features, T)
     return metrics.summary_of_folds(rows, ["pr_auc", "roc_auc", "f_beta"])
@@ -123,11 +127,7 @@ def cross_validation(spark, sf_dir):
 @query("portfolio_scores")
 def portfolio_scores(spark, sf_dir):
     """Mean risk per segment of a portfolio scored by a fitted model."""
-    from creditloom.operators.scoring import segment_risk
-
     table = split(spark, sf_dir)
     model = models.fit(training.part(table, "train"), LOGISTIC, training.model_features(table, "core", LEAKY))
     portfolio = materialize(models.score(table.drop("split"), model, T), "portfolio")
-    return segment_risk(
-        portfolio.withColumn("p", F.col("probability")), "p", ["NAME_INCOME_TYPE", "OCCUPATION_TYPE"], ["AMT_CREDIT"]
-    )
+    return segment_risk(portfolio, "probability", ["NAME_INCOME_TYPE", "OCCUPATION_TYPE"], ["AMT_CREDIT"])

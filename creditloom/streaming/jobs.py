@@ -19,6 +19,9 @@ from creditloom.operators.drift import psi_categorical, psi_numeric, reference_e
 from creditloom.operators.scoring import queue_of, triage
 
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+
+
 def read_stream(
     spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", files_per_batch: int | None = None
 ) -> DataFrame:
@@ -29,7 +32,13 @@ def read_stream(
 
 
 def run_available(writer: DataStreamWriter, checkpoint: str) -> StreamingQuery:
-    """Process everything that has arrived, then stop; a later run continues from there."""
+    """Process everything that has arrived, then stop; a later run continues from there.
+
+    State is kept in RocksDB unless the session chose a store, so it may outgrow the heap.
+    """
+    conf = SparkSession.active().conf
+    if not conf.get(STATE_STORE, None) or conf.get(STATE_STORE).endswith("HDFSBackedStateStoreProvider"):
+        conf.set(STATE_STORE, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     running = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     running.awaitTermination()
     return running
