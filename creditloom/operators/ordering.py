@@ -16,11 +16,13 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-STEPS = 1024.0
+STEPS = 128.0
 CELLS = 8192
 SMALL = 1_000_000
 
@@ -82,7 +84,8 @@ class QuantileSearch:
 
     def __init__(self, df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> None:
         self.probs = [float(p) for p in probs]
-        self.rows = long_values(df, cols).withColumn("bucket", order_bucket(F.col("value")))
+        self.df, self.cols = df, list(cols)
+        self.rows = self._bucketed(df)
         before = Window.partitionBy("feature").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
         whole = Window.partitionBy("feature")
         several = 1 + (F.col("low") < F.col("high")).cast("int")
@@ -101,12 +104,20 @@ class QuantileSearch:
         self.distinct_at_least = {r["feature"]: r["distinct_at_least"] for r in found}
         self.spans = [Span(r["feature"], r["bucket"], r["low"], r["high"], r["start"], r["n"]) for r in found]
 
+    def _bucketed(self, df: DataFrame) -> DataFrame:
+        return long_values(df, self.cols).withColumn("bucket", order_bucket(F.col("value")))
+
     def _ranks(self, feature: str) -> list[int]:
         places = [p * (self.totals[feature] - 1) for p in self.probs]
         return sorted({f(place) for place in places for f in (math.floor, math.ceil)})
 
     def _rows_of(self, spans: Sequence[Span]) -> DataFrame:
-        """Rows inside the ranges, with the range and the ranks wanted from it."""
+        """Rows inside the ranges, with the range and the ranks wanted from it.
+
+        The ranges also go to the scan as a plain filter, which drops most rows, and
+        whole row groups where the file is ordered, before anything is computed.
+        """
+        near = reduce(or_, [F.col(s.feature).between(F.lit(s.low), F.lit(s.high)) for s in spans])
         table = [
             (i, s.feature, s.bucket, s.low, s.high, s.start,
              [r for r in self._ranks(s.feature) if s.start <= r < s.start + s.n])
@@ -116,7 +127,7 @@ class QuantileSearch:
             table, "span int, feature string, bucket double, low double, high double, start bigint, ranks array<bigint>"
         )
         inside = F.col("value").between(F.col("low"), F.col("high"))
-        return self.rows.join(F.broadcast(small), ["feature", "bucket"]).filter(inside)
+        return self._bucketed(self.df.filter(near)).join(F.broadcast(small), ["feature", "bucket"]).filter(inside)
 
     def _narrow(self, spans: Sequence[Span]) -> list[Span]:
         keys = ["span", "start", "ranks"]
@@ -297,20 +308,43 @@ def running_totals(
 def rank_by(df: DataFrame, metric: str, key: str, descending: bool = True) -> DataFrame:
     """Position of every row in the metric's order, ties by the numeric unique `key`.
 
-    Running totals give the first rank of each metric value. Rows of one value are
-    numbered inside key buckets, so neither the whole table nor one heavily shared
-    value is ordered by a single task. Rows without a metric get no rank and are left out.
+    Three counting scans place each row in a cell: by metric bucket, by equal widths inside
+    a heavy bucket, and by equal widths of the key inside a cell of one shared value. The
+    rows themselves are shuffled once, by cell, and numbered there. Rows without a metric
+    get no rank and are left out.
     """
-    rows = df.filter(F.col(metric).isNotNull()).withColumn("__keys", order_bucket(F.col(key).cast("double")))
-    values = running_totals(rows, metric, {"n": F.lit(1)}, descending=descending)
-    ahead = Window.partitionBy(metric).orderBy("__keys").rowsBetween(Window.unboundedPreceding, -1)
-    groups = rows.groupBy(metric, "__keys").agg(F.count("*").alias("__m"))
-    groups = groups.withColumn("__ahead", F.coalesce(F.sum("__m").over(ahead), F.lit(0)))
-    starts = groups.join(
-        values.select(metric, (F.col("cum_n") - F.col("n")).alias("__start")), metric
-    ).select(metric, "__keys", (F.col("__start") + F.col("__ahead")).alias("__start"))
-    within = Window.partitionBy(metric, "__keys").orderBy(key)
-    return rows.join(starts, [metric, "__keys"]).select(
+    order = F.col(metric).desc() if descending else F.col(metric).asc()
+    sign = F.lit(-1.0 if descending else 1.0)
+    rows = df.filter(F.col(metric).isNotNull()).withColumns(
+        {"__v": F.col(metric).cast("double") * sign, "__k": F.col(key).cast("double")}
+    )
+    rows = rows.withColumn("__bucket", order_bucket(F.col("__v")))
+    whole = rows.agg(F.count("*").alias("n")).scalar()
+
+    buckets = rows.groupBy("__bucket").agg(
+        F.count("*").alias("__n"), F.min("__v").alias("__low"), F.max("__v").alias("__high")
+    )
+    # each of the three sides is bounded by the number of buckets plus twice CELLS
+    rows = rows.join(F.broadcast(buckets), "__bucket").withColumn(
+        "__cell", cell_in_bucket(F.col("__v"), F.col("__low"), F.col("__high"), F.col("__n"), whole)
+    ).drop("__n", "__low", "__high")
+    cells = rows.groupBy("__bucket", "__cell").agg(
+        F.count("*").alias("__n"),
+        (F.min(metric) == F.max(metric)).alias("__shared"),
+        F.min("__k").alias("__low"),
+        F.max("__k").alias("__high"),
+    )
+    by_key = cell_in_bucket(F.col("__k"), F.col("__low"), F.col("__high"), F.col("__n"), whole)
+    rows = rows.join(F.broadcast(cells), ["__bucket", "__cell"]).withColumn(
+        "__part", F.when(F.col("__shared"), by_key).otherwise(F.lit(0))
+    ).drop("__n", "__shared", "__low", "__high")
+    place = ["__bucket", "__cell", "__part"]
+    before = Window.orderBy(*place).rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy(*place).agg(F.count("*").alias("__n")).select(
+        *place, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start")
+    )
+    within = Window.partitionBy(*place, "__start").orderBy(order, key)
+    return rows.join(F.broadcast(starts), place).select(
         *df.columns, (F.col("__start") + F.row_number().over(within)).alias("rank")
     )
 

@@ -1,87 +1,99 @@
-"""Deterministic samples and splits by the md5 order of a unique key.
+"""Deterministic samples, splits and folds by the md5 order of a unique key.
 
-Rows are never sorted as a whole. Counting rows per leading hash digits (65536 even
-slices per class) tells which slice holds the wanted cut; only that slice is ordered
-to find the exact cut hash, and membership is then a comparison with it in a map-only
-pass. Class sizes do not matter: no task ever holds a whole class.
+Rows are never sorted or shuffled as a whole. Counting rows per leading hash digits
+tells which digits each cut falls on; only those rows are counted again by more digits,
+until few are left to order. Membership is then a comparison with the cut hash, in a
+pass without any shuffle. Class sizes do not matter: no task ever holds a whole class.
+Finding the cuts runs jobs over the key and the label.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from bisect import bisect_left
+from collections.abc import Callable, Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SLICE_DIGITS = 4
+FIRST_DIGITS, MORE_DIGITS, ALL_DIGITS = 2, 3, 32
+SMALL = 100_000
+
+Cuts = Callable[[int], Sequence[int]]
 
 
 def hash_order(key: str, seed: int) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string")))
 
 
-def _slices(df: DataFrame, key: str, seed: int, label: str | None) -> DataFrame:
-    """(class, hash, slice) of every row; without a label there is one class."""
-    group = F.lit("").alias("__class") if label is None else F.col(label).cast("string").alias("__class")
-    hashed = df.select(group, hash_order(key, seed).alias("__hash"))
-    return hashed.withColumn("__slice", F.substring("__hash", 1, SLICE_DIGITS))
-
-
-def _slice_starts(slices: DataFrame) -> DataFrame:
-    """(class, slice, n, start, size) with `start` rows of the class before the slice."""
-    before = Window.partitionBy("__class").orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        slices.groupBy("__class", "__slice")
-        .agg(F.count("*").alias("n"))
-        .withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
-        .withColumn("size", F.sum("n").over(Window.partitionBy("__class")))
-    )
-
-
 def cut_hashes(
-    df: DataFrame,
-    key: str,
-    seed: int,
-    cuts: Sequence[Column],
-    label: str | None = None,
-    classes: Sequence = (0, 1),
-) -> Column:
-    """One-row subquery: map class -> hash of the row at each cut.
-
-    `cuts` are row counts, written over column `size` (the class size). A cut of 0 gives
-    '', so no hash is below or equal to it; a cut beyond the class gives its last row.
-    The classes are a parameter, which bounds the result.
+    df: DataFrame, key: str, seed: int, cuts: Cuts, label: str | None = None, classes: Sequence = (0, 1)
+) -> dict[str, list[str]]:
+    """Per class, the hash of the row at each cut.
+
+    `cuts` gives the wanted row counts for a class size. A cut of 0 gives '', so no hash is
+    below or equal to it; a cut beyond the class gives its last row. Without a label all
+    rows are one class, named ''. The classes are a parameter, so a label with many values
+    cannot flood the driver: it receives a few thousand counts per class at most.
     """
-    slices = _slices(df, key, seed, label)
+    group = F.lit("") if label is None else F.col(label).cast("string")
+    rows = df.select(group.alias("c"), hash_order(key, seed).alias("h"))
     if label is not None:
-        slices = slices.filter(F.col("__class").isin(*[str(c) for c in classes]))
-    wanted = F.array(*[F.least(c, F.col("size")).cast("bigint") for c in cuts])
-    starts = (
-        _slice_starts(slices)
-        .withColumn("wanted", wanted)
-        .withColumn(
-            "here",
-            F.filter("wanted", lambda r: (r > F.col("start")) & (r <= F.col("start") + F.col("n"))),
-        )
-        .filter(F.size("here") > 0)
-        .select("__class", "__slice", "start", "wanted", "here")
-    )
-    # at most len(cuts) slices per class: bounded
-    near = slices.join(F.broadcast(starts), ["__class", "__slice"])
-    order = Window.partitionBy("__class", "__slice").orderBy("__hash")
-    placed = near.withColumn("rank", F.col("start") + F.row_number().over(order))
-    hits = placed.filter(F.array_contains("here", F.col("rank")))
-    per_class = hits.groupBy("__class").agg(
-        F.map_from_entries(F.collect_list(F.struct("rank", "__hash"))).alias("at"),
-        F.any_value("wanted").alias("wanted"),
-    )
-    found = per_class.select(
-        "__class",
-        F.transform("wanted", lambda r: F.coalesce(F.try_element_at("at", r), F.lit(""))).alias("cuts"),
-    )
-    return found.agg(
-        F.map_from_entries(F.collect_list(F.struct("__class", "cuts"))).alias("cuts")
-    ).scalar()
+        rows = rows.filter(F.col("c").isin(*[str(c) for c in classes]))
+
+    def counts(rows: DataFrame, digits: int) -> dict[str, list[tuple[str, int]]]:
+        found: dict[str, list[tuple[str, int]]] = {}
+        for r in rows.groupBy("c", F.substring("h", 1, digits).alias("p")).agg(F.count("*").alias("n")).collect():
+            found.setdefault(r["c"], []).append((r["p"], r["n"]))
+        return {c: sorted(slices) for c, slices in found.items()}
+
+    def inside(places: Sequence[tuple[str, str]], digits: int) -> DataFrame:
+        return rows.filter(F.concat("c", F.lit(":"), F.substring("h", 1, digits)).isin(*{f"{c}:{p}" for c, p in places}))
+
+    first = counts(rows, FIRST_DIGITS)
+    wanted = {c: [min(cut, sum(n for _, n in slices)) for cut in cuts(sum(n for _, n in slices))]
+              for c, slices in first.items()}
+    # open[(class, cut)] = (prefix, rows of the class before the prefix, rows in it)
+    found: dict[tuple[str, int], tuple[str, int, int]] = {
+        (c, cut): ("", 0, sum(n for _, n in first[c])) for c, cs in wanted.items() for cut in cs if cut > 0
+    }
+    digits, sliced = FIRST_DIGITS, first
+    while True:
+        for (c, cut), (prefix, before, _) in found.items():
+            slices = [(p, n) for p, n in sliced[c] if p.startswith(prefix)]
+            sums = list(accumulate(n for _, n in slices))
+            at = bisect_left(sums, cut - before)
+            found[c, cut] = (slices[at][0], before + sums[at] - slices[at][1], slices[at][1])
+        if digits == ALL_DIGITS or all(n <= SMALL for _, _, n in found.values()):
+            break
+        places = [(c, prefix) for (c, _), (prefix, _, _) in found.items()]
+        near = inside(places, digits)
+        digits = min(digits + MORE_DIGITS, ALL_DIGITS)
+        sliced = counts(near, digits)
+    hashes = {(c, 0): "" for c in wanted}
+    if digits == ALL_DIGITS:
+        hashes.update({place: prefix for place, (prefix, _, _) in found.items()})
+    elif found:
+        near = inside([(c, prefix) for (c, _), (prefix, _, _) in found.items()], digits)
+        order = Window.partitionBy("c", "p").orderBy("h")
+        ranked = near.withColumn("p", F.substring("h", 1, digits)).withColumn("r", F.row_number().over(order))
+        exact = {f"{c}:{p}:{cut - before}": (c, cut) for (c, cut), (p, before, _) in found.items()}
+        hits = ranked.select(F.concat_ws(":", "c", "p", "r").alias("id"), "h").filter(F.col("id").isin(*exact))
+        hashes.update({exact[r["id"]]: r["h"] for r in hits.collect()})
+    return {c: [hashes[c, cut] for cut in cs] for c, cs in wanted.items()}
+
+
+def _share(size: int, fraction: float) -> int:
+    return math.floor(size * fraction + 0.5)
+
+
+def _by_class(found: dict[str, list[str]], label: str, pick: Callable[[list[str]], Column]) -> Column:
+    """`pick` applied to the cuts of the row's class; NULL for other classes."""
+    out = F.lit(None)
+    for c, hashes in found.items():
+        out = F.when(F.col(label).cast("string") == c, pick(hashes)).otherwise(out)
+    return out
 
 
 def stratified_split(
@@ -97,58 +109,59 @@ def stratified_split(
     """Add `split`: the demo holdout first, then train and test of the rest, per class."""
     if abs(train + test + demo - 1.0) > 1e-6:
         raise ValueError(f"fractions must sum to 1, got {train + test + demo:.6f}")
-    size = F.col("size")
-    demo_rows = F.floor(size * F.lit(demo) + F.lit(0.5))
-    test_rows = F.floor((size - demo_rows) * F.lit(test / (train + test)) + F.lit(0.5))
-    cuts = cut_hashes(df, key, seed, [demo_rows, demo_rows + test_rows], label, classes)
-    mine = F.try_element_at(cuts, F.col(label).cast("string"))
+
+    def cuts(size: int) -> list[int]:
+        held = _share(size, demo)
+        return [held, held + _share(size - held, test / (train + test))]
+
+    found = cut_hashes(df, key, seed, cuts, label, classes)
     position = hash_order(key, seed)
     return df.withColumn(
         "split",
-        F.when(position <= mine[0], "demo")
-        .when(position <= mine[1], "test")
-        .when(F.col(label).isNotNull(), "train"),
+        _by_class(
+            found, label,
+            lambda h: F.when(position <= h[0], "demo").when(position <= h[1], "test").otherwise("train"),
+        ),
     )
 
 
 def sample_n(df: DataFrame, n: int, key: str = "SK_ID_CURR", seed: int = 42) -> DataFrame:
     """Exactly n rows, or all of them when there are fewer."""
-    cut = cut_hashes(df, key, seed, [F.lit(n)])
-    return df.filter(hash_order(key, seed) <= F.try_element_at(cut, F.lit(""))[0])
+    found = cut_hashes(df, key, seed, lambda size: [n])
+    return df.filter(hash_order(key, seed) <= found[""][0]) if found else df
 
 
 def sample_fraction(df: DataFrame, fraction: float, key: str = "SK_ID_CURR", seed: int = 42) -> DataFrame:
     """The given share of rows, rounded to whole rows."""
-    cut = cut_hashes(df, key, seed, [F.floor(F.col("size") * F.lit(fraction) + F.lit(0.5))])
-    return df.filter(hash_order(key, seed) <= F.try_element_at(cut, F.lit(""))[0])
+    found = cut_hashes(df, key, seed, lambda size: [_share(size, fraction)])
+    return df.filter(hash_order(key, seed) <= found[""][0]) if found else df
 
 
 def undersample(df: DataFrame, key: str = "SK_ID_CURR", label: str = "TARGET", seed: int = 42) -> DataFrame:
     """All positives and an equal number of negatives."""
     positives = df.filter(F.col(label) == 1)
-    negatives = df.filter(F.col(label) == 0)
-    n = positives.agg(F.count("*").alias("n")).scalar()
-    cut = cut_hashes(negatives, key, seed, [n])
-    kept = negatives.filter(hash_order(key, seed) <= F.try_element_at(cut, F.lit(""))[0])
-    return positives.unionByName(kept)
+    return positives.unionByName(sample_n(df.filter(F.col(label) == 0), positives.count(), key, seed))
 
 
 def k_fold(
-    df: DataFrame, k: int = 5, key: str = "SK_ID_CURR", label: str = "TARGET", seed: int = 42
+    df: DataFrame,
+    k: int = 5,
+    key: str = "SK_ID_CURR",
+    label: str = "TARGET",
+    seed: int = 42,
+    classes: Sequence = (0, 1),
 ) -> DataFrame:
-    """Add `fold`: the rank in hash order within the class, modulo k.
+    """Add `fold`: equal parts of each class in hash order."""
+    found = cut_hashes(df, key, seed, lambda size: [size * i // k for i in range(1, k)], label, classes)
+    position = hash_order(key, seed)
 
-    Ranks are counted inside (class, hash slice) cells and offset by the slice start.
-    """
-    work = (
-        df.withColumn("__class", F.col(label).cast("string"))
-        .withColumn("__hash", hash_order(key, seed))
-        .withColumn("__slice", F.substring("__hash", 1, SLICE_DIGITS))
-    )
-    starts = _slice_starts(_slices(df, key, seed, label)).select("__class", "__slice", "start")
-    order = Window.partitionBy("__class", "__slice").orderBy("__hash")
-    ranked = work.withColumn("__rank", F.row_number().over(order)).join(starts, ["__class", "__slice"])
-    return ranked.select(*df.columns, F.pmod(F.col("start") + F.col("__rank") - 1, F.lit(k)).cast("int").alias("fold"))
+    def number(hashes: list[str]) -> Column:
+        out = F.lit(0)
+        for h in hashes:
+            out = out + (position > h).cast("int")
+        return out
+
+    return df.withColumn("fold", _by_class(found, label, number).cast("int"))
 
 
 def class_weight(df: DataFrame, label: str = "TARGET") -> DataFrame:

@@ -214,7 +214,12 @@ def undersample(spark, sf_dir):
     return s.undersample(fx.scored(spark, sf_dir).select("SK_ID_CURR", "TARGET"))
 
 
-@query("folds", f"SELECT SK_ID_CURR, TARGET, CAST((rn - 1) % 5 AS INT) AS fold FROM ({ORDERED})")
+@query(
+    "folds",
+    "SELECT SK_ID_CURR, TARGET, CAST("
+    + " + ".join(f"CASE WHEN rn > floor(size * {i} / 5) THEN 1 ELSE 0 END" for i in range(1, 5))
+    + f" AS INT) AS fold FROM ({ORDERED})",
+)
 def folds(spark, sf_dir):
     return s.k_fold(fx.scored(spark, sf_dir).select("SK_ID_CURR", "TARGET"), 5)
 

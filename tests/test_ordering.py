@@ -152,6 +152,15 @@ def test_sample_sizes(spark):
     assert s.sample_fraction(df, 0.25).count() == 250
 
 
+def test_cuts_by_more_digits(spark, monkeypatch):
+    """With a tiny limit the cuts are found digit by digit, down to the whole hash."""
+    df = spark.range(2000).withColumnRenamed("id", "SK_ID_CURR")
+    ordered = [r["SK_ID_CURR"] for r in df.orderBy(s.hash_order("SK_ID_CURR", 42)).collect()]
+    for small in (5, 0):
+        monkeypatch.setattr(s, "SMALL", small)
+        assert {r["SK_ID_CURR"] for r in s.sample_n(df, 777).collect()} == set(ordered[:777])
+
+
 def test_undersample_and_folds(spark):
     df = spark.range(1000).select(F.col("id").alias("SK_ID_CURR"), (F.col("id") < 80).cast("int").alias("TARGET"))
     counts = {r["TARGET"]: r["count"] for r in s.undersample(df).groupBy("TARGET").count().collect()}
