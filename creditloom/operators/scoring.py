@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.functions import floor_below, is_infinite, null_when, safe_ratio
+from creditloom.operators.joins import label_column
 from creditloom.operators.ordering import percentile_of_each, quantile_bands, quantile_values
 
 # Fixed values of the decision contract.
@@ -16,6 +17,14 @@ LOW_SHARE = 0.4
 BANDS = ("Baixo risco", "Risco moderado", "Alto risco")
 ACTIONS = ("autoaprovacao_candidata", "mesa_analise", "recusa_candidata")
 UNKNOWN = "Não informado"
+DECISIONS = ("Aprovado (Pagador Saudável)", "Reprovado (Risco de Inadimplência)")
+ACTION_LABELS = {
+    "autoaprovacao_candidata": "Autoaprovação candidata (humano confirma política)",
+    "mesa_analise": "Encaminhar à mesa de crédito (zona cinzenta)",
+    "recusa_candidata": "Recusa candidata (parecer + auditoria XAI)",
+}
+# Columns an event carries when the scored row has them.
+EXPLANATIONS = ("top_risk_factors", "top_positive_factors", "applied_overrides")
 
 
 def _three_way(probability: Column, threshold: Column, names: Sequence[str]) -> Column:
@@ -52,8 +61,12 @@ def decide(df: DataFrame, score: str, threshold: float) -> DataFrame:
 
 
 def triage(df: DataFrame, client: str, score: str, threshold: float, emitted_at: Column) -> DataFrame:
-    """One auditable event per scored client; a person always confirms."""
+    """One auditable event per scored client; a person always confirms.
+
+    Factors and overrides go along when the row has them.
+    """
     scored = decide(df, score, threshold)
+    action = triage_action(F.col(score), F.col("threshold"))
     return scored.select(
         F.lit("credit_decision_triage").alias("event_type"),
         emitted_at.alias("emitted_at"),
@@ -62,8 +75,11 @@ def triage(df: DataFrame, client: str, score: str, threshold: float, emitted_at:
         "prediction",
         "threshold",
         "risk_band",
-        triage_action(F.col(score), F.col("threshold")).alias("action"),
+        F.when(F.col("prediction") == 1, DECISIONS[1]).otherwise(DECISIONS[0]).alias("label"),
+        action.alias("action"),
+        label_column(action, ACTION_LABELS).alias("action_label"),
         F.lit(True).alias("human_in_the_loop"),
+        *[c for c in EXPLANATIONS if c in df.columns],
     )
 
 
@@ -193,8 +209,8 @@ def override_diff(original: DataFrame, scored: DataFrame, scenarios: DataFrame,
 
 # ---------------------------------------------------------------- factors
 
-def top_factors(df: DataFrame, key: str, contributions: Sequence[str], k: int = 5) -> DataFrame:
-    """(key, kind, rank, feature, impact_pct): the k strongest factors of each sign.
+def factor_arrays(df: DataFrame, contributions: Sequence[str], k: int = 5) -> DataFrame:
+    """Add the k strongest factors of each sign as arrays of (feature, impact_pct).
 
     A client's contributions sit in one row, so they are ordered inside the row and
     nothing is shuffled. Equal contributions keep the column order.
@@ -206,17 +222,36 @@ def top_factors(df: DataFrame, key: str, contributions: Sequence[str], k: int =
             for i, c in enumerate(contributions)
         ]
     )
-    total = F.aggregate("items", F.lit(0.0), lambda acc, x: acc + x["size"])
-    share = F.col("f.size") / F.nullif(F.col("total"), F.lit(0.0)) * 100
-    parts = []
-    base = df.select(key, items.alias("items")).withColumn("total", total)
-    for kind, sign in (("risk", 1.0), ("protective", -1.0)):
-        best = F.slice(F.sort_array(F.filter("items", lambda x: x["sign"] == sign), asc=False), 1, k)
-        parts.append(F.transform(best, lambda x, i: F.struct(F.lit(kind).alias("kind"), i.alias("i"), x.alias("f"))))
-    return base.select(key, "total", F.inline(F.concat(*parts))).select(
-        key,
-        "kind",
-        (F.col("i") + 1).cast("int").alias("rank"),
-        F.col("f.feature").alias("feature"),
-        F.coalesce(share, F.lit(0.0)).alias("impact_pct"),
+    rows = df.withColumn("__items", items).withColumn(
+        "__total", F.aggregate("__items", F.lit(0.0), lambda acc, x: acc + x["size"])
     )
+    out = {}
+    for name, sign in (("top_risk_factors", 1.0), ("top_positive_factors", -1.0)):
+        best = F.slice(F.sort_array(F.filter("__items", lambda x: x["sign"] == sign), asc=False), 1, k)
+        out[name] = F.transform(
+            best,
+            lambda x: F.struct(
+                x["feature"].alias("feature"),
+                F.coalesce(x["size"] / F.nullif(F.col("__total"), F.lit(0.0)) * 100, F.lit(0.0)).alias("impact_pct"),
+            ),
+        )
+    return rows.withColumns(out).drop("__items", "__total")
+
+
+def top_factors(df: DataFrame, key: str, contributions: Sequence[str], k: int = 5) -> DataFrame:
+    """(key, kind, rank, feature, impact_pct): the factor arrays as rows."""
+    ranked = factor_arrays(df.select(key, *contributions), contributions, k)
+
+    def rows_of(name: str, kind: str) -> Column:
+        return F.transform(
+            name,
+            lambda f, i: F.struct(
+                F.lit(kind).alias("kind"),
+                (i + 1).cast("int").alias("rank"),
+                f["feature"].alias("feature"),
+                f["impact_pct"].alias("impact_pct"),
+            ),
+        )
+
+    lists = [rows_of("top_risk_factors", "risk"), rows_of("top_positive_factors", "protective")]
+    return ranked.select(key, F.inline(F.concat(*lists)))

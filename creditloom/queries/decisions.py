@@ -16,14 +16,18 @@ ACTION = (
 )
 BAND = "CASE WHEN probability < 0.08e0 * 0.4e0 THEN 'Baixo risco' WHEN probability < 0.08e0 THEN 'Risco moderado' ELSE 'Alto risco' END"
 PREDICTION = "CASE WHEN probability >= 0.08e0 THEN 1 ELSE 0 END"
+DECISION = f"""{PREDICTION} AS prediction, 0.08e0 AS threshold, {BAND} AS risk_band,
+  CASE WHEN probability >= 0.08e0 THEN 'Reprovado (Risco de Inadimplência)' ELSE 'Aprovado (Pagador Saudável)' END AS label,
+  {ACTION} AS action, CASE {ACTION} WHEN 'autoaprovacao_candidata' THEN 'Autoaprovação candidata (humano confirma política)'
+    WHEN 'mesa_analise' THEN 'Encaminhar à mesa de crédito (zona cinzenta)' ELSE 'Recusa candidata (parecer + auditoria XAI)'
+  END AS action_label, true AS human_in_the_loop"""
 EMITTED = "2026-01-01 00:00:00"
 
 
 @query(
     "triage",
     f"""SELECT 'credit_decision_triage' AS event_type, TIMESTAMP '{EMITTED}' AS emitted_at, SK_ID_CURR AS client_id, probability,
-          {PREDICTION} AS prediction, 0.08e0 AS threshold, {BAND} AS risk_band, {ACTION} AS action, true AS human_in_the_loop
-        FROM scored""",
+          {DECISION} FROM scored""",
     "probability threshold",
 )
 def triage(spark, sf_dir):

@@ -8,13 +8,17 @@ from __future__ import annotations
 
 from dataclasses import replace
 
+from pyspark.sql import functions as F
+
 from creditloom.operators import metrics, models
 from creditloom.operators.sampling import k_fold, undersample
 from creditloom.operators.scoring import segment_risk, top_factors
-from creditloom.plans import training
+from creditloom.plans import decision, training
 from creditloom.queries import gold
+from creditloom.queries.decisions import scenarios
 from creditloom.queries.registry import query
 from creditloom.session import materialize
+from creditloom.sources import fixtures as fx
 
 T = 0.08
 LEAKY = ("AMT_INCOME_TOTAL", "CREDIT_INCOME_RATIO", "ANNUITY_INCOME_RATIO")
@@ -131,3 +135,14 @@ def portfolio_scores(spark, sf_dir):
     model = models.fit(training.part(table, "train"), LOGISTIC, training.model_features(table, "core", LEAKY))
     portfolio = materialize(models.score(table.drop("split"), model, T), "portfolio")
     return segment_risk(portfolio, "probability", ["NAME_INCOME_TYPE", "OCCUPATION_TYPE"], ["AMT_CREDIT"])
+
+
+@query("decide_clients")
+def decide_clients(spark, sf_dir):
+    """Decisions with factors for every client that has events, under the what-if scenarios."""
+    table = split(spark, sf_dir)
+    model = models.fit(training.part(table, "train"), LOGISTIC, training.model_features(table, "core", LEAKY))
+    ids = fx.table(spark, sf_dir, "events").select(F.col("user_id").alias("SK_ID_CURR"))
+    return decision.decide_clients(
+        table.drop("split"), ids, scenarios(spark, sf_dir), model, T, F.lit("2026-01-01").cast("timestamp")
+    )

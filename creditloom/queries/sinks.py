@@ -76,9 +76,10 @@ def write_queues(spark, sf_dir):
 
 @query(
     "batch_latest_per_queue",
-    """SELECT queue, client_id FROM (SELECT queue, client_id, row_number() OVER (PARTITION BY queue ORDER BY client_id DESC) AS rn
-         FROM (SELECT SK_ID_CURR AS client_id, CASE WHEN probability < 0.08e0 * 0.4e0 THEN 'autoaprovacao_candidata'
-                 WHEN probability < 0.08e0 THEN 'mesa_analise' ELSE 'recusa_candidata' END AS queue FROM scored)) WHERE rn = 1""",
+    """SELECT queue, max(SK_ID_CURR) AS client_id FROM (
+         SELECT SK_ID_CURR, 'latest' AS queue FROM scored
+         UNION ALL SELECT SK_ID_CURR, CASE WHEN probability < 0.08e0 * 0.4e0 THEN 'autoaprovacao_candidata'
+           WHEN probability < 0.08e0 THEN 'mesa_analise' ELSE 'recusa_candidata' END FROM scored) GROUP BY 1""",
 )
 def batch_latest_per_queue(spark, sf_dir):
     return reports.latest_per_queue(triage(spark, sf_dir)).select("queue", "client_id")

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from creditloom.queries.decisions import ACTION, BAND, PREDICTION
+from creditloom.queries.decisions import DECISION
 from creditloom.queries.monitoring import CHECK_NAME, CHECK_STATUS, categorical_psi_sql, numeric_psi_sql
 from creditloom.queries.registry import query
 from creditloom.session import shared_dir
 from creditloom.sources import fixtures as fx
+from creditloom.sources.reports import latest_per_queue as newest_events
 from creditloom.streaming import jobs
 
 T = 0.08
@@ -27,8 +28,7 @@ def decisions(spark, sf_dir):
 
 
 TRIAGE_SQL = f"""SELECT 'credit_decision_triage' AS event_type, ts AS emitted_at, user_id AS client_id, probability,
-  {PREDICTION} AS prediction, 0.08e0 AS threshold, {BAND} AS risk_band, {ACTION} AS action, true AS human_in_the_loop
-  FROM (SELECT user_id, ts, {PROBABILITY} AS probability FROM events)"""
+  {DECISION} FROM (SELECT user_id, ts, {PROBABILITY} AS probability FROM events)"""
 
 
 @query("triage_stream", f"SELECT *, action AS queue FROM ({TRIAGE_SQL})", "probability threshold")
@@ -40,13 +40,13 @@ def triage_stream(spark, sf_dir):
 
 @query(
     "latest_per_queue",
-    f"""SELECT * EXCLUDE (rn) FROM (SELECT *, action AS queue,
-          row_number() OVER (PARTITION BY action ORDER BY emitted_at DESC, client_id DESC) AS rn FROM ({TRIAGE_SQL})) WHERE rn = 1""",
+    f"""SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY queue ORDER BY emitted_at DESC, client_id DESC) AS rn
+          FROM (SELECT *, action AS queue FROM ({TRIAGE_SQL}) UNION ALL SELECT *, 'latest' FROM ({TRIAGE_SQL}))) WHERE rn = 1""",
     "probability threshold",
 )
 def latest_per_queue(spark, sf_dir):
     base = shared_dir(spark, "latest")
-    latest = jobs.latest_stream(decisions(spark, sf_dir))
+    latest = newest_events(decisions(spark, sf_dir))
     jobs.run_available(jobs.upsert_sink(latest, f"{base}/rows"), f"{base}/checkpoint")
     return jobs.latest_rows(spark, f"{base}/rows", ["queue"])
 

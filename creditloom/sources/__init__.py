@@ -5,7 +5,7 @@ from creditloom.sources.publish import (  # noqa: F401
     read_published,
     stage,
 )
-from creditloom.sources.reports import latest_report, write_queues, write_report  # noqa: F401
+from creditloom.sources.reports import latest_per_queue, latest_report, write_queues, write_report  # noqa: F401
 from creditloom.sources.tables import (  # noqa: F401
     read_csv_table,
     read_dictionary,

@@ -27,11 +27,19 @@ def write_queues(events: DataFrame, path: str, mode: str = "append") -> None:
     rows.write.mode(mode).partitionBy("queue").json(path)
 
 
+GLOBAL_QUEUE = "latest"
+
+
 def latest_per_queue(events: DataFrame) -> DataFrame:
-    """The newest event of every queue."""
+    """The newest event of every queue, and of all queues under `latest`.
+
+    Also valid on a stream, where the state is one row per queue.
+    """
     newest = F.max(F.struct("emitted_at", "client_id", F.struct(*events.columns).alias("event")))
+    queues = F.array(queue_of(F.col("action")), F.lit(GLOBAL_QUEUE))
     return (
-        events.groupBy(queue_of(F.col("action")).alias("queue"))
+        events.withColumn("queue", F.explode(queues))
+        .groupBy("queue")
         .agg(newest.alias("m"))
         .select("queue", "m.event.*")
     )

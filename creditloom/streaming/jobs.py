@@ -60,16 +60,6 @@ def queue_sink(events: DataFrame, path: str) -> DataStreamWriter:
     )
 
 
-def latest_stream(events: DataFrame) -> DataFrame:
-    """The newest event of each queue, kept as streaming state of one row per queue."""
-    newest = F.max(F.struct("emitted_at", "client_id", F.struct(*events.columns).alias("event")))
-    return (
-        events.groupBy(queue_of(F.col("action")).alias("queue"))
-        .agg(newest.alias("m"))
-        .select("queue", "m.event.*")
-    )
-
-
 def upsert_sink(rows: DataFrame, path: str) -> DataStreamWriter:
     """Changed rows of every micro-batch, under the batch number."""
 

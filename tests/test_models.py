@@ -56,3 +56,20 @@ def test_train_run_and_save(spark, table, tmp_path):
     assert demo.count() == row["rows"]["demo"]
     models.save(model, str(tmp_path / "m"))
     assert len(models.load_stages(str(tmp_path / "m")).stages) == len(model.stages.stages)
+
+
+def test_decide_clients(spark, table):
+    from creditloom.plans.decision import decide_clients
+
+    model = models.fit(table, SPECS[0], ["x", "noise", "c"])
+    ids = spark.createDataFrame([(1,), (2,), (2,)], "SK_ID_CURR long")
+    asked = spark.createDataFrame([(2, "x", "1.0"), (2, "c", "low")], "client_id long, feature string, value string")
+    rows = decide_clients(table, ids, asked, model, 0.3, F.lit("2026-01-01").cast("timestamp")).orderBy("client_id").collect()
+    assert [r["client_id"] for r in rows] == [1, 2]
+    assert rows[0]["applied_overrides"] is None
+    assert rows[1]["applied_overrides"]["x"]["applied"] == "1.0"
+    assert rows[1]["probability"] > 0.5 and rows[1]["action"] == "recusa_candidata"
+    assert rows[1]["top_risk_factors"][0]["feature"] in ("x", "c")
+    absent = spark.createDataFrame([(10**9,)], "SK_ID_CURR long")
+    with pytest.raises(KeyError):
+        decide_clients(table, absent, asked, model, 0.3, F.lit("2026-01-01").cast("timestamp"))

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from creditloom.operators.drift import psi_numeric
 from creditloom.session import shared_dir
+from creditloom.sources import latest_per_queue
 from creditloom.streaming import jobs
 
 START = datetime(2026, 1, 1)
@@ -40,10 +41,11 @@ def test_triage_stream_equals_batch(spark, events):
 def test_latest_per_queue_over_batches(spark, events):
     base = shared_dir(spark, "out")
     triaged = jobs.triage_stream(stream(spark, events), "client", "p", 0.08, F.col("ts"))
-    jobs.run_available(jobs.upsert_sink(jobs.latest_stream(triaged), f"{base}/r"), f"{base}/c")
+    jobs.run_available(jobs.upsert_sink(latest_per_queue(triaged), f"{base}/r"), f"{base}/c")
     got = {r["queue"]: r["emitted_at"] for r in jobs.latest_rows(spark, f"{base}/r", ["queue"]).collect()}
     batch = jobs.triage_stream(events[1], "client", "p", 0.08, F.col("ts"))
     want = {r["action"]: r["m"] for r in batch.groupBy("action").agg(F.max("emitted_at").alias("m")).collect()}
+    assert got.pop("latest") == START + timedelta(minutes=119)
     assert got == want
 
 
