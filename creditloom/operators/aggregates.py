@@ -22,7 +22,7 @@ FUNCTIONS = {
     "max": F.max,
     "min": F.min,
     "nunique": F.count_distinct,
-    "count_positive": lambda c: F.count_if(c > 0),
+    "count_where": F.count_if,
 }
 
 # One Spark aggregate stays below this many expressions; wider requests take more scans.
@@ -35,12 +35,16 @@ def named_agg(
     aggregations: Mapping[str, tuple[str | Column, str]],
     keep_null_keys: bool = False,
 ) -> DataFrame:
-    """`out=(input, function)` aggregates; rows with a null key are left out by default."""
+    """`out=(input, function)` aggregates; rows with a null key are left out by default.
+
+    The input is a column or an SQL expression; `count_where` counts the rows where a
+    condition holds, an unknown condition not counting.
+    """
     if not keep_null_keys:
         df = df.dropna(subset=list(keys))
     exprs = []
     for out, (source, function) in aggregations.items():
-        value = F.col(source) if isinstance(source, str) else source
+        value = F.expr(source) if isinstance(source, str) else source
         exprs.append(FUNCTIONS[function](value).alias(out))
     return df.groupBy(*keys).agg(*exprs)
 

@@ -59,7 +59,7 @@ def psi_numeric(
     def binned(df: DataFrame) -> DataFrame:
         columns = []
         for feature in features:
-            value, cuts = F.col(feature).cast("double"), edges.get(feature, ())
+            value, cuts = F.col(feature).try_cast("double"), edges.get(feature, ())
             known = value.isNotNull() & ~F.isnan(value)
             bin_ = bin_of(value, cuts) if len(cuts) >= 2 else F.when(known, F.lit(-1))
             columns.append(bin_.alias(feature))

@@ -40,9 +40,9 @@ def cell_in_bucket(value: Column, low: Column, high: Column, weight: Column, tot
 
 def long_values(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """(by..., feature, value) rows of the numeric columns, missing values left out."""
-    doubles = [F.col(c).cast("double").alias(c) for c in cols]
+    doubles = [F.col(c).try_cast("double").alias(c) for c in cols]
     if len(cols) == 1:
-        rows = df.select(*by, F.lit(cols[0]).alias("feature"), F.col(cols[0]).cast("double").alias("value"))
+        rows = df.select(*by, F.lit(cols[0]).alias("feature"), doubles[0].alias("value"))
     else:
         rows = df.select(*by, *doubles).unpivot(list(by), list(cols), "feature", "value")
     keep = F.col("value").isNotNull() & ~F.isnan("value")
@@ -117,7 +117,7 @@ class QuantileSearch:
         The ranges also go to the scan as a plain filter, which drops most rows, and
         whole row groups where the file is ordered, before anything is computed.
         """
-        near = reduce(or_, [F.col(s.feature).between(F.lit(s.low), F.lit(s.high)) for s in spans])
+        near = reduce(or_, [F.col(s.feature).try_cast("double").between(F.lit(s.low), F.lit(s.high)) for s in spans])
         table = [
             (i, s.feature, s.bucket, s.low, s.high, s.start,
              [r for r in self._ranks(s.feature) if s.start <= r < s.start + s.n])

@@ -13,190 +13,156 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from creditloom.functions import fill_flag, flag, floor_below, safe_ratio
+from creditloom.functions import fill_flag, floor_below, safe_ratio
 from creditloom.operators.aggregates import named_agg
 from creditloom.operators.cleaning import with_prefix
 from creditloom.operators.joins import inner_bridge, left_attach, require_unique, semi_filter
 from creditloom.operators.quality import QualityError
 
 CLIENT = "SK_ID_CURR"
-OVERDUE_STATUS = ("1", "2", "3", "4", "5")
-
-
-def _of_universe(df: DataFrame, universe: DataFrame | None) -> DataFrame:
-    """Rows of known clients; without a universe the later left join drops the others."""
-    return df if universe is None else semi_filter(df, universe, CLIENT)
 
+# Feature -> (input, aggregate), and rate -> (numerator, denominator).
+BUREAU_FEATURES = {
+    "BUREAU_CNT_CREDITS": ("SK_ID_BUREAU", "count"),
+    "BUREAU_CNT_ACTIVE": ("CREDIT_ACTIVE = 'ACTIVE'", "count_where"),
+    "BUREAU_CNT_CLOSED": ("CREDIT_ACTIVE = 'CLOSED'", "count_where"),
+    "BUREAU_CNT_BAD_DEBT": ("CREDIT_ACTIVE = 'BAD DEBT'", "count_where"),
+    "BUREAU_AMT_CREDIT_SUM_SUM": ("AMT_CREDIT_SUM", "sum"),
+    "BUREAU_AMT_CREDIT_SUM_MEAN": ("AMT_CREDIT_SUM", "mean"),
+    "BUREAU_AMT_CREDIT_SUM_MAX": ("AMT_CREDIT_SUM", "max"),
+    "BUREAU_AMT_DEBT_SUM": ("AMT_CREDIT_SUM_DEBT", "sum"),
+    "BUREAU_AMT_OVERDUE_SUM": ("AMT_CREDIT_SUM_OVERDUE", "sum"),
+    "BUREAU_AMT_OVERDUE_MAX": ("AMT_CREDIT_SUM_OVERDUE", "max"),
+    "BUREAU_CREDIT_DAY_OVERDUE_MAX": ("CREDIT_DAY_OVERDUE", "max"),
+    "BUREAU_DAYS_CREDIT_MIN": ("DAYS_CREDIT", "min"),
+}
+CONTRACT_MONTHS = {
+    "months": ("MONTHS_BALANCE", "count"),
+    "overdue": ("STATUS IN ('1', '2', '3', '4', '5')", "count_where"),
+    "closed": ("STATUS = 'C'", "count_where"),
+    "unknown": ("STATUS = 'X'", "count_where"),
+}
+BALANCE_FEATURES = {
+    "BB_CNT_MONTHS": ("months", "sum"),
+    "BB_CNT_OVERDUE": ("overdue", "sum"),
+    "BB_CNT_CLOSED": ("closed", "sum"),
+    "BB_CNT_UNKNOWN": ("unknown", "sum"),
+    "BB_RATE_OVERDUE_MAX": ("overdue_rate", "max"),
+    "BB_RATE_OVERDUE_MEAN": ("overdue_rate", "mean"),
+    "BB_CONTRACTS_WITH_OVERDUE": ("overdue > 0", "count_where"),
+}
+POS_FEATURES = {
+    "POS_CNT_MONTHS": ("MONTHS_BALANCE", "count"),
+    "POS_SK_DPD_MAX": ("SK_DPD", "max"),
+    "POS_SK_DPD_MEAN": ("SK_DPD", "mean"),
+    "POS_CNT_DPD_GT0": ("SK_DPD > 0", "count_where"),
+    "POS_CNT_CONTRACTS": ("SK_ID_PREV", "nunique"),
+}
+POS_RATES = {"POS_RATE_DPD": ("POS_CNT_DPD_GT0", "POS_CNT_MONTHS")}
+CARD_USAGE = "AMT_BALANCE / nullif(AMT_CREDIT_LIMIT_ACTUAL, 0)"
+CARD_FEATURES = {
+    "CC_CNT_MONTHS": ("MONTHS_BALANCE", "count"),
+    "CC_SK_DPD_MAX": ("SK_DPD", "max"),
+    "CC_SK_DPD_MEAN": ("SK_DPD", "mean"),
+    "CC_CNT_DPD_GT0": ("SK_DPD > 0", "count_where"),
+    "CC_AMT_BALANCE_MEAN": ("AMT_BALANCE", "mean"),
+    "CC_AMT_BALANCE_MAX": ("AMT_BALANCE", "max"),
+    "CC_AMT_LIMIT_MEAN": ("AMT_CREDIT_LIMIT_ACTUAL", "mean"),
+    "CC_UTILIZATION_MEAN": (CARD_USAGE, "mean"),
+    "CC_UTILIZATION_MAX": (CARD_USAGE, "max"),
+    "CC_CNT_DRAWINGS_ATM_SUM": ("CNT_DRAWINGS_ATM_CURRENT", "sum"),
+}
+CARD_RATES = {"CC_RATE_DPD": ("CC_CNT_DPD_GT0", "CC_CNT_MONTHS")}
+PREVIOUS_FEATURES = {
+    "PREV_CNT_APPS": ("SK_ID_PREV", "count"),
+    "PREV_CNT_APPROVED": ("NAME_CONTRACT_STATUS = 'APPROVED'", "count_where"),
+    "PREV_CNT_REFUSED": ("NAME_CONTRACT_STATUS = 'REFUSED'", "count_where"),
+    "PREV_CNT_CANCELED": ("NAME_CONTRACT_STATUS = 'CANCELED'", "count_where"),
+    "PREV_AMT_APPLICATION_MEAN": ("AMT_APPLICATION", "mean"),
+    "PREV_AMT_APPLICATION_MAX": ("AMT_APPLICATION", "max"),
+    "PREV_AMT_CREDIT_MEAN": ("AMT_CREDIT", "mean"),
+    "PREV_DAYS_DECISION_MIN": ("DAYS_DECISION", "min"),
+}
+PREVIOUS_RATES = {
+    "PREV_APPROVAL_RATE": ("PREV_CNT_APPROVED", "PREV_CNT_APPS"),
+    "PREV_REFUSAL_RATE": ("PREV_CNT_REFUSED", "PREV_CNT_APPS"),
+}
+INSTALMENT = {
+    "due": ("AMT_INSTALMENT", "max"),
+    "paid": ("AMT_PAYMENT", "sum"),
+    "late": ("DIAS_DE_ATRASO", "max"),
+}
+INSTALMENT_FEATURES = {
+    "INST_CNT_PARCELAS": ("NUM_INSTALMENT_NUMBER", "count"),
+    "INST_AMT_INSTALMENT_SUM": ("due", "sum"),
+    "INST_AMT_PAYMENT_SUM": ("paid", "sum"),
+    "INST_AMT_GAP_SUM": ("gap", "sum"),
+    "INST_DIAS_ATRASO_MEAN": ("late", "mean"),
+    "INST_DIAS_ATRASO_MAX": ("late", "max"),
+    "INST_CNT_ATRASO": ("late > 0", "count_where"),
+    "INST_CNT_CALOTE": ("paid = 0", "count_where"),
+    "INST_CNT_UNDERPAY": ("gap > 0", "count_where"),
+}
+INSTALMENT_RATES = {
+    "INST_PAYMENT_RATIO": ("INST_AMT_PAYMENT_SUM", "INST_AMT_INSTALMENT_SUM"),
+    "INST_RATE_ATRASO": ("INST_CNT_ATRASO", "INST_CNT_PARCELAS"),
+    "INST_RATE_CALOTE": ("INST_CNT_CALOTE", "INST_CNT_PARCELAS"),
+    "INST_RATE_UNDERPAY": ("INST_CNT_UNDERPAY", "INST_CNT_PARCELAS"),
+}
+
+
+def _per_client(
+    df: DataFrame,
+    features: Mapping[str, tuple[str, str]],
+    rates: Mapping[str, tuple[str, str]],
+    presence: str,
+    universe: DataFrame | None,
+) -> DataFrame:
+    """Features per client, cut to the universe, with rates and the presence flag.
 
-def _is(col: str, value: str):
-    return flag(F.col(col) == value)
+    Without a universe the later left join drops the other clients.
+    """
+    out = named_agg(df, [CLIENT], features)
+    if universe is not None:
+        out = semi_filter(out, universe, CLIENT)
+    return out.withColumns(
+        {**{r: safe_ratio(F.col(n), F.col(d)) for r, (n, d) in rates.items()}, presence: F.lit(1)}
+    )
 
 
 def aggregate_bureau(bureau: DataFrame, universe: DataFrame | None = None) -> DataFrame:
-    out = named_agg(
-        bureau,
-        [CLIENT],
-        {
-            "BUREAU_CNT_CREDITS": ("SK_ID_BUREAU", "count"),
-            "BUREAU_CNT_ACTIVE": (_is("CREDIT_ACTIVE", "ACTIVE"), "sum"),
-            "BUREAU_CNT_CLOSED": (_is("CREDIT_ACTIVE", "CLOSED"), "sum"),
-            "BUREAU_CNT_BAD_DEBT": (_is("CREDIT_ACTIVE", "BAD DEBT"), "sum"),
-            "BUREAU_AMT_CREDIT_SUM_SUM": ("AMT_CREDIT_SUM", "sum"),
-            "BUREAU_AMT_CREDIT_SUM_MEAN": ("AMT_CREDIT_SUM", "mean"),
-            "BUREAU_AMT_CREDIT_SUM_MAX": ("AMT_CREDIT_SUM", "max"),
-            "BUREAU_AMT_DEBT_SUM": ("AMT_CREDIT_SUM_DEBT", "sum"),
-            "BUREAU_AMT_OVERDUE_SUM": ("AMT_CREDIT_SUM_OVERDUE", "sum"),
-            "BUREAU_AMT_OVERDUE_MAX": ("AMT_CREDIT_SUM_OVERDUE", "max"),
-            "BUREAU_CREDIT_DAY_OVERDUE_MAX": ("CREDIT_DAY_OVERDUE", "max"),
-            "BUREAU_DAYS_CREDIT_MIN": ("DAYS_CREDIT", "min"),
-        },
-    )
-    return _of_universe(out, universe).withColumn("HAS_BUREAU", F.lit(1))
+    return _per_client(bureau, BUREAU_FEATURES, {}, "HAS_BUREAU", universe)
 
 
 def aggregate_bureau_balance(
     balance: DataFrame, links: DataFrame, universe: DataFrame | None = None, check: bool = True
 ) -> DataFrame:
-    """Months -> contract -> client.
-
-    Months shrink to one row per contract before the bridge join.
-    """
-    per_contract = named_agg(
-        balance,
-        ["SK_ID_BUREAU"],
-        {
-            "months": ("MONTHS_BALANCE", "count"),
-            "overdue": (flag(F.col("STATUS").isin(*OVERDUE_STATUS)), "sum"),
-            "closed": (_is("STATUS", "C"), "sum"),
-            "unknown": (_is("STATUS", "X"), "sum"),
-        },
-    ).withColumn("overdue_rate", safe_ratio(F.col("overdue"), F.col("months")))
-    bridged = inner_bridge(per_contract, links, "SK_ID_BUREAU", CLIENT, check)
-    out = named_agg(
-        bridged,
-        [CLIENT],
-        {
-            "BB_CNT_MONTHS": ("months", "sum"),
-            "BB_CNT_OVERDUE": ("overdue", "sum"),
-            "BB_CNT_CLOSED": ("closed", "sum"),
-            "BB_CNT_UNKNOWN": ("unknown", "sum"),
-            "BB_RATE_OVERDUE_MAX": ("overdue_rate", "max"),
-            "BB_RATE_OVERDUE_MEAN": ("overdue_rate", "mean"),
-            "BB_CONTRACTS_WITH_OVERDUE": ("overdue", "count_positive"),
-        },
+    """Months -> contract -> client; months shrink to one row per contract before the bridge join."""
+    contracts = named_agg(balance, ["SK_ID_BUREAU"], CONTRACT_MONTHS).withColumn(
+        "overdue_rate", safe_ratio(F.col("overdue"), F.col("months"))
     )
-    return _of_universe(out, universe).withColumn("HAS_BUREAU_BALANCE", F.lit(1))
+    bridged = inner_bridge(contracts, links, "SK_ID_BUREAU", CLIENT, check)
+    return _per_client(bridged, BALANCE_FEATURES, {}, "HAS_BUREAU_BALANCE", universe)
 
 
 def aggregate_pos_cash(pos: DataFrame, universe: DataFrame | None = None) -> DataFrame:
-    out = named_agg(
-        pos,
-        [CLIENT],
-        {
-            "POS_CNT_MONTHS": ("MONTHS_BALANCE", "count"),
-            "POS_SK_DPD_MAX": ("SK_DPD", "max"),
-            "POS_SK_DPD_MEAN": ("SK_DPD", "mean"),
-            "POS_CNT_DPD_GT0": (flag(F.col("SK_DPD") > 0), "sum"),
-            "POS_CNT_CONTRACTS": ("SK_ID_PREV", "nunique"),
-        },
-    )
-    return _of_universe(out, universe).withColumns(
-        {
-            "POS_RATE_DPD": safe_ratio(F.col("POS_CNT_DPD_GT0"), F.col("POS_CNT_MONTHS")),
-            "HAS_POS_CASH": F.lit(1),
-        }
-    )
+    return _per_client(pos, POS_FEATURES, POS_RATES, "HAS_POS_CASH", universe)
 
 
 def aggregate_credit_card(card: DataFrame, universe: DataFrame | None = None) -> DataFrame:
-    usage = safe_ratio(F.col("AMT_BALANCE"), F.col("AMT_CREDIT_LIMIT_ACTUAL"))
-    out = named_agg(
-        card,
-        [CLIENT],
-        {
-            "CC_CNT_MONTHS": ("MONTHS_BALANCE", "count"),
-            "CC_SK_DPD_MAX": ("SK_DPD", "max"),
-            "CC_SK_DPD_MEAN": ("SK_DPD", "mean"),
-            "CC_CNT_DPD_GT0": (flag(F.col("SK_DPD") > 0), "sum"),
-            "CC_AMT_BALANCE_MEAN": ("AMT_BALANCE", "mean"),
-            "CC_AMT_BALANCE_MAX": ("AMT_BALANCE", "max"),
-            "CC_AMT_LIMIT_MEAN": ("AMT_CREDIT_LIMIT_ACTUAL", "mean"),
-            "CC_UTILIZATION_MEAN": (usage, "mean"),
-            "CC_UTILIZATION_MAX": (usage, "max"),
-            "CC_CNT_DRAWINGS_ATM_SUM": ("CNT_DRAWINGS_ATM_CURRENT", "sum"),
-        },
-    )
-    return _of_universe(out, universe).withColumns(
-        {
-            "CC_RATE_DPD": safe_ratio(F.col("CC_CNT_DPD_GT0"), F.col("CC_CNT_MONTHS")),
-            "HAS_CREDIT_CARD": F.lit(1),
-        }
-    )
+    return _per_client(card, CARD_FEATURES, CARD_RATES, "HAS_CREDIT_CARD", universe)
 
 
 def aggregate_previous_application(previous: DataFrame, universe: DataFrame | None = None) -> DataFrame:
-    status = "NAME_CONTRACT_STATUS"
-    out = named_agg(
-        previous,
-        [CLIENT],
-        {
-            "PREV_CNT_APPS": ("SK_ID_PREV", "count"),
-            "PREV_CNT_APPROVED": (_is(status, "APPROVED"), "sum"),
-            "PREV_CNT_REFUSED": (_is(status, "REFUSED"), "sum"),
-            "PREV_CNT_CANCELED": (_is(status, "CANCELED"), "sum"),
-            "PREV_AMT_APPLICATION_MEAN": ("AMT_APPLICATION", "mean"),
-            "PREV_AMT_APPLICATION_MAX": ("AMT_APPLICATION", "max"),
-            "PREV_AMT_CREDIT_MEAN": ("AMT_CREDIT", "mean"),
-            "PREV_DAYS_DECISION_MIN": ("DAYS_DECISION", "min"),
-        },
-    )
-    return _of_universe(out, universe).withColumns(
-        {
-            "PREV_APPROVAL_RATE": safe_ratio(F.col("PREV_CNT_APPROVED"), F.col("PREV_CNT_APPS")),
-            "PREV_REFUSAL_RATE": safe_ratio(F.col("PREV_CNT_REFUSED"), F.col("PREV_CNT_APPS")),
-            "HAS_PREVIOUS_APP": F.lit(1),
-        }
-    )
+    return _per_client(previous, PREVIOUS_FEATURES, PREVIOUS_RATES, "HAS_PREVIOUS_APP", universe)
 
 
 def aggregate_installments(payments: DataFrame, universe: DataFrame | None = None) -> DataFrame:
     """Split payments collapse to one row per instalment before the client level."""
-    instalments = named_agg(
-        payments,
-        ["SK_ID_PREV", CLIENT, "NUM_INSTALMENT_NUMBER"],
-        {
-            "due": ("AMT_INSTALMENT", "max"),
-            "paid": ("AMT_PAYMENT", "sum"),
-            "late": ("DIAS_DE_ATRASO", "max"),
-        },
-    ).withColumn("gap", floor_below(F.col("due") - F.col("paid"), 0.0))
-    out = named_agg(
-        instalments,
-        [CLIENT],
-        {
-            "INST_CNT_PARCELAS": ("NUM_INSTALMENT_NUMBER", "count"),
-            "INST_AMT_INSTALMENT_SUM": ("due", "sum"),
-            "INST_AMT_PAYMENT_SUM": ("paid", "sum"),
-            "INST_AMT_GAP_SUM": ("gap", "sum"),
-            "INST_DIAS_ATRASO_MEAN": ("late", "mean"),
-            "INST_DIAS_ATRASO_MAX": ("late", "max"),
-            "INST_CNT_ATRASO": (flag(F.col("late") > 0), "sum"),
-            "INST_CNT_CALOTE": (flag(F.col("paid") == 0), "sum"),
-            "INST_CNT_UNDERPAY": (flag(F.col("gap") > 0), "sum"),
-        },
-    )
-    count = F.col("INST_CNT_PARCELAS")
-    return _of_universe(out, universe).withColumns(
-        {
-            "INST_PAYMENT_RATIO": safe_ratio(F.col("INST_AMT_PAYMENT_SUM"), F.col("INST_AMT_INSTALMENT_SUM")),
-            "INST_RATE_ATRASO": safe_ratio(F.col("INST_CNT_ATRASO"), count),
-            "INST_RATE_CALOTE": safe_ratio(F.col("INST_CNT_CALOTE"), count),
-            "INST_RATE_UNDERPAY": safe_ratio(F.col("INST_CNT_UNDERPAY"), count),
-            "HAS_INSTALLMENTS": F.lit(1),
-        }
-    )
+    instalments = named_agg(payments, ["SK_ID_PREV", CLIENT, "NUM_INSTALMENT_NUMBER"], INSTALMENT)
+    instalments = instalments.withColumn("gap", floor_below(F.col("due") - F.col("paid"), 0.0))
+    return _per_client(instalments, INSTALMENT_FEATURES, INSTALMENT_RATES, "HAS_INSTALLMENTS", universe)
 
 
 def check_binary_flags(df: DataFrame) -> None:
@@ -226,6 +192,3 @@ def build_abt(application: DataFrame, aggregates: Mapping[str, DataFrame], check
     flags = with_prefix(out, "HAS_")
     return out.withColumns({c: fill_flag(F.col(c)) for c in flags}) if flags else out
 
-
-def numeric_features(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]

@@ -7,6 +7,7 @@ after the checks passed. Steps hand over paths, never rows.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -74,19 +75,22 @@ def clean_tables(
     table_ids: Sequence[str] = tuple(TABLES),
     schemas: Mapping[str, T.StructType | str] | None = None,
     expected_rows: Mapping[str, int] | None = None,
+    at_once: int = 2,
 ) -> DataFrame:
-    """Run every table; a failing one is reported and does not stop the others."""
-    outcomes = []
-    for table_id in table_ids:
+    """Run every table, `at_once` together; a failing one is reported and does not stop the others."""
+
+    def run(table_id: str) -> tuple[str, str, str]:
         try:
             clean_table(
                 spark, table_id, raw_dir, clean_dir, run_id,
                 (schemas or {}).get(table_id), (expected_rows or {}).get(table_id),
             )
-            outcomes.append((table_id, "published", ""))
+            return table_id, "published", ""
         except Exception as error:  # noqa: BLE001 - each table reports its own failure
-            outcomes.append((table_id, "failed", str(error)))
-    return spark.createDataFrame(outcomes, RESULT)
+            return table_id, "failed", str(error)
+
+    with ThreadPoolExecutor(at_once) as pool:
+        return spark.createDataFrame(list(pool.map(run, table_ids)), RESULT)
 
 
 def build_gold(

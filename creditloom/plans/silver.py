@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 
 from creditloom.operators import cleaning as c
 
+# Card drawings that are zero when missing, and capped overdue columns.
 DRAWINGS = tuple(
     f"{kind}_DRAWINGS_{channel}CURRENT" for kind in ("AMT", "CNT") for channel in ("ATM_", "", "POS_", "OTHER_")
 )
@@ -95,6 +96,7 @@ class TableSpec:
         return f"{self.table_id}_silver.parquet"
 
 
+# The tables in processing order and the volumes they must have.
 TABLES = {
     spec.table_id: spec
     for spec in (
