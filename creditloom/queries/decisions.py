@@ -64,7 +64,7 @@ PROBS = "[" + ", ".join(f"{i / 10!r}" for i in range(11)) + "]"
         UNION ALL SELECT 'NAME_EDUCATION_TYPE', coalesce(NAME_EDUCATION_TYPE, 'Não informado'), avg(probability), count(*)
           FROM scored GROUP BY 2
         UNION ALL SELECT 'AMT_CREDIT', CASE WHEN b IS NULL THEN 'Não informado'
-            ELSE printf('%.2f - %.2f', greatest(e[b + 1], 0e0), greatest(e[b + 2], 0e0)) END, avg(probability), count(*)
+            ELSE printf('%.2f - %.2f', greatest(e[b + 1], 0e0) + 1e-9, greatest(e[b + 2], 0e0) + 1e-9) END, avg(probability), count(*)
           FROM (SELECT *, CASE WHEN AMT_CREDIT IS NOT NULL THEN len(list_filter(e[2:-2], lambda x: x < AMT_CREDIT)) END AS b
                 FROM (SELECT *, (SELECT quantile_cont(AMT_CREDIT, {PROBS}) FROM scored) AS e FROM scored)) GROUP BY 2""",
     "mean_risk",

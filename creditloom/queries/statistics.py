@@ -154,7 +154,7 @@ def avg_rows_per_key(spark, sf_dir):
     """SELECT l_orderkey, l_linenumber, l_partkey, b AS band, CASE WHEN b IS NOT NULL THEN greatest(e[b + 1], 0) END AS band_lo,
          CASE WHEN b IS NOT NULL THEN greatest(e[b + 2], 0) END AS band_hi,
          CASE WHEN b IS NULL THEN 'Não informado'
-              ELSE printf('%.2f - %.2f', greatest(e[b + 1], 0e0), greatest(e[b + 2], 0e0)) END AS band_label
+              ELSE printf('%.2f - %.2f', greatest(e[b + 1], 0e0) + 1e-9, greatest(e[b + 2], 0e0) + 1e-9) END AS band_label
        FROM (SELECT *, CASE WHEN v IS NOT NULL THEN CAST(len(list_filter(e[2:-2], lambda x: x < v)) AS INT) END AS b
              FROM (SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_partkey % 50 = 0 THEN NULL ELSE l_quantity END AS v,
                      (SELECT list_sort(list_distinct(quantile_cont(l_quantity,
