@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from creditloom.llm import byte_bpe
 from creditloom.llm.fair_mix import fair_mix
+from creditloom.llm.line_dedup import line_dedup
 from creditloom.llm.tree_dedup import tree_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +32,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@register("op3_byte_bpe")
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(documents(spark, sf_dir))
+
+
+def bpe_digests(docs: DataFrame) -> DataFrame:
+    vocabulary = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    encoded = byte_bpe.encode(docs, vocabulary, public_tokenizers.PATTERN)
+    return byte_bpe.digests(byte_bpe.decode(encoded, vocabulary))
+
+
 @register(
     "op7_tree_dedup",
     """
@@ -41,6 +55,26 @@ def op7_tree_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tree_dedup(documents(spark, sf_dir), keep="largest")
 
 
+@register(
+    "op8_line_dedup",
+    r"""
+    WITH lines AS (
+      SELECT doc_id, n, line,
+             translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+      FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                   generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS n FROM documents)),
+    common AS (SELECT key FROM lines WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+    SELECT doc_id, count(*) AS n_lines, count(common.key) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (WHERE common.key IS NULL), '')) AS kept_sha256
+    FROM lines LEFT JOIN common USING (key) GROUP BY doc_id
+    """,
+)
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup(documents(spark, sf_dir), min_docs=10, payload=["doc_id"])
+    return found.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 @register(
     "op10_fair_mix",
     r"""
