@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import base64
 import struct
-from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -19,9 +18,8 @@ from creditloom.llm.common import text_of
 BPE, NORMAL, UNKNOWN = 2, 1, 2
 """Values of the model format: the model type, and the piece types."""
 LONG_TOKEN = 64
-CACHE = 300_000
-"""Words and pre-tokens up to LONG_TOKEN characters are remembered, about CACHE of them in a task."""
-APART = chr(0x100 + 0xFF)
+CACHE = 200_000
+"""Pre-tokens up to LONG_TOKEN characters are remembered, CACHE of them in a task at most."""
 CHUNK = 1_000_000
 """Characters that are cut into pre-tokens at once."""
 TO_LETTERS = {b: 0x100 + b for b in range(256)}
@@ -85,10 +83,8 @@ class Encoder:
         self.known: dict[str, bytes] = {}
 
     def _encode(self, tokens: list[str]) -> dict[str, bytes]:
-        """Ids of new tokens; they are mapped to letters together, apart at a byte that UTF-8 never has."""
-        mapped = np.frombuffer(b"\xff".join(t.encode() for t in tokens), np.uint8).astype("<u4") + 0x100
-        ids = self.pieces.encode(mapped.tobytes().decode("utf-32-le").split(APART), num_threads=1)
-        return {t: array("I", i).tobytes() for t, i in zip(tokens, ids)}
+        ids = self.pieces.encode([letters(t.encode()) for t in tokens], num_threads=1)
+        return {t: np.array(i, dtype="<u4").tobytes() for t, i in zip(tokens, ids)}
 
     def _chunks(self, text: str) -> Iterator[str]:
         """Cuts before white space that follows other characters, which no pre-token spans."""
@@ -101,46 +97,27 @@ class Encoder:
             start = edge.end()
         yield text[start:]
 
-    def _learn(self, units: list[str], whole: bool) -> None:
-        """Remember the ids of new units: pre-tokens if `whole`, else cut into pre-tokens first."""
-        cut = {u: [u] if whole else self.pattern.findall(u) for u in units}
-        new = {t for tokens in cut.values() for t in tokens if t not in self.known}
-        if new:
-            self.known.update(self._encode(list(new)))
-        for unit, tokens in cut.items():
-            if unit not in new:
-                self.known[unit] = b"".join([self.known[t] for t in tokens])
-
     def __call__(self, text: str) -> bytes:
         packed = []
         for chunk in self._chunks(text):
-            first, *rest = chunk.split(" ")
-            units = [first, *[" " + word for word in rest]]
+            tokens = self.pattern.findall(chunk)
+            new = self._encode([t for t in set(tokens) if t not in self.known])
             if len(self.known) > CACHE:
-                self.known.clear()
-            new = [u for u in set(units) if u not in self.known]
-            whole = not all(map(_apart, new))
-            if whole:
-                units = self.pattern.findall(chunk)
-                new = [u for u in set(units) if u not in self.known]
-            self._learn(new, whole)
-            packed.append(b"".join([self.known[u] for u in units]))
-            for unit in new:
-                if len(unit) > LONG_TOKEN:
-                    del self.known[unit]
+                new = {t: self.known[t] for t in set(tokens) if t in self.known} | new
+                self.known = {}
+            ids = self.known | new if len(new) > len(self.known) else self.known
+            if ids is self.known:
+                ids.update(new)
+            packed.append(b"".join(map(ids.__getitem__, tokens)))
+            if ids is self.known:
+                for t in new:
+                    if len(t) > LONG_TOKEN:
+                        del ids[t]
+            else:
+                self.known = {t: i for t, i in ids.items() if len(t) <= LONG_TOKEN}
         return b"".join(packed)
 
 
-def _apart(unit: str) -> bool:
-    """Whether a word with the space before it, or a text's first word, can be cut off by itself.
-
-    No pre-token spans a space that follows something else than white space. So cutting before
-    single spaces leaves the pre-tokens as they are, unless a space stands beside other white space.
-    """
-    word = unit[1:] if unit[:1] == " " else unit
-    return not (word[-1:].isspace() or unit[:1] == " " and (not word or word[0].isspace()))
-
-
 def encode(
     docs: DataFrame, vocabulary: list[bytes], pattern: str, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
