@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import base64
+import re
 import struct
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -18,8 +20,12 @@ from creditloom.llm.common import text_of
 BPE, NORMAL, UNKNOWN = 2, 1, 2
 """Values of the model format: the model type, and the piece types."""
 LONG_TOKEN = 64
-CACHE = 200_000
+CACHE = 400_000
 """Pre-tokens up to LONG_TOKEN characters are remembered, CACHE of them in a task at most."""
+APART = chr(0x100 + 0xFF)
+LATIN = 0x180
+BEYOND_LATIN = re.compile(f"[^\\x00-{chr(LATIN - 1)}]")
+CLASS = r"\\(?:p\{\w+\}|[sS])"
 CHUNK = 1_000_000
 """Characters that are cut into pre-tokens at once."""
 TO_LETTERS = {b: 0x100 + b for b in range(256)}
@@ -73,18 +79,36 @@ def _block(field: int, content: bytes) -> bytes:
     return _varint(field << 3 | 2) + _varint(len(content)) + content
 
 
+def latin_pattern(pattern: str) -> str:
+    """The pattern with its classes written out for code points below LATIN, where they are short."""
+
+    def ranges(name: str) -> str:
+        chosen = [c for c in range(LATIN) if regex.match(name, chr(c))]
+        runs = [(c, c) for c in chosen]
+        for c in reversed(range(1, len(runs))):
+            if runs[c][0] == runs[c - 1][1] + 1:
+                runs[c - 1 : c + 1] = [(runs[c - 1][0], runs[c][1])]
+        return "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in runs)
+
+    inside = re.sub(r"\[[^]]*\]", lambda m: re.sub(CLASS, lambda c: ranges(c[0]), m[0]), pattern)
+    return re.sub(CLASS, lambda c: f"[{ranges(c[0])}]", inside)
+
+
 class Encoder:
     """Text to ids, packed as little-endian unsigned 32-bit integers."""
 
     def __init__(self, model: bytes, pattern: str):
         self.pieces = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.pattern = regex.compile(pattern)
+        self.latin = re.compile(latin_pattern(pattern))
         self.edge = regex.compile(r"\S(?=\s)")
         self.known: dict[str, bytes] = {}
 
     def _encode(self, tokens: list[str]) -> dict[str, bytes]:
-        ids = self.pieces.encode([letters(t.encode()) for t in tokens], num_threads=1)
-        return {t: np.array(i, dtype="<u4").tobytes() for t, i in zip(tokens, ids)}
+        """Ids of new tokens; they are mapped to letters together, apart at a byte that UTF-8 never has."""
+        mapped = np.frombuffer(b"\xff".join(map(str.encode, tokens)), np.uint8).astype("<u4") + 0x100
+        ids = self.pieces.encode(mapped.tobytes().decode("utf-32-le").split(APART), num_threads=1)
+        return {t: array("I", i).tobytes() for t, i in zip(tokens, ids)}
 
     def _chunks(self, text: str) -> Iterator[str]:
         """Cuts before white space that follows other characters, which no pre-token spans."""
@@ -100,21 +124,18 @@ class Encoder:
     def __call__(self, text: str) -> bytes:
         packed = []
         for chunk in self._chunks(text):
-            tokens = self.pattern.findall(chunk)
-            new = self._encode([t for t in set(tokens) if t not in self.known])
-            if len(self.known) > CACHE:
-                new = {t: self.known[t] for t in set(tokens) if t in self.known} | new
-                self.known = {}
-            ids = self.known | new if len(new) > len(self.known) else self.known
-            if ids is self.known:
-                ids.update(new)
-            packed.append(b"".join(map(ids.__getitem__, tokens)))
-            if ids is self.known:
-                for t in new:
-                    if len(t) > LONG_TOKEN:
-                        del ids[t]
-            else:
-                self.known = {t: i for t, i in ids.items() if len(t) <= LONG_TOKEN}
+            tokens = (self.pattern if BEYOND_LATIN.search(chunk) else self.latin).findall(chunk)
+            distinct = set(tokens)
+            new = [t for t in distinct if t not in self.known]
+            if len(self.known) + len(new) > CACHE:
+                self.known.clear()
+                new = list(distinct)
+            if new:
+                self.known.update(self._encode(new))
+            packed.append(b"".join([self.known[t] for t in tokens]))
+            for t in new:
+                if len(t) > LONG_TOKEN:
+                    del self.known[t]
         return b"".join(packed)
 
 
