@@ -20,7 +20,7 @@ from creditloom.llm.common import text_of
 BPE, NORMAL, UNKNOWN = 2, 1, 2
 """Values of the model format: the model type, and the piece types."""
 LONG_TOKEN = 64
-CACHE = 400_000
+CACHE = 200_000
 """Pre-tokens up to LONG_TOKEN characters are remembered, CACHE of them in a task at most."""
 APART = chr(0x100 + 0xFF)
 LATIN = 0x180
@@ -171,7 +171,7 @@ def decode(encoded: DataFrame, vocabulary: list[bytes]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bytes_of: Callable[[int], bytes] = tokens.value.__getitem__
         for batch in batches:
-            ids = [np.frombuffer(i.as_py() or b"", dtype="<u4").tolist() for i in batch.column(1)]
+            ids = (np.frombuffer(i.as_py() or b"", dtype="<u4").tolist() for i in batch.column(1))
             decoded = pa.array([b"".join(map(bytes_of, i)) for i in ids], pa.binary())
             yield pa.record_batch([batch.column(0), batch.column(1), decoded], ["doc_id", "ids", "decoded"])
 
