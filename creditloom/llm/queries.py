@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditloom.llm import byte_bpe
+from creditloom.llm.divergence import quality_rules
 from creditloom.llm.fair_mix import fair_mix
 from creditloom.llm.line_dedup import line_dedup
+from creditloom.llm.pii_crf import KINDS, personal_data
 from creditloom.llm.tree_dedup import tree_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +34,25 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@register("op1_skip_chain_pii")
+def op1_skip_chain_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data(documents(spark, sf_dir))
+
+    def joined(spans: str) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        *[number(kind).alias(f"n_{kind}") for kind in KINDS],
+        F.sha2(joined("base"), 256).alias("base_sha256"),
+        joined("spans").alias("spans"),
+        (F.size("spans") - F.size("base")).cast("long").alias("n_added"),
+    )
+
+
 @register("op3_byte_bpe")
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(documents(spark, sf_dir))
@@ -43,6 +64,14 @@ def bpe_digests(docs: DataFrame) -> DataFrame:
     return byte_bpe.digests(byte_bpe.decode(encoded, vocabulary))
 
 
+@register("op6_divergence")
+def op6_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(documents(spark, sf_dir), payload=["doc_id"]).select(
+        "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        F.round("char_divergence", 6).alias("char_divergence"), F.round("word_divergence", 6).alias("word_divergence"),
+    )
+
+
 @register(
     "op7_tree_dedup",
     """
