@@ -34,7 +34,7 @@ WINDOW = 8
 def quality_rules(
     docs: DataFrame, min_words: int = 20, max_repeat_pct: int = 30, judge_words: int = 50,
     max_char_divergence: float = 0.04, max_word_divergence: float = 0.062,
-    char_allowance: float = 2.0, word_allowance: float = 1.0, text_col: str = "text", lang_col: str = "lang", payload: list[str] | None = None,
+    char_allowance: float = 2.0, word_allowance: float = 1.2, text_col: str = "text", lang_col: str = "lang", payload: list[str] | None = None,
 ) -> DataFrame:
     """Base counts of every whole text and whether it is kept.
 

@@ -105,7 +105,7 @@ def mentions(text: str) -> list[tuple[int, int, int, int, int]]:
 
 
 def personal_data(
-    docs: DataFrame, rounds: int = 6, certain: float = 0.5, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, rounds: int = 6, certain: float = 0.9, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """The base spans of every whole text, and those a skip-chain CRF adds.
 

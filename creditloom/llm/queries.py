@@ -12,6 +12,7 @@ from creditloom.llm import byte_bpe
 from creditloom.llm.divergence import quality_rules
 from creditloom.llm.fair_mix import fair_mix
 from creditloom.llm.line_dedup import line_dedup
+from creditloom.llm.odd_sketch import near_duplicates
 from creditloom.llm.pii_crf import KINDS, personal_data
 from creditloom.llm.tree_dedup import tree_dedup
 
@@ -104,6 +105,11 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+@register("op9_odd_sketch")
+def op9_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir))
+
+
 @register(
     "op10_fair_mix",
     r"""
