@@ -2,11 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from creditloom.llm.divergence import quality_rules
+from creditloom.llm.fair_mix import fair_mix, mixed_documents
+from creditloom.llm.line_dedup import line_dedup
+from creditloom.llm.odd_sketch import near_duplicates
+from creditloom.llm.queries import bpe_digests
 from creditloom.session import materialize
 
-STAGES: list = []
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    return quality_rules(docs).where("kept").select("row.*")
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that ten or more share; n_chars follows the text."""
+    found = line_dedup(docs, payload=[c for c in docs.columns if c not in ("text", "n_chars")])
+    return found.select("row.*", F.col("kept_text").alias("text"), F.length("kept_text").cast("long").alias("n_chars"))
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates; of rows repeated as a whole, one."""
+    stay = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("stays")).distinct()
+    kept = docs.join(stay, F.col("doc_id").eqNullSafe(F.col("stays")), "left_semi")
+    same = Window.partitionBy("doc_id", "text_hash").orderBy(F.lit(1))
+    numbered = kept.withColumn("text_hash", F.xxhash64("text")).withColumn("nth", F.row_number().over(same))
+    return numbered.where("nth = 1").drop("text_hash", "nth")
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    return mixed_documents(fair_mix(docs))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids with the digests of ids and decoded text."""
+    return bpe_digests(docs)
+
+
+STAGES = [("quality", quality), ("lines", lines), ("near", near), ("mix", mix), ("encode", encode)]
 ORACLE_SQL = None
 
 
@@ -15,4 +52,4 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir) if STAGES else docs
+    return STAGES[-1][1](spark, docs, sf_dir)

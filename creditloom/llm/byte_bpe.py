@@ -179,10 +179,11 @@ def decode(encoded: DataFrame, vocabulary: list[bytes]) -> DataFrame:
 
 
 def digests(decoded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens and the digests of ids and decoded bytes."""
+    """doc_id, n_tokens, the digests of ids and decoded bytes, and the ids."""
     return decoded.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        "ids",
     )

@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm import byte_bpe
+from creditloom.llm import byte_bpe, warc
+from creditloom.llm.backoff import backoff_scores
+from creditloom.llm.cotrain import co_train, score
 from creditloom.llm.divergence import quality_rules
 from creditloom.llm.fair_mix import fair_mix
 from creditloom.llm.line_dedup import line_dedup
@@ -54,9 +56,14 @@ def op1_skip_chain_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("op2_stupid_backoff")
+def op2_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff_scores(documents(spark, sf_dir))
+
+
 @register("op3_byte_bpe")
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe_digests(documents(spark, sf_dir))
+    return bpe_digests(documents(spark, sf_dir)).drop("ids")
 
 
 def bpe_digests(docs: DataFrame) -> DataFrame:
@@ -65,6 +72,22 @@ def bpe_digests(docs: DataFrame) -> DataFrame:
     return byte_bpe.digests(byte_bpe.decode(encoded, vocabulary))
 
 
+@register("op4_warc_derivatives")
+def op4_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.derivatives(warc.responses(spark.read.parquet(f"{sf_dir}/pages.parquet")))
+    return records.select(
+        "page_id", "record_type", "record_id", "refers_to", "target_uri", "source_digest",
+        F.octet_length("block").cast("long").alias("n_bytes"), "block_digest",
+        F.sha2("record", 256).alias("record_sha256"),
+    )
+
+
+@register("op5_cotraining")
+def op5_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return score(docs, co_train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 @register("op6_divergence")
 def op6_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir), payload=["doc_id"]).select(
