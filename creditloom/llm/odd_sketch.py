@@ -105,12 +105,13 @@ def near_duplicates(
 
     Buckets are never expanded into all pairs. First every member meets the bucket's smallest; links
     make components, and members of one component need no further comparison. Members outside
-    then meet a random one of the bucket. What is left are buckets with several components: with up
+    then meet a random one of each other component that a bucket offers. What is left are buckets with several components: with up
     to 64 members outside the main component, these meet all members; in others, candidates must
     share a second such bucket. Sketches are compared inside that join, so that only likely pairs
     leave it, each counted once.
 
-    Sets are made again from the text for classes in pairs only, chosen by a bitmap of bounded size.
+    Sets are made again from the text for classes in shared buckets only, chosen by a bitmap of
+    bounded size, and written once.
     Nothing of the size of the corpus reaches the driver.
 
     Null and empty texts have no shingles, no links, and are kept. Rows repeated with identifier and
@@ -139,18 +140,20 @@ def near_duplicates(
 
     floor = most_differing(sketch_floor)
     first = members.where("digest <> smallest").select(F.col("digest").alias("a"), F.col("smallest").alias("b"))
-    links = _confirm(_likely(first, classes, percent, floor), read, percent)
+    sets = _sets_of(members.select("digest").distinct(), read)
+    links = _confirm(_likely(first, classes, percent, floor), sets, percent)
     labelled = _labelled(members, components(links))
     any_one = labelled.groupBy("bucket").agg(
         F.max_by(F.struct("digest", "root"), F.xxhash64("bucket", "digest")).alias("other")
     )
     second = labelled.join(any_one, "bucket").where("root <> other.root")
-    second = second.select(F.col("digest").alias("a"), F.col("other.digest").alias("b"))
-    links = materialize(links.union(_confirm(_likely(second, classes, percent, floor), read, percent)), "links")
+    second = second.groupBy(F.col("digest").alias("a"), "other.root").agg(F.max("other.digest").alias("b"))
+    likely = _likely(second.select("a", "b"), classes, percent, floor)
+    links = materialize(links.union(_confirm(likely, sets, percent)), "links")
 
     labelled = _labelled(members, components(links))
     rest = _remaining(labelled, classes, percent, floor)
-    links = links.union(_confirm(rest, read, percent))
+    links = links.union(_confirm(rest, sets, percent))
 
     roots = components(links)
     found = classes.select("digest", "least").join(roots, classes["digest"] == roots["node"], "left")
@@ -239,36 +242,45 @@ def _remaining(labelled: DataFrame, classes: DataFrame, percent: int, floor: int
     sized = labelled.join(main, "bucket").withColumn("outside", F.col("m") - F.col("in_main"))
     facts = classes.select("digest", "n", "sketch")
 
-    few = sized.where(F.col("outside") <= FEW).join(facts, "digest")
+    few = _with_list(sized.where(F.col("outside") <= FEW).select("bucket", "digest", "root", "main")).join(
+        facts, "digest"
+    )
     pairs = few.where("root <> main").alias("x").join(
         few.alias("y"),
         (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.root") != F.col("y.root"))
-        & _alike("x", "y", percent, floor),
+        & _alike("x", "y", percent, floor)
+        & (F.col("x.bucket") == F.array_min(F.array_intersect("x.buckets", "y.buckets"))),
     ).select(F.col("x.digest").alias("a"), F.col("y.digest").alias("b"))
 
-    many = sized.where(F.col("outside") > FEW).select("bucket", "digest", "root")
-    twice = many.alias("x").join(
-        many.alias("y"), (F.col("x.digest") == F.col("y.digest")) & (F.col("x.bucket") < F.col("y.bucket"))
-    ).select(
-        F.xxhash64("x.bucket", "y.bucket").alias("bucket"), F.col("x.digest").alias("digest"),
-        F.col("x.root").alias("root"),
+    many = sized.where(F.col("outside") > FEW).groupBy("digest").agg(
+        F.array_sort(F.collect_set("bucket")).alias("buckets"), F.first("root").alias("root")
     )
+    twice = many.withColumn("low", F.explode("buckets")).withColumn("high", F.explode("buckets")).where("low < high")
+    twice = twice.select(F.xxhash64("low", "high").alias("bucket"), "digest", "root", "buckets")
     mixed = twice.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
     twice = materialize(twice.join(mixed.select("bucket"), "bucket").join(facts, "digest"), "twice-shared")
+    shared = F.array_sort(F.array_intersect("x.buckets", "y.buckets"))
+    lowest_two = F.xxhash64(F.get(shared, F.lit(0)), F.get(shared, F.lit(1)))
     more = twice.alias("x").join(
         twice.alias("y"),
         (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.digest") > F.col("y.digest"))
-        & (F.col("x.root") != F.col("y.root")) & _alike("x", "y", percent, floor),
+        & (F.col("x.root") != F.col("y.root")) & _alike("x", "y", percent, floor)
+        & (F.col("x.bucket") == lowest_two),
     ).select(F.col("x.digest").alias("a"), F.col("y.digest").alias("b"))
     both = pairs.union(more)
     return both.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
-def _confirm(pairs: DataFrame, read: DataFrame, percent: int) -> DataFrame:
-    """The pairs that are linked, by their full sets."""
-    pairs = materialize(pairs, "candidates")
-    wanted = pairs.select(F.col("a").alias("digest")).union(pairs.select("b"))
-    n = wanted.distinct().count()
+def _with_list(rows: DataFrame) -> DataFrame:
+    """The rows with all buckets that their class has among them: a pair counts in its first shared one."""
+    lists = rows.groupBy("digest").agg(F.collect_set("bucket").alias("buckets"))
+    return rows.join(lists, "digest")
+
+
+def _sets_of(wanted: DataFrame, read: DataFrame) -> DataFrame:
+    """digest and full set of the wanted classes, and of a few others."""
+    wanted = materialize(wanted, "wanted")
+    n = wanted.count()
     bits = min(MAX_FILTER, 1 << max(16, math.ceil(math.log2(64 * n + 1))))
     number = F.conv(F.hex(F.substring("digest", 1, 7)), 16, 10).cast("long") % bits + 1
     maps = wanted.select(number.alias("x")).groupBy(F.bitmap_bucket_number("x").alias("piece")).agg(
@@ -282,7 +294,11 @@ def _confirm(pairs: DataFrame, read: DataFrame, percent: int) -> DataFrame:
     sets = read.select("text").mapInArrow(
         lambda batches: _sets(batches, chosen.value, bits), "digest binary, items binary"
     ).dropDuplicates(["digest"])
-    sets = materialize(sets, "sets") if n else sets.limit(0)
+    return materialize(sets, "sets")
+
+
+def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs that are linked, by their full sets."""
     full = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
     return materialize(
         full.mapInArrow(lambda batches: _linked(batches, percent), "a binary, b binary"), "confirmed"
