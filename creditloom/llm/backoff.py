@@ -7,6 +7,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,8 +15,8 @@ from creditloom.llm.common import text_of
 
 BATCH_BYTES = 8 << 20
 """Text of the documents that are scored together, and that a bucket of the count tables stands for."""
-WIDTH = 6
-"""Bytes of an n-gram's hash beside its bucket."""
+BITS = 48
+"""Bits of an n-gram's hash inside its bucket."""
 ODD = np.uint64(0x9E3779B97F4A7C15)
 TOKENS = np.uint64(0)
 """The key that counts all words."""
@@ -37,7 +38,8 @@ def backoff_scores(
     counts of each n-gram over all batches, joins the sums to the n-grams of each batch and returns
     them; the batch takes off each document's own counts and sums the logarithms per document. An
     n-gram that a third of all documents have is one row per batch, so no bucket is hot, and batches
-    and buckets grow in number, not in size, with the corpus. The text is shuffled once, the n-grams
+    and buckets grow in number, not in size, with the corpus. Hashes of 48 bits inside a bucket of some
+    million n-grams travel as sorted differences, compressed. The text is shuffled once, the n-grams
     once, nothing reaches the driver but the size of the text.
 
     Null and empty texts have no words and score 0. Repeated rows are documents of their own. An
@@ -106,36 +108,46 @@ def _distinct(grams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([[TOKENS], found]).astype(np.uint64), np.concatenate([[len(grams[0])], n])
 
 
+def _pack(numbers: np.ndarray) -> bytes:
+    """Numbers by their first bytes, their second bytes and so on, so that equal bytes stand together."""
+    planes = numbers.astype("<u8").view(np.uint8).reshape(-1, 8).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), dtype=np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view("<u8").ravel()
+
+
 def _ask(table: pa.Table, order: int, parts: int) -> pa.Table:
     found, n = _distinct(_grams(table, order)[1])
     bucket = ((found >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
     used, at = np.unique(bucket, return_index=True)
     at = np.append(at, len(found))
-    low = np.ascontiguousarray(found.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :WIDTH])
-    n = n.astype("<u4")
+    start = (bucket << np.uint64(32)) // np.uint64(parts) << np.uint64(32)
+    inside = (found - start) >> np.uint64(max(0, 64 - BITS - (parts - 1).bit_length()))
+    zero = np.uint64(0)
     batch = table.column("batch")[0].as_py()
     return pa.table(
         {
             "bucket": pa.array(used, pa.int32()),
             "batch": pa.array([batch] * len(used), pa.int32()),
-            "grams": pa.array([low[a:b].tobytes() for a, b in zip(at, at[1:])], pa.binary()),
-            "counts": pa.array([n[a:b].tobytes() for a, b in zip(at, at[1:])], pa.binary()),
+            "grams": pa.array([_pack(np.diff(inside[a:b], prepend=zero)) for a, b in zip(at, at[1:])], pa.binary()),
+            "counts": pa.array([_pack(n[a:b]) for a, b in zip(at, at[1:])], pa.binary()),
         }
     )
 
 
 def _count(table: pa.Table) -> pa.Table:
     """A bucket's count table, joined to the n-grams of every batch."""
-    blobs = [b.as_py() for b in table.column("grams")]
-    sizes = [len(b) // WIDTH for b in blobs]
-    wide = np.zeros((sum(sizes), 8), dtype=np.uint8)
-    wide[:, :WIDTH] = np.frombuffer(b"".join(blobs), dtype=np.uint8).reshape(-1, WIDTH)
-    grams = wide.view("<u8").ravel()
-    counts = np.frombuffer(b"".join(b.as_py() for b in table.column("counts")), dtype="<u4")
+    grams = [np.cumsum(_unpack(b.as_py()), dtype=np.uint64) for b in table.column("grams")]
+    sizes = [len(g) for g in grams]
+    grams = np.concatenate(grams)
+    counts = np.concatenate([_unpack(b.as_py()) for b in table.column("counts")])
     order = np.argsort(grams)
     ordered = grams[order]
     first = np.append(True, ordered[1:] != ordered[:-1])
-    totals = np.add.reduceat(counts[order].astype(np.uint64), np.flatnonzero(first))
+    totals = np.add.reduceat(counts[order], np.flatnonzero(first))
     each = np.empty(len(grams), dtype="<u8")
     each[order] = totals[np.cumsum(first) - 1]
     at = np.concatenate([[0], np.cumsum(sizes)])
@@ -143,7 +155,7 @@ def _count(table: pa.Table) -> pa.Table:
         {
             "batch": table.column("batch"),
             "bucket": table.column("bucket"),
-            "totals": pa.array([each[a:b].tobytes() for a, b in zip(at, at[1:])], pa.binary()),
+            "totals": pa.array([_pack(each[a:b]) for a, b in zip(at, at[1:])], pa.binary()),
         }
     )
 
@@ -152,7 +164,7 @@ def _score(texts: pa.Table, answers: pa.Table, order: int, alpha: float) -> pa.T
     sizes, grams = _grams(texts, order)
     found, _ = _distinct(grams)
     answers = answers.sort_by("bucket")
-    totals = np.frombuffer(b"".join(b.as_py() for b in answers.column("totals")), dtype="<u8").astype(np.int64)
+    totals = np.concatenate([_unpack(b.as_py()) for b in answers.column("totals")]).astype(np.int64)
     doc = np.repeat(np.arange(len(sizes)), sizes)
     others = np.zeros((order, len(doc)), dtype=np.int64)
     for n, gram in enumerate(grams):
