@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 CRLF = "\r\n"
 HIDDEN = (
-    r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script[ \t\r\n]*>|\z)|<style\b.*?(?:</style[ \t\r\n]*>|\z)"
-    r"|<title\b.*?(?:</title[ \t\r\n]*>|\z)"
+    r"(?is)<(?:!--.*?(?:-->|\z)|script\b.*?(?:</script[ \t\r\n]*>|\z)|style\b.*?(?:</style[ \t\r\n]*>|\z)"
+    r"|title\b.*?(?:</title[ \t\r\n]*>|\z))"
 )
 BREAKS = (
     r"(?i)</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|footer|form|h[1-6]|head|header|hr|html|li|main"
@@ -140,5 +140,5 @@ def _squeeze(text: Column) -> Column:
 
 def _plain(shown: Column) -> Column:
     text = F.regexp_replace(F.regexp_replace(shown, BREAKS, "\n"), TAG, "")
-    text = F.regexp_replace(_entities(text), r"[\x00-\x09\x0B-\x20]+", " ")
+    text = F.regexp_replace(_entities(text), r"[\x00-\x09\x0B-\x1F][\x00-\x09\x0B-\x20]*| [\x00-\x09\x0B-\x20]+", " ")
     return F.regexp_replace(F.regexp_replace(text, r" ?\n[ \n]*", "\n"), r"^[ \n]+|[ \n]+$", "")
