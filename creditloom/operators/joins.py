@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from creditloom.functions import normal_token
 from creditloom.operators.cleaning import numeric_columns
@@ -94,10 +95,12 @@ def aligned_equal(left: DataFrame, right: DataFrame, key: str, col: str) -> bool
 def map_categories(df: DataFrame, col: str, dictionary: DataFrame, name: str) -> DataFrame:
     """Replace a value by the dictionary category with the same normalised token.
 
-    `dictionary` has (position, category). A number 1 or 0 also matches a yes/no
-    category, ahead of an equal token. The first position wins; no match gives NULL.
+    `dictionary` has (position, category). A number 1 or 0, or a boolean, also matches a
+    yes/no category, ahead of an equal token. The first position wins; no match gives NULL.
     """
-    numeric = col in numeric_columns(df)
+    boolean = isinstance(df.schema[col].dataType, T.BooleanType)
+    value = F.col(col).cast("int") if boolean else F.col(col)
+    numeric = boolean or col in numeric_columns(df)
     token = normal_token(F.col("category"))
     options = dictionary.select("category", "position", token.alias("__token"), F.lit(1).alias("__turn"))
     if numeric:
@@ -112,7 +115,7 @@ def map_categories(df: DataFrame, col: str, dictionary: DataFrame, name: str) ->
         .agg(F.min(F.struct("__turn", "position", "category")).alias("pick"))
         .select("__token", F.col("pick.category").alias("__category"))
     )
-    keyed = df.withColumn("__token", normal_token(F.col(col), numeric))
+    keyed = df.withColumn("__token", normal_token(value, numeric))
     joined = keyed.join(broadcast_if_small(chosen), "__token", "left")
     return joined.select(*[c for c in df.columns if c != name], F.col("__category").alias(name))
 

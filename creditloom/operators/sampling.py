@@ -27,6 +27,18 @@ def hash_order(key: str, seed: int) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string")))
 
 
+OUTSIDE = "other"
+
+
+def class_name(df: DataFrame, label: str, classes: Sequence) -> Column:
+    """The class of a row as text, compared in the label's own type; OUTSIDE for all others."""
+    kind = df.schema[label].dataType
+    out = F.lit(OUTSIDE)
+    for c in classes:
+        out = F.when(F.col(label) == F.lit(c).cast(kind), str(c)).otherwise(out)
+    return out
+
+
 def cut_hashes(
     df: DataFrame, key: str, seed: int, cuts: Cuts, label: str | None = None, classes: Sequence = (0, 1)
 ) -> dict[str, list[str]]:
@@ -35,12 +47,11 @@ def cut_hashes(
     `cuts` gives the wanted row counts for a class size. A cut of 0 gives '', so no hash is
     below or equal to it; a cut beyond the class gives its last row. Without a label all
     rows are one class, named ''. The classes are a parameter, so a label with many values
-    cannot flood the driver: it receives a few thousand counts per class at most.
+    cannot flood the driver: it receives a few thousand counts per class at most. Rows of
+    other labels, null included, are an error, as no cut would hold for them.
     """
-    group = F.lit("") if label is None else F.col(label).cast("string")
+    group = F.lit("") if label is None else class_name(df, label, classes)
     rows = df.select(group.alias("c"), hash_order(key, seed).alias("h"))
-    if label is not None:
-        rows = rows.filter(F.col("c").isin(*[str(c) for c in classes]))
 
     def counts(rows: DataFrame, digits: int) -> dict[str, list[tuple[str, int]]]:
         found: dict[str, list[tuple[str, int]]] = {}
@@ -52,6 +63,8 @@ def cut_hashes(
         return rows.filter(F.concat("c", F.lit(":"), F.substring("h", 1, digits)).isin(*{f"{c}:{p}" for c, p in places}))
 
     first = counts(rows, FIRST_DIGITS)
+    if OUTSIDE in first:
+        raise ValueError(f"{sum(n for _, n in first[OUTSIDE])} rows have a {label} other than {list(classes)}")
     wanted = {c: [min(cut, sum(n for _, n in slices)) for cut in cuts(sum(n for _, n in slices))]
               for c, slices in first.items()}
     # open[(class, cut)] = (prefix, rows of the class before the prefix, rows in it)
@@ -88,11 +101,11 @@ def _share(size: int, fraction: float) -> int:
     return math.floor(size * fraction + 0.5)
 
 
-def _by_class(found: dict[str, list[str]], label: str, pick: Callable[[list[str]], Column]) -> Column:
-    """`pick` applied to the cuts of the row's class; NULL for other classes."""
+def _by_class(found: dict[str, list[str]], name: Column, pick: Callable[[list[str]], Column]) -> Column:
+    """`pick` applied to the cuts of the row's class."""
     out = F.lit(None)
     for c, hashes in found.items():
-        out = F.when(F.col(label).cast("string") == c, pick(hashes)).otherwise(out)
+        out = F.when(name == c, pick(hashes)).otherwise(out)
     return out
 
 
@@ -119,7 +132,7 @@ def stratified_split(
     return df.withColumn(
         "split",
         _by_class(
-            found, label,
+            found, class_name(df, label, classes),
             lambda h: F.when(position <= h[0], "demo").when(position <= h[1], "test").otherwise("train"),
         ),
     )
@@ -161,7 +174,7 @@ def k_fold(
             out = out + (position > h).cast("int")
         return out
 
-    return df.withColumn("fold", _by_class(found, label, number).cast("int"))
+    return df.withColumn("fold", _by_class(found, class_name(df, label, classes), number).cast("int"))
 
 
 def class_weight(df: DataFrame, label: str = "TARGET") -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from creditloom.functions import floor_below, is_infinite, null_when, safe_ratio
 from creditloom.operators.joins import label_column
-from creditloom.operators.ordering import percentile_of_each, quantile_bands, quantile_values
+from creditloom.operators.ordering import quantile_bands, quantile_values, running_totals
 
 # Fixed values of the decision contract.
 LOW_SHARE = 0.4
@@ -117,7 +117,11 @@ def segment_risk(
 
 
 def portfolio_benchmark(portfolio: DataFrame, clients: DataFrame, key: str, features: Sequence[str]) -> DataFrame:
-    """(key, feature, client_value, p50, p75, p90, percentile) for the given clients."""
+    """(key, feature, client_value, p50, p75, p90, percentile) for the given clients.
+
+    The percentile is the share of portfolio values up to the client's, for any value: those
+    of the clients join the running total with weight 0. Null client values have no row.
+    """
     marks = quantile_values(portfolio, features, [0.5, 0.75, 0.9])
     parts = []
     for feature in features:
@@ -125,8 +129,10 @@ def portfolio_benchmark(portfolio: DataFrame, clients: DataFrame, key: str, feat
         mine = clients.select(key, F.col(feature).cast("double").alias("client_value")).filter(
             "client_value IS NOT NULL"
         )
-        numbers = portfolio.select(F.col(feature).cast("double").alias("client_value"))
-        places = percentile_of_each(numbers, "client_value")
+        numbers = portfolio.select(F.col(feature).cast("double").alias("client_value"), F.lit(1).alias("n"))
+        asked = mine.select("client_value", F.lit(0).alias("n")).distinct()
+        totals = running_totals(numbers.union(asked), "client_value", {"n": F.col("n")})
+        places = totals.select("client_value", (F.col("cum_n") / F.col("total_n") * 100).alias("percentile"))
         parts.append(
             mine.join(places, "client_value").select(
                 key,
@@ -146,8 +152,9 @@ def portfolio_benchmark(portfolio: DataFrame, clients: DataFrame, key: str, feat
 def apply_overrides(df: DataFrame, scenarios: DataFrame, key: str) -> DataFrame:
     """Replace values by (client_id, feature, value) scenario rows.
 
-    Features the table lacks are ignored; of several values for one feature the largest
-    text counts. The scenario table becomes one row per client, holding at most one entry
+    Features the table lacks and values that the feature's type cannot hold, null among
+    them, change nothing; `rejected_overrides` lists them. Of several values for one feature
+    the largest text counts. The scenario table becomes one row per client, holding at most one entry
     per feature, and is joined once.
     """
     features = [c for c in df.columns if c != key]
@@ -168,6 +175,20 @@ def apply_overrides(df: DataFrame, scenarios: DataFrame, key: str) -> DataFrame:
     return joined.withColumns(changed).select(*df.columns)
 
 
+def rejected_overrides(df: DataFrame, scenarios: DataFrame, key: str) -> DataFrame:
+    """The scenario rows that `apply_overrides` cannot apply, with a reason."""
+    kinds = {f.name: f.dataType for f in df.schema.fields if f.name != key}
+    readable = F.lit(False)
+    for name, kind in kinds.items():
+        readable = F.when(F.col("feature") == name, F.col("value").try_cast(kind).isNotNull()).otherwise(readable)
+    reason = (
+        F.when(~F.coalesce(F.col("feature").isin(*kinds), F.lit(False)), "unknown feature")
+        .when(F.col("value").isNull(), "no value")
+        .when(~readable, "unreadable value")
+    )
+    return scenarios.withColumn("reason", reason).filter("reason IS NOT NULL")
+
+
 def recalculate(df: DataFrame) -> DataFrame:
     """Derived features after an override, where they and their inputs exist."""
     have = set(df.columns)

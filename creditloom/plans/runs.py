@@ -20,7 +20,7 @@ from creditloom.operators.quality import QualityError, run_suite
 from creditloom.plans import gold, suites
 from creditloom.plans.silver import TABLES, clean, table_spec
 from creditloom.sources.publish import publish, publish_if_valid, read_published, stage
-from creditloom.sources.reports import write_report
+from creditloom.sources.reports import latest_report, write_report
 from creditloom.sources.tables import read_csv_table
 
 RESULT = "table_id string, status string, detail string"
@@ -170,7 +170,8 @@ def monitor(
     report = d.monitoring_report(checks, run_ts)
     write_report(report, path)
     if fail_on_error:
-        failed = [r["name"] for r in report.filter("status = 'fail'").select("name").limit(50).collect()]
+        written = latest_report(reference.sparkSession, path)  # one row per check
+        failed = [r["name"] for r in written.filter("status = 'fail'").select("name").collect()]
         if failed:
             raise QualityError("monitoring", [f"{name} failed" for name in failed])
     return report

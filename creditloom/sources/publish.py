@@ -1,6 +1,7 @@
 """Stage, check, publish.
 
-A table is written once, into a folder of its run. Publishing a run that passed its
+A table is written once, into a fresh folder of its attempt: a retry of a run never
+touches rows that were published under the same run id. Publishing a run that passed its
 checks appends one record to the table's publication log; readers follow the latest
 record. So a failed run leaves the last good version in place and keeps its own folder
 for inspection, nothing is copied, and a lost executor cannot leave a half-written
@@ -9,6 +10,7 @@ current version.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
 
@@ -22,13 +24,14 @@ LOG_SCHEMA = "run_id string, location string, published_at timestamp, passes int
 
 
 def _safe(run_id: str) -> str:
+    """A folder name; ids that it makes equal share a folder, in which every attempt has its own."""
     return "".join(c if c.isalnum() or c in "-_" else "_" for c in run_id)
 
 
 def stage(df: DataFrame, path: str, run_id: str) -> str:
-    """Write a run's version of the table and return its folder."""
-    location = f"{path.rstrip('/')}/runs/{_safe(run_id)}"
-    write_table(df, location)
+    """Write an attempt's version of the table and return its folder."""
+    location = f"{path.rstrip('/')}/runs/{_safe(run_id)}/attempt={uuid.uuid4().hex}"
+    write_table(df, location, mode="errorifexists")
     return location
 
 

@@ -172,3 +172,28 @@ def test_segment_risk_keeps_missing_group(spark):
     rows = {(r["attribute"], r["segment"]): (round(r["mean_risk"], 6), r["clients"]) for r in s.segment_risk(df, "p", ["seg"], ["amt"]).collect()}
     assert rows["seg", "Não informado"] == (0.5, 1) and rows["seg", "a"] == (0.2, 2)
     assert rows["amt", "Não informado"] == (0.5, 1)
+
+
+def test_benchmark_answers_for_any_value(spark):
+    portfolio = spark.createDataFrame([(i, float(10 * i)) for i in range(1, 11)], "id int, x double")
+    clients = spark.createDataFrame([(1, 10.0), (2, 55.0), (3, 5.0), (4, 1000.0), (5, None), (6, 55.0)], "id int, x double")
+    got = {r["id"]: r["percentile"] for r in s.portfolio_benchmark(portfolio, clients, "id", ["x"]).collect()}
+    assert got == {1: 10.0, 2: 50.0, 3: 0.0, 4: 100.0, 6: 50.0}
+
+
+def test_unreadable_overrides_are_listed(spark):
+    df = spark.createDataFrame([(1, 2.0, "a")], "id int, x double, c string")
+    rows = [(1, "x", "abc"), (1, "x", "3.5"), (1, "c", None), (1, "nope", "1"), (1, None, "1")]
+    scenarios = spark.createDataFrame(rows, "client_id int, feature string, value string")
+    found = {(r["feature"], r["value"]): r["reason"] for r in s.rejected_overrides(df, scenarios, "id").collect()}
+    assert found == {
+        ("x", "abc"): "unreadable value", ("c", None): "no value", ("nope", "1"): "unknown feature",
+        (None, "1"): "unknown feature",
+    }
+
+
+def test_booleans_match_yes_and_no(spark):
+    df = spark.createDataFrame([(1, True), (2, False), (3, None)], "id int, own boolean")
+    words = spark.createDataFrame([(0, "Y"), (1, "N")], "position int, category string")
+    got = {r["id"]: (r["own"], r["flag"]) for r in j.map_categories(df, "own", words, "flag").collect()}
+    assert got == {1: (True, "Y"), 2: (False, "N"), 3: (None, None)}

@@ -73,3 +73,14 @@ def test_decide_clients(spark, table):
     absent = spark.createDataFrame([(10**9,)], "SK_ID_CURR long")
     with pytest.raises(KeyError):
         decide_clients(table, absent, asked, model, 0.3, F.lit("2026-01-01").cast("timestamp"))
+
+
+def test_split_compares_labels_in_their_type_and_refuses_others(spark):
+    from creditloom.operators.sampling import k_fold, stratified_split
+
+    df = spark.range(1000).selectExpr("id AS k", "CAST(id % 2 AS DOUBLE) AS y")
+    assert stratified_split(df, "k", "y").filter("split IS NULL").isEmpty()
+    assert k_fold(df, 5, "k", "y").groupBy("fold").count().count() == 5
+    for odd in ("CAST(NULL AS DOUBLE)", "2.0D"):
+        with pytest.raises(ValueError, match="1 rows"):
+            stratified_split(df.union(spark.range(1).selectExpr("-1L", odd)), "k", "y")

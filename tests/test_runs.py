@@ -107,3 +107,14 @@ def test_monitor_writes_before_it_fails(spark):
     with pytest.raises(QualityError, match="data_drift"):
         runs.monitor(table, table.withColumn("x", F.col("x") + 25), run, 0.08, ["x"], [], ["x"], later, path)
     assert {r["overall_status"] for r in latest_report(spark, path).collect()} == {"fail"}
+
+
+def test_retry_of_a_published_run_changes_nothing(spark):
+    path = shared_dir(spark, "retry")
+    good, bad = spark.createDataFrame([(1,)], "x int"), spark.createDataFrame([(-1,)], "x int")
+    publish_if_valid(good, "t", not_negative, path, "r:1")
+    with pytest.raises(QualityError):
+        publish_if_valid(bad, "t", not_negative, path, "r:1")
+    assert [r["x"] for r in read_published(spark, path).collect()] == [1]
+    publish_if_valid(good.selectExpr("x + 1 AS x"), "t", not_negative, path, "r_1")
+    assert [r["x"] for r in read_published(spark, path).collect()] == [2]
