@@ -24,6 +24,8 @@ REMEMBER = 300_000
 """Word hashes that a task remembers."""
 FEW = 64
 """Members of a bucket outside its main component that are compared with all members directly."""
+MEMBERS = 1024
+"""Members of a larger bucket that are compared in one block."""
 LEAVES = 64
 MAX_FILTER = 1 << 27
 """Bits of the filter of wanted sets, the bound of what is sent to the tasks (16 MB)."""
@@ -105,10 +107,10 @@ def near_duplicates(
 
     Buckets are never expanded into all pairs. First every member meets the bucket's smallest; links
     make components, and members of one component need no further comparison. Members outside
-    then meet a random one of each other component that a bucket offers. What is left are buckets with several components: with up
-    to 64 members outside the main component, these meet all members; in others, candidates must
-    share a second such bucket. Sketches are compared inside that join, so that only likely pairs
-    leave it, each counted once.
+    then meet a random one of each other component that a bucket offers. What is left are buckets with
+    several components, whose members outside the main component meet all members of others: up to 64
+    such members inside a join, more in blocks of members dealt over many tasks. Sketches are
+    compared right there, so that only likely pairs leave it, each counted in its first shared bucket.
 
     Sets are made again from the text for classes in shared buckets only, chosen by a bitmap of
     bounded size, and written once.
@@ -252,25 +254,81 @@ def _remaining(labelled: DataFrame, classes: DataFrame, percent: int, floor: int
         & (F.col("x.bucket") == F.array_min(F.array_intersect("x.buckets", "y.buckets"))),
     ).select(F.col("x.digest").alias("a"), F.col("y.digest").alias("b"))
 
-    many = sized.where(F.col("outside") > FEW).groupBy("digest").agg(
-        F.array_sort(F.collect_set("bucket")).alias("buckets"), F.first("root").alias("root")
+    many = sized.where(F.col("outside") > FEW).join(classes.select("digest", "n", "sketch", "bands"), "digest")
+    more = _blocks(many).groupBy("bucket", "i", "j").applyInArrow(
+        lambda table: _compared(table, percent, floor), "a binary, b binary"
     )
-    twice = many.withColumn("low", F.explode("buckets")).withColumn("high", F.explode("buckets")).where("low < high")
-    twice = twice.select(F.xxhash64("low", "high").alias("bucket"), "digest", "root", "buckets")
-    mixed = twice.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    twice = materialize(twice.join(mixed.select("bucket"), "bucket").join(facts, "digest"), "twice-shared")
-    shared = F.array_sort(F.array_intersect("x.buckets", "y.buckets"))
-    lowest_two = F.xxhash64(F.get(shared, F.lit(0)), F.get(shared, F.lit(1)))
-    more = twice.alias("x").join(
-        twice.alias("y"),
-        (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.digest") > F.col("y.digest"))
-        & (F.col("x.root") != F.col("y.root")) & _alike("x", "y", percent, floor)
-        & (F.col("x.bucket") == lowest_two),
-    ).select(F.col("x.digest").alias("a"), F.col("y.digest").alias("b"))
     both = pairs.union(more)
     return both.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
+def _blocks(rows: DataFrame) -> DataFrame:
+    """The rows of large buckets, dealt to the pairs (i, j) of blocks in which they are compared.
+
+    Blocks of members outside the main component come first; each meets itself and all later ones.
+    A row is repeated once per block it meets, so that a bucket of any size is compared by many tasks.
+    """
+    cut = rows.withColumn("first", F.greatest(F.lit(1), F.ceil(F.col("outside") / MEMBERS)).cast("int")).withColumn(
+        "blocks", F.when(F.col("m") <= MEMBERS, F.col("first")).otherwise(
+            F.col("first") + F.ceil(F.col("in_main") / MEMBERS).cast("int")
+        )
+    )
+    apart = F.col("root") != F.col("main")
+    nth = F.xxhash64("digest")
+    later = F.col("blocks") - F.col("first")
+    block = F.when(apart | (later == 0), F.pmod(nth, F.col("first"))).otherwise(
+        F.col("first") + F.pmod(nth, F.greatest(later, F.lit(1)))
+    )
+    cut = cut.withColumn("apart", apart).withColumn("block", block.cast("int"))
+    earlier = F.transform(
+        F.sequence(F.lit(0), F.least("block", F.col("first") - 1)),
+        lambda i: F.struct(i.alias("i"), F.col("block").alias("j")),
+    )
+    after = F.filter(
+        F.transform(
+            F.sequence(F.col("block"), F.col("blocks")), lambda j: F.struct(F.col("block").alias("i"), j.alias("j"))
+        ),
+        lambda p: (p["j"] > p["i"]) & (p["j"] < F.col("blocks")) & (p["i"] < F.col("first")),
+    )
+    dealt = cut.withColumn("pair", F.explode(F.concat(earlier, after)))
+    return dealt.select("bucket", "pair.*", "block", "apart", "digest", "root", "n", "sketch", "bands")
+
+
+def _compared(table: pa.Table, percent: int, floor: int) -> pa.Table:
+    """The pairs of block i outside the main component and block j that sizes, sketches and roots allow.
+
+    A pair that shares an earlier band is left to the bucket of that band.
+    """
+
+    def matrix(name: str) -> np.ndarray:
+        return table.column(name).combine_chunks().flatten().to_numpy().reshape(len(table), -1)
+
+    digests = table.column("digest").combine_chunks()
+    roots = table.column("root").combine_chunks().dictionary_encode().indices.to_numpy()
+    n, block, sketches, bands = (
+        table.column("n").to_numpy(), table.column("block").to_numpy(), matrix("sketch"), matrix("bands")
+    )
+    band = int(np.flatnonzero(bands[0] == table.column("bucket")[0].as_py())[0])
+    apart = table.column("apart").to_numpy(zero_copy_only=False)
+    left = np.flatnonzero(apart & (block == table.column("i")[0].as_py()))
+    right = np.flatnonzero(block == table.column("j")[0].as_py())
+    found = []
+    for at in range(0, len(left), 64):
+        x = left[at : at + 64]
+        smaller = np.minimum.outer(n[x], n[right])
+        alike = (100 * smaller >= percent * np.maximum.outer(n[x], n[right])) & (roots[x][:, None] != roots[right])
+        one, other = np.nonzero(alike)
+        one, other = x[one], right[other]
+        near = np.zeros(len(one), dtype=np.int64)
+        for word in sketches.T:
+            near += np.bitwise_count(word[one] ^ word[other])
+        one, other = one[near <= floor], other[near <= floor]
+        new = ~(bands[one, :band] == bands[other, :band]).any(axis=1)
+        found.append((one[new], other[new]))
+    one, other = (np.concatenate([f[side] for f in found] or [np.empty(0, np.int64)]) for side in (0, 1))
+    return pa.table({"a": digests.take(pa.array(one)), "b": digests.take(pa.array(other))})
+
+
 def _with_list(rows: DataFrame) -> DataFrame:
     """The rows with all buckets that their class has among them: a pair counts in its first shared one."""
     lists = rows.groupBy("digest").agg(F.collect_set("bucket").alias("buckets"))

@@ -133,9 +133,10 @@ def near_rows():
     return rows
 
 
-@pytest.mark.parametrize("few", [64, 0])
-def test_near_duplicates(make, odd, monkeypatch, few):
+@pytest.mark.parametrize(("few", "members"), [(64, 1024), (0, 1024), (0, 3)])
+def test_near_duplicates(make, odd, monkeypatch, few, members):
     monkeypatch.setattr(odd_sketch, "FEW", few)
+    monkeypatch.setattr(odd_sketch, "MEMBERS", members)
     rows = odd + near_rows()
     got = near_duplicates(make(rows)).collect()
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == near_brute(rows)
