@@ -19,6 +19,8 @@ WORDS = 5
 BANDS, ROWS = 36, 4
 """A pair at a similarity of 0.75 shares none of the bands with a chance of 1e-6."""
 SKETCH_BITS = 512
+PARITY_BITS = 1024
+"""Bits of the parity bitmap of a whole set."""
 BLOCK = 2048
 REMEMBER = 300_000
 """Word hashes that a task remembers."""
@@ -30,6 +32,7 @@ LEAVES = 64
 MAX_FILTER = 1 << 27
 """Bits of the filter of wanted sets, the bound of what is sent to the tasks (16 MB)."""
 TO_WORDS = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+SIGNED = "id long, n long, digest binary, bands array<long>, sketch array<long>, parity array<long>"
 ODD = np.uint64(0x9E3779B97F4A7C15)
 _random = np.random.default_rng(20)
 TIMES = _random.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
@@ -82,9 +85,12 @@ def _bands(minima: np.ndarray) -> np.ndarray:
 
 def _sketch(minima: np.ndarray) -> np.ndarray:
     """Parity bitmap: every sample (position, minimum) flips one bit."""
-    at = _mix(_mix(np.arange(len(minima), dtype=np.uint64)) + minima) % np.uint64(SKETCH_BITS)
-    parity = np.bincount(at.astype(np.int64), minlength=SKETCH_BITS) & 1
-    return np.packbits(parity.astype(np.uint8)).view(np.int64)
+    return _parity(_mix(_mix(np.arange(len(minima), dtype=np.uint64)) + minima), SKETCH_BITS)
+
+
+def _parity(numbers: np.ndarray, bits: int) -> np.ndarray:
+    flips = np.bincount((numbers % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(flips.astype(np.uint8)).view(np.int64)
 
 
 def most_differing(similarity: float) -> int:
@@ -103,7 +109,10 @@ def near_duplicates(
     compared. 144 MinHash samples make 36 bands of 4; a bucket is the classes that share a band. The
     samples folded into a parity bitmap of 512 bits, the odd sketch, estimate a candidate pair's
     similarity from the population count of the XOR; pairs that it puts below `sketch_floor`, eight
-    standard deviations under the threshold, are left. All others are confirmed on their full sets.
+    standard deviations under the threshold, are left. A second bitmap of 1024 bits has the parity of
+    the whole set: the XOR of two has at most one bit for each shingle of one set only, so a pair with
+    more bits than a link may have such shingles is no link for certain. This spares short documents
+    around one passage. All others are confirmed on their full sets.
 
     Buckets are never expanded into all pairs. First every member meets the bucket's smallest; links
     make components, and members of one component need no further comparison. Members outside
@@ -124,7 +133,7 @@ def near_duplicates(
     """
     read = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
     signed = materialize(
-        read.mapInArrow(_sign, "id long, n long, digest binary, bands array<long>, sketch array<long>").withColumn(
+        read.mapInArrow(_sign, SIGNED).withColumn(
             "leaf", F.pmod(F.xxhash64("id"), F.lit(LEAVES)).cast("int")
         ),
         "signatures",
@@ -132,7 +141,7 @@ def near_duplicates(
     classes = materialize(
         signed.where("n > 0").groupBy("digest").agg(
             F.min("id").alias("least"), F.first("n").alias("n"), F.first("bands").alias("bands"),
-            F.first("sketch").alias("sketch"),
+            F.first("sketch").alias("sketch"), F.first("parity").alias("parity"),
         ),
         "classes",
     )
@@ -153,8 +162,7 @@ def near_duplicates(
     likely = _likely(second.select("a", "b"), classes, percent, floor)
     links = materialize(links.union(_confirm(likely, sets, percent)), "links")
 
-    labelled = _labelled(members, components(links))
-    rest = _remaining(labelled, classes, percent, floor)
+    rest = _remaining(_labelled(members, components(links)), classes, percent, floor)
     links = links.union(_confirm(rest, sets, percent))
 
     roots = components(links)
@@ -178,9 +186,8 @@ def attach_root(found: DataFrame, least: DataFrame) -> DataFrame:
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
-    width = SKETCH_BITS // 64
     for batch in batches:
-        sizes, digests, bands, sketches = [], [], [], []
+        sizes, digests, bands, sketches, parities = [], [], [], [], []
         for text in batch.column(1):
             found = shingles(text.as_py(), hashes)
             sizes.append(len(found))
@@ -189,6 +196,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 minima = _minima(found)
                 bands.append(_bands(minima))
                 sketches.append(_sketch(minima))
+                parities.append(_parity(found, PARITY_BITS))
         some = np.concatenate([[0], np.cumsum(np.array(sizes, dtype=np.int64) > 0)])
 
         def lists(values, n):
@@ -198,29 +206,35 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch(
             [
                 batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
-                lists(bands, BANDS), lists(sketches, width),
+                lists(bands, BANDS), lists(sketches, SKETCH_BITS // 64), lists(parities, PARITY_BITS // 64),
             ],
-            ["id", "n", "digest", "bands", "sketch"],
+            ["id", "n", "digest", "bands", "sketch", "parity"],
         )
 
 
-def _differing(a: Column, b: Column) -> Column:
-    """Population count of the XOR of two sketches."""
-    parts = (F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(SKETCH_BITS // 64))
+def _differing(a: Column, b: Column, bits: int) -> Column:
+    """Population count of the XOR of two bitmaps."""
+    parts = (F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(bits // 64))
     return sum(parts, F.lit(0))
 
 
 def _alike(a: str, b: str, percent: int, floor: int) -> Column:
-    """Whether sizes and sketches allow a link."""
+    """Whether sizes and bitmaps allow a link.
+
+    With d shingles in one of the sets only, 100 * (n + m - d) >= percent * (n + m + d) for a link.
+    """
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
-    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (
-        _differing(F.col(f"{a}.sketch"), F.col(f"{b}.sketch")) <= floor
+    apart = _differing(F.col(f"{a}.parity"), F.col(f"{b}.parity"), PARITY_BITS)
+    return (
+        (100 * F.least(n, m) >= percent * F.greatest(n, m))
+        & (_differing(F.col(f"{a}.sketch"), F.col(f"{b}.sketch"), SKETCH_BITS) <= floor)
+        & ((100 + percent) * apart <= (100 - percent) * (n + m))
     )
 
 
 def _likely(pairs: DataFrame, classes: DataFrame, percent: int, floor: int) -> DataFrame:
-    """The distinct pairs a > b that sizes and sketches allow."""
-    facts = classes.select("digest", F.struct("n", "sketch").alias("facts"))
+    """The distinct pairs a > b that sizes and bitmaps allow."""
+    facts = classes.select("digest", F.struct("n", "sketch", "parity").alias("facts"))
     pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     pairs = pairs.join(facts.toDF("a", "x"), "a").join(facts.toDF("b", "y"), "b")
     return pairs.where(_alike("x", "y", percent, floor)).select("a", "b")
@@ -242,7 +256,7 @@ def _remaining(labelled: DataFrame, classes: DataFrame, percent: int, floor: int
     main = counts.groupBy("bucket").agg(F.sum("m").alias("m"), F.max_by("root", F.struct("m", "root")).alias("main"),
                                         F.max("m").alias("in_main"))
     sized = labelled.join(main, "bucket").withColumn("outside", F.col("m") - F.col("in_main"))
-    facts = classes.select("digest", "n", "sketch")
+    facts = classes.select("digest", "n", "sketch", "parity")
 
     few = _with_list(sized.where(F.col("outside") <= FEW).select("bucket", "digest", "root", "main")).join(
         facts, "digest"
@@ -254,7 +268,9 @@ def _remaining(labelled: DataFrame, classes: DataFrame, percent: int, floor: int
         & (F.col("x.bucket") == F.array_min(F.array_intersect("x.buckets", "y.buckets"))),
     ).select(F.col("x.digest").alias("a"), F.col("y.digest").alias("b"))
 
-    many = sized.where(F.col("outside") > FEW).join(classes.select("digest", "n", "sketch", "bands"), "digest")
+    many = sized.where(F.col("outside") > FEW).join(
+        classes.select("digest", "n", "sketch", "parity", "bands"), "digest"
+    )
     more = _blocks(many).groupBy("bucket", "i", "j").applyInArrow(
         lambda table: _compared(table, percent, floor), "a binary, b binary"
     )
@@ -291,11 +307,11 @@ def _blocks(rows: DataFrame) -> DataFrame:
         lambda p: (p["j"] > p["i"]) & (p["j"] < F.col("blocks")) & (p["i"] < F.col("first")),
     )
     dealt = cut.withColumn("pair", F.explode(F.concat(earlier, after)))
-    return dealt.select("bucket", "pair.*", "block", "apart", "digest", "root", "n", "sketch", "bands")
+    return dealt.select("bucket", "pair.*", "block", "apart", "digest", "root", "n", "sketch", "parity", "bands")
 
 
 def _compared(table: pa.Table, percent: int, floor: int) -> pa.Table:
-    """The pairs of block i outside the main component and block j that sizes, sketches and roots allow.
+    """The pairs of block i outside the main component and block j that sizes, bitmaps and roots allow.
 
     A pair that shares an earlier band is left to the bucket of that band.
     """
@@ -305,9 +321,8 @@ def _compared(table: pa.Table, percent: int, floor: int) -> pa.Table:
 
     digests = table.column("digest").combine_chunks()
     roots = table.column("root").combine_chunks().dictionary_encode().indices.to_numpy()
-    n, block, sketches, bands = (
-        table.column("n").to_numpy(), table.column("block").to_numpy(), matrix("sketch"), matrix("bands")
-    )
+    n, block = table.column("n").to_numpy(), table.column("block").to_numpy()
+    sketches, parities, bands = matrix("sketch"), matrix("parity"), matrix("bands")
     band = int(np.flatnonzero(bands[0] == table.column("bucket")[0].as_py())[0])
     apart = table.column("apart").to_numpy(zero_copy_only=False)
     left = np.flatnonzero(apart & (block == table.column("i")[0].as_py()))
@@ -319,16 +334,24 @@ def _compared(table: pa.Table, percent: int, floor: int) -> pa.Table:
         alike = (100 * smaller >= percent * np.maximum.outer(n[x], n[right])) & (roots[x][:, None] != roots[right])
         one, other = np.nonzero(alike)
         one, other = x[one], right[other]
-        near = np.zeros(len(one), dtype=np.int64)
-        for word in sketches.T:
-            near += np.bitwise_count(word[one] ^ word[other])
-        one, other = one[near <= floor], other[near <= floor]
+        near = _apart(sketches, one, other) <= floor
+        one, other = one[near], other[near]
+        near = (100 + percent) * _apart(parities, one, other) <= (100 - percent) * (n[one] + n[other])
+        one, other = one[near], other[near]
         new = ~(bands[one, :band] == bands[other, :band]).any(axis=1)
         found.append((one[new], other[new]))
     one, other = (np.concatenate([f[side] for f in found] or [np.empty(0, np.int64)]) for side in (0, 1))
     return pa.table({"a": digests.take(pa.array(one)), "b": digests.take(pa.array(other))})
 
 
+def _apart(bitmaps: np.ndarray, one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Population counts of the XOR of bitmaps, pair by pair."""
+    total = np.zeros(len(one), dtype=np.int64)
+    for word in bitmaps.T:
+        total += np.bitwise_count(word[one] ^ word[other])
+    return total
+
+
 def _with_list(rows: DataFrame) -> DataFrame:
     """The rows with all buckets that their class has among them: a pair counts in its first shared one."""
     lists = rows.groupBy("digest").agg(F.collect_set("bucket").alias("buckets"))
