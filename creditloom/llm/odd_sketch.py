@@ -154,10 +154,11 @@ def near_duplicates(
     sets = _sets_of(members.select("digest").distinct(), read)
     links = _confirm(_likely(first, classes, percent, floor), sets, percent)
     labelled = _labelled(members, components(links))
-    any_one = labelled.groupBy("bucket").agg(
-        F.max_by(F.struct("digest", "root"), F.xxhash64("bucket", "digest")).alias("other")
-    )
-    second = labelled.join(any_one, "bucket").where("root <> other.root")
+    mixed = labelled.groupBy("bucket").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"),
+        F.max_by(F.struct("digest", "root"), F.xxhash64("bucket", "digest")).alias("other"),
+    ).where("low <> high").select("bucket", "other")
+    second = labelled.join(mixed, "bucket").where("root <> other.root")
     second = second.groupBy(F.col("digest").alias("a"), "other.root").agg(F.max("other.digest").alias("b"))
     likely = _likely(second.select("a", "b"), classes, percent, floor)
     links = materialize(links.union(_confirm(likely, sets, percent)), "links")
@@ -241,21 +242,18 @@ def _likely(pairs: DataFrame, classes: DataFrame, percent: int, floor: int) -> D
 
 
 def _labelled(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """bucket, digest, root of the buckets with several components."""
+    """bucket, digest, root of all members."""
     known = members.select("bucket", "digest").join(roots, members["digest"] == roots["node"], "left")
-    known = known.select("bucket", "digest", F.coalesce("root", "digest").alias("root"))
-    known = materialize(known, "labelled")
-    mixed = known.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    return known.join(mixed.select("bucket"), "bucket")
+    return materialize(known.select("bucket", "digest", F.coalesce("root", "digest").alias("root")), "labelled")
 
 
 def _remaining(labelled: DataFrame, classes: DataFrame, percent: int, floor: int) -> DataFrame:
     """Likely pairs between components that share a bucket."""
-    labelled = materialize(labelled, "mixed-buckets")
     counts = labelled.groupBy("bucket", "root").agg(F.count("*").alias("m"))
     main = counts.groupBy("bucket").agg(F.sum("m").alias("m"), F.max_by("root", F.struct("m", "root")).alias("main"),
-                                        F.max("m").alias("in_main"))
+                                        F.max("m").alias("in_main")).where("m > in_main")
     sized = labelled.join(main, "bucket").withColumn("outside", F.col("m") - F.col("in_main"))
+    sized = materialize(sized, "mixed-buckets")
     facts = classes.select("digest", "n", "sketch", "parity")
 
     few = _with_list(sized.where(F.col("outside") <= FEW).select("bucket", "digest", "root", "main")).join(
