@@ -30,8 +30,41 @@ def _psi_term(ref: Column, act: Column) -> Column:
     return (act - ref) * F.ln(act / ref)
 
 
-def _sided(reference: DataFrame, actual: DataFrame) -> DataFrame:
-    return reference.withColumn("is_ref", F.lit(1)).unionByName(actual.withColumn("is_ref", F.lit(0)))
+def _both_counts(reference: DataFrame, actual: DataFrame, key: str) -> DataFrame:
+    """(feature, key, ref, act): rows of both sides, counted in one pass; a counted reference has `ref`."""
+    if "ref" not in reference.columns:
+        reference = reference.withColumn("ref", F.lit(1))
+    rows = reference.withColumn("act", F.lit(0)).unionByName(
+        actual.withColumns({"ref": F.lit(0), "act": F.lit(1)})
+    )
+    return rows.groupBy("feature", key).agg(F.sum("ref").alias("ref"), F.sum("act").alias("act"))
+
+
+def _bins(df: DataFrame, features: Sequence[str], edges: Mapping[str, Sequence[float]]) -> DataFrame:
+    """(feature, bin) of every value; bin -1 where the feature has fewer than two edges."""
+    columns = []
+    for feature in features:
+        value, cuts = F.col(feature).try_cast("double"), edges.get(feature, ())
+        known = value.isNotNull() & ~F.isnan(value)
+        bin_ = bin_of(value, cuts) if len(cuts) >= 2 else F.when(known, F.lit(-1))
+        columns.append(bin_.alias(feature))
+    return df.select(*columns).unpivot([], list(features), "feature", "bin").filter("bin IS NOT NULL")
+
+
+def _tokens(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """(feature, category) of every value."""
+    texts = [F.coalesce(F.col(c).cast("string"), F.lit(MISSING)).alias(c) for c in features]
+    return df.select(*texts).unpivot([], list(features), "feature", "category")
+
+
+def bin_counts(reference: DataFrame, features: Sequence[str], edges: Mapping[str, Sequence[float]]) -> DataFrame:
+    """(feature, bin, ref): a reference counted once, for many calls of `psi_numeric`."""
+    return _bins(reference, features, edges).groupBy("feature", "bin").agg(F.count("*").alias("ref"))
+
+
+def category_counts(reference: DataFrame, features: Sequence[str]) -> DataFrame:
+    """(feature, category, ref): a reference counted once, for many calls of `psi_categorical`."""
+    return _tokens(reference, features).groupBy("feature", "category").agg(F.count("*").alias("ref"))
 
 
 def reference_edges(reference: DataFrame, features: Sequence[str], bins: int = 10) -> dict[str, list[float]]:
@@ -46,30 +79,21 @@ def psi_numeric(
     features: Sequence[str],
     bins: int = 10,
     edges: Mapping[str, Sequence[float]] | None = None,
+    counted: bool = False,
 ) -> DataFrame:
     """(feature, psi) over the reference's quantile bins.
 
     Values outside the reference range count nowhere. No values on one side gives NULL,
     fewer than two distinct edges gives 0. Both tables are binned and counted in one
-    pass; only bin counts are shuffled. Edges of an earlier call can be passed in.
+    pass; only bin counts are shuffled. Edges of an earlier call can be passed in, and with
+    `counted` the reference is the table that `bin_counts` made with them.
     """
     if edges is None:
         edges = reference_edges(reference, features, bins)
-
-    def binned(df: DataFrame) -> DataFrame:
-        columns = []
-        for feature in features:
-            value, cuts = F.col(feature).try_cast("double"), edges.get(feature, ())
-            known = value.isNotNull() & ~F.isnan(value)
-            bin_ = bin_of(value, cuts) if len(cuts) >= 2 else F.when(known, F.lit(-1))
-            columns.append(bin_.alias(feature))
-        return df.select(*columns).unpivot([], list(features), "feature", "bin").filter("bin IS NOT NULL")
-
-    counted = _sided(binned(reference), binned(actual)).groupBy("feature", "bin").agg(
-        F.sum("is_ref").alias("ref"), F.sum(1 - F.col("is_ref")).alias("act")
-    )
+    counts = reference if counted else _bins(reference, features, edges)
+    counted_both = _both_counts(counts, _bins(actual, features, edges), "bin")
     inside = F.col("bin") >= 0
-    per_feature = counted.groupBy("feature").agg(
+    per_feature = counted_both.groupBy("feature").agg(
         F.sum("ref").alias("ref_rows"),
         F.sum("act").alias("act_rows"),
         F.coalesce(F.sum(F.when(inside, F.col("ref"))), F.lit(0)).alias("ref_total"),
@@ -89,20 +113,19 @@ def psi_numeric(
         .when(F.col("feature").isin(flat), 0.0)
         .otherwise(terms)
     )
-    wanted = reference.sparkSession.createDataFrame([(f,) for f in features], "feature string")
+    wanted = actual.sparkSession.createDataFrame([(f,) for f in features], "feature string")
     return wanted.join(per_feature.select("feature", psi.alias("psi")), "feature", "left")
 
 
-def psi_categorical(reference: DataFrame, actual: DataFrame, features: Sequence[str]) -> DataFrame:
-    """(feature, psi) over the categories of either side; null is its own category."""
-
-    def tokens(df: DataFrame) -> DataFrame:
-        texts = [F.coalesce(F.col(c).cast("string"), F.lit(MISSING)).alias(c) for c in features]
-        return df.select(*texts).unpivot([], list(features), "feature", "category")
+def psi_categorical(
+    reference: DataFrame, actual: DataFrame, features: Sequence[str], counted: bool = False
+) -> DataFrame:
+    """(feature, psi) over the categories of either side; null is its own category.
 
-    counts = _sided(tokens(reference), tokens(actual)).groupBy("feature", "category").agg(
-        F.sum("is_ref").alias("ref"), F.sum(1 - F.col("is_ref")).alias("act")
-    )
+    With `counted` the reference is the table that `category_counts` made.
+    """
+    known = reference if counted else _tokens(reference, features)
+    counts = _both_counts(known, _tokens(actual, features), "category")
     totals = counts.groupBy("feature").agg(F.sum("ref").alias("ref_total"), F.sum("act").alias("act_total"))
     # one row per named feature: bounded
     joined = counts.join(F.broadcast(totals), "feature")

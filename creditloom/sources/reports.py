@@ -11,7 +11,7 @@ from creditloom.operators.scoring import queue_of
 def write_report(rows: DataFrame, path: str) -> None:
     """Append report rows under their run time (column `run_ts`)."""
     stamp = F.date_format("run_ts", "yyyyMMdd'T'HHmmss'Z'")
-    rows.withColumn("run", stamp).coalesce(1).write.mode("append").partitionBy("run").json(path)
+    rows.withColumn("run", stamp).write.mode("append").partitionBy("run").json(path)
 
 
 def latest_report(spark: SparkSession, path: str) -> DataFrame:

@@ -15,8 +15,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from creditloom.functions import is_fresh
-from creditloom.operators.drift import psi_categorical, psi_numeric, reference_edges
+from creditloom.operators.drift import bin_counts, category_counts, psi_categorical, psi_numeric, reference_edges
 from creditloom.operators.scoring import queue_of, triage
+from creditloom.session import materialize
 
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
@@ -116,16 +117,19 @@ def psi_sink(
 ) -> DataStreamWriter:
     """Drift of every micro-batch against a reference table: (feature, psi) per batch number.
 
-    The reference's bin edges are found once, when the stream is defined.
+    The reference is read when the stream is defined: its bin edges are found, its bins and categories
+    counted and the counts written. A micro-batch reads the counts, never the reference.
     """
     edges = reference_edges(reference, numeric) if numeric else {}
+    bins = materialize(bin_counts(reference, numeric, edges), "psi-bins") if numeric else None
+    tokens = materialize(category_counts(reference, categorical), "psi-categories") if categorical else None
 
     def write(batch: DataFrame, number: int) -> None:
         parts = []
         if numeric:
-            parts.append(psi_numeric(reference, batch, numeric, edges=edges))
+            parts.append(psi_numeric(bins, batch, numeric, edges=edges, counted=True))
         if categorical:
-            parts.append(psi_categorical(reference, batch, categorical))
+            parts.append(psi_categorical(tokens, batch, categorical, counted=True))
         reduce(DataFrame.unionByName, parts).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     return incoming.writeStream.outputMode("append").foreachBatch(write)

@@ -76,6 +76,11 @@ def test_psi(spark):
     assert d.psi_numeric(ref, shifted, ["x"]).first()["psi"] > 0.25
     half = ref.withColumn("c", F.when(F.monotonically_increasing_id() % 2 == 0, "a").otherwise("b"))
     assert d.psi_categorical(ref, half, ["c"]).first()["psi"] > 0.1
+    edges = d.reference_edges(ref, ["x"])
+    counted = d.psi_numeric(d.bin_counts(ref, ["x"], edges), shifted, ["x"], edges=edges, counted=True)
+    assert counted.first()["psi"] == pytest.approx(d.psi_numeric(ref, shifted, ["x"]).first()["psi"])
+    counted = d.psi_categorical(d.category_counts(ref, ["c"]), half, ["c"], counted=True)
+    assert counted.first()["psi"] == pytest.approx(d.psi_categorical(ref, half, ["c"]).first()["psi"])
     empty = ref.filter("x < 0")
     assert d.psi_numeric(ref, empty, ["x"]).first()["psi"] is None
     flat = ref.withColumn("x", F.lit(1.0))
