@@ -17,8 +17,18 @@ COMMON_WORDS = {
     "es": ("de", "la", "que", "el", "en", "los", "se", "del", "las", "por"),
     "fr": ("de", "la", "le", "et", "les", "des", "en", "un", "du", "que"),
 }
-OTHER = "*"
-"""The reference of all other languages together, null included; it has no common words."""
+# The two-letter codes of ISO 639.
+LANGUAGES = (
+    "aa ab ae af ak am an ar as av ay az ba be bg bi bm bn bo br bs ca ce ch co cr cs cu cv cy da de dv dz ee el en eo "
+    "es et eu fa ff fi fj fo fr fy ga gd gl gn gu gv ha he hi ho hr ht hu hy hz ia id ie ig ii ik io is it iu ja jv ka "
+    "kg ki kj kk kl km kn ko kr ks ku kv kw ky la lb lg li ln lo lt lu lv mg mh mi mk ml mn mr ms mt my na nb nd ne ng "
+    "nl nn no nr nv ny oc oj om or os pa pi pl ps pt qu rm rn ro ru rw sa sc sd se sg si sk sl sm sn so sq sr ss st su "
+    "sv sw ta te tg th ti tk tl tn to tr ts tt tw ty ug uk ur uz ve vi vo wa wo xh yi yo za zh zu"
+).split()
+OTHER = "other"
+"""Languages without a list."""
+UNTAGGED = "*"
+"""Null tags and those that name no language."""
 CHAR_CLASSES = {
     "digit": "[0-9]",
     "upper": "[A-Z]",
@@ -41,29 +51,33 @@ def quality_rules(
     Base: fewer than `min_words` words, or over `max_repeat_pct` percent of the words inside 8-word
     windows that occur twice or more. Divergence: a language's reference is the sum of its documents'
     histograms of character classes, and of the language's common words with all other words in one
-    bin. A text is compared by the Jensen-Shannon divergence in bits (the distance's square): its
+    bin; only documents that pass the base rules and are tagged with a language that has a list are in a
+    reference. A text is compared by the Jensen-Shannon divergence in bits (the distance's square): its
     characters to the nearest reference, as the language tag may be wrong, its words to that of its
-    language. It may differ by the given maximum and an allowance divided by its number of words, as
-    short texts differ by chance; those of fewer than `judge_words` words are not judged, nor are the
-    words of languages without a list.
+    language, or the nearest one if its tag is null or names no language. It may differ by the given
+    maximum and an allowance divided by its number of words, as short texts differ by chance; those of
+    fewer than `judge_words` words are not judged, nor are the words of languages without a list. In the
+    characters of those languages letters of any script are one class.
 
     Windows are compared by 64-bit hashes, built from word hashes by doubling; only texts with a
     repeated window sort their windows. Every text stays in its row: nothing but a few sums per
-    language is shuffled; the references, one more than the lists at most, become literals.
+    language is shuffled; the references, as many as the lists at most, become literals.
 
-    Null and empty texts have no words and fail. Unknown and null languages share a reference. Every
-    row is judged by itself, repeated ones too. An empty table gives an empty result. `payload`
+    Null and empty texts have no words and fail. Without any reference no text is judged by divergence.
+    Every row is judged by itself, repeated ones too. An empty table gives an empty result. `payload`
     names the columns to carry in the struct `row` (all by default).
 
     Returns row, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, char_divergence,
-    word_divergence (null where not judged), base_failed, kept.
+    word_divergence (from the tag's language), nearest_word_divergence (of untagged texts; all three
+    null where not judged), base_failed, kept.
     """
     text = text_of(text_col)
     lang = F.col(lang_col).cast("string")
-    known = F.when(lang.isin(*COMMON_WORDS), lang).otherwise(F.lit(OTHER))
+    known = F.when(lang.isin(*COMMON_WORDS), lang).when(lang.isin(*LANGUAGES), OTHER).otherwise(F.lit(UNTAGGED))
     lists = F.create_map(
         *[x for k, v in COMMON_WORDS.items() for x in (F.lit(k), F.array(*map(F.lit, v)))],
         F.lit(OTHER), F.array().cast("array<string>"),
+        F.lit(UNTAGGED), F.array(*[F.lit(w) for v in COMMON_WORDS.values() for w in v]),
     )
     read = docs.select(
         F.struct(*[F.col(c) for c in (docs.columns if payload is None else payload)]).alias("row"),
@@ -84,10 +98,12 @@ def quality_rules(
         {
             "chars": F.concat("in_class", F.array(F.col("n_chars") - _total("in_class"))),
             "used": F.concat("common", F.array(F.col("n_words") - _total("common"))),
+            "base_failed": (F.col("n_words") < min_words)
+            | (100 * F.col("n_repeat_words") > max_repeat_pct * F.col("n_words")),
         }
     )
     char_bins, word_bins = len(CHAR_CLASSES) + 1, max(map(len, COMMON_WORDS.values())) + 1
-    sums = counted.groupBy("reference").agg(
+    sums = counted.where(F.col("reference").isin(*COMMON_WORDS) & ~F.col("base_failed")).groupBy("reference").agg(
         *[F.sum(F.get("chars", F.lit(i))).alias(f"c{i}") for i in range(char_bins)],
         *[F.sum(F.get("used", F.lit(i))).alias(f"w{i}") for i in range(word_bins)],
     )
@@ -95,25 +111,36 @@ def quality_rules(
         r["reference"]: ([r[f"c{i}"] for i in range(char_bins)], [r[f"w{i}"] or 0 for i in range(word_bins)])
         for r in sums.collect()
     }
-    chars = [divergence("chars", _shares(c)) for c, _ in references.values()]
-    used = [
-        F.when(F.col("reference") == name, divergence("used", _shares(w)))
-        for name, (_, w) in references.items() if name != OTHER
-    ]
     nothing = F.lit(None).cast("double")
+
+    def nearest(distances: list[Column]) -> Column:
+        return F.array_min(F.array(nothing, *distances))
+
+    def letters_as_one(bins: list) -> list:
+        return [*bins[:-2], bins[-2] + bins[-1]]
+
+    chars = nearest([divergence("chars", _shares(c)) for c, _ in references.values()])
+    pooled = F.array(*letters_as_one([F.get("chars", F.lit(i)) for i in range(char_bins)]))
+    any_script = nearest([divergence(pooled, _shares(letters_as_one(c))) for c, _ in references.values()])
+    used = [F.when(F.col("reference") == name, divergence("used", _shares(w))) for name, (_, w) in references.items()]
+    first, of_list = 1, {}
+    for name, names in COMMON_WORDS.items():
+        found = F.slice("common", first, len(names))
+        of_list[name] = F.concat(found, F.array(F.col("n_words") - _total(found)))
+        first += len(names)
+    any_list = nearest([divergence(of_list[name], _shares(w)) for name, (_, w) in references.items()])
     long_enough = F.col("n_words") >= judge_words
     symbol = list(CHAR_CLASSES).index("symbol")
     judged = counted.select(
         "row", "n_words", "word_chars", F.get("in_class", F.lit(symbol)).alias("n_symbols"), "n_dup_lines",
         "n_repeat_words",
-        F.when(long_enough, F.array_min(F.array(nothing, *chars))).alias("char_divergence"),
+        F.when(long_enough, F.when(F.col("reference") == OTHER, any_script).otherwise(chars)).alias("char_divergence"),
         F.when(long_enough, F.coalesce(nothing, *used)).alias("word_divergence"),
-        ((F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_pct * F.col("n_words"))).alias(
-            "base_failed"
-        ),
+        F.when(long_enough & (F.col("reference") == UNTAGGED), any_list).alias("nearest_word_divergence"),
+        "base_failed",
     )
     far = (F.col("char_divergence") > max_char_divergence + char_allowance / F.col("n_words")) | (
-        F.col("word_divergence") > max_word_divergence + word_allowance / F.col("n_words")
+        F.coalesce("word_divergence", "nearest_word_divergence") > max_word_divergence + word_allowance / F.col("n_words")
     )
     return judged.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(far, F.lit(False)))
 
@@ -122,16 +149,13 @@ def _shares(counts: list[int]) -> list[float]:
     return [n / max(1, sum(counts)) for n in counts]
 
 
-def divergence(counts: str, reference: list[float]) -> Column:
-    """Jensen-Shannon divergence in bits of counts and a reference's shares; null without counts.
-
-    The reference may have more bins, which only other languages use.
-    """
+def divergence(counts: str | Column, reference: list[float]) -> Column:
+    """Jensen-Shannon divergence in bits of counts and a reference's shares; null without counts."""
 
     def term(a: Column, b: Column) -> Column:
         return F.when(a > 0, a / 2 * F.log2(2 * a / (a + b))).otherwise(F.lit(0.0))
 
-    shares = F.slice(F.array(*map(F.lit, reference)), F.lit(1), F.size(counts))
+    shares = F.array(*map(F.lit, reference))
     terms = let(
         _total(counts),
         lambda all_: F.zip_with(
@@ -144,7 +168,7 @@ def divergence(counts: str, reference: list[float]) -> Column:
     )
 
 
-def _total(counts: str) -> Column:
+def _total(counts: str | Column) -> Column:
     return F.aggregate(counts, F.lit(0).cast("long"), lambda total, n: total + n)
 
 

@@ -12,7 +12,7 @@ import tiktoken
 
 from creditloom.llm import byte_bpe
 from creditloom.llm.backoff import backoff_scores
-from creditloom.llm.divergence import quality_rules
+from creditloom.llm.divergence import CHAR_CLASSES, quality_rules
 from creditloom.llm.pii_crf import KINDS, personal_data
 from creditloom.llm.queries import bpe_digests
 
@@ -160,6 +160,32 @@ def test_quality_divergence(make):
         assert got[i].word_divergence == pytest.approx(divergence_brute(used(text), reference))
 
 
+def test_junk_without_a_language_is_no_reference(make):
+    """Junk is found under any tag, though rows of no language consist of junk only; clean text stays."""
+    clean = [(i, prose(120, i), "en", "s") for i in range(60)]
+    clean += [(60 + i, prose(120, 60 + i), lang, "s") for i, lang in enumerate((None, "", "xx", "it"))]
+    russian = " ".join("и в не на что это слово текст мир дом".split()[k] for k in random.Random(3).choices(range(10), k=90))
+    clean += [(70, russian, "ru", "s")]
+    symbols = [" ".join(f"T{k}X|{i}" for k in range(120)) for i in range(9)]
+    lower = [" ".join(random.Random(i).choices(["qz", "vlo", "brem", "tik", "osk", "un", "pla"], k=120)) for i in range(4)]
+    junk = [(100 + i, t, (None, "xx", "en", "it")[i % 4], "s") for i, t in enumerate(symbols)]
+    junk += [(200 + i, t, (None, "xx", "", "en")[i], "s") for i, t in enumerate(lower)]
+    repeated = [(300 + i, "A|1 B|2 C|3 " * 400, "en", "s") for i in range(30)]
+    got = {r.row.doc_id: r for r in quality_rules(make(clean + junk + repeated), payload=["doc_id"]).collect()}
+    assert {i for i, r in got.items() if r.kept} == {i for i, *_ in clean}
+
+    def classes(text):
+        bins = [len(re.findall(c, text)) for c in CHAR_CLASSES.values()]
+        return [*bins, len(text) - sum(bins)]
+
+    reference = [sum(c) for c in zip(*(classes(t) for _, t, lang, _ in clean + junk if lang == "en"))]
+    for i, text in ((0, clean[0][1]), (60, clean[60][1]), (100, symbols[0])):
+        assert got[i].char_divergence == pytest.approx(divergence_brute(classes(text), reference))
+    assert got[100].word_divergence is None and got[100].nearest_word_divergence > 0.1
+    alone = quality_rules(make([(1, symbols[0], None, "s"), (2, prose(90), None, "s")])).collect()
+    assert [r.char_divergence for r in alone] == [None, None]
+
+
 def backoff_brute(rows, order, alpha):
     texts = [[w.lower() for w in WORD.findall(t or "")] for _, t in rows]
 
