@@ -4,6 +4,8 @@ import gzip
 import hashlib
 import random
 import re
+from html.entities import html5
+from html.parser import HTMLParser
 from pathlib import Path
 
 import pytest
@@ -47,6 +49,50 @@ def test_derivatives(pages):
     assert text[2] == text[3] == "" and text[5] == "open" and text[None] == "é" * 50_000
 
 
+class Read(HTMLParser):
+    """Text and links of a page by the library's parser."""
+
+    def __init__(self, page):
+        super().__init__()
+        self.text, self.links = "", []
+        self.feed(page)
+        self.close()
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "a":
+            self.links += [v for k, v in attrs if k == "href"][:1]
+
+    def handle_data(self, data):
+        self.text += data
+
+
+def test_references_and_links_are_those_of_a_parser(spark):
+    names = [f"&{name} " for name in sorted(html5) if not html5[name].isspace()]
+    plain = "&copy; 2026 &middot; it&#8217;s caf&#xE9; &#x1F600; &amp;amp; &nothing; &#00065; &copy 1 &#128; &#xD800; 5 &lt; 6"
+    bodies = [plain, "<b>".join(names[:1200]), "".join(names[1200:]), "&#" + "9" * 5000 + "; &#" + "0" * 5000 + "65;"]
+    tags = [
+        "<a href=/x>", "<a href = '/y z'>", "<A class=b\nHREF=\"/it's\">", "<a href='/say\"so\"'>", "<a title='a' href=/q?a=1&amp;b=&eacute;>",
+        '<a href="/p?x=1&lt;&#8217;">', "<a name=here>", '<a data-href="/no">', "<a disabled href=/one href=/two>", "<abbr href=/no>",
+    ]
+    bodies += ["".join(f"{t}link</a> " for t in tags), "<a href=/x " * 20_000, '<a title="no href=here" href="/yes">z</a>']
+    pages = spark.createDataFrame([(i, "u", f"<body>{b}</body>") for i, b in enumerate(bodies)], "page_id long, url string, html string")
+    got = {(r.page_id, r.record_type): r.block for r in warc.derivatives(warc.responses(pages)).collect()}
+    for i, body in enumerate(bodies):
+        links = [x[9:] for x in got[i, "metadata"].split("\r\n") if x.startswith("outlink: ")]
+        if i == 3:
+            assert got[i, "conversion"] == "\ufffd A"
+        elif i < 3:
+            want = re.sub("[\x00-\x20]+", " ", Read(body).text.replace("\xa0", " ")).strip()
+            assert re.sub("[\x00-\x20]+", " ", got[i, "conversion"]).strip() == want
+        elif i != 5:
+            assert links == Read(body).links
+    assert [x for x in got[4, "metadata"].split("\r\n") if "outlink" in x][:4] == [
+        "outlink: /x", "outlink: /y z", "outlink: /it's", 'outlink: /say"so"'
+    ]
+    assert "outlink" not in got[5, "metadata"]
+    assert warc._hrefs('<a href="?a=1&copy=2&copyx&copy&amp=&reg;">') == ["?a=1&copy=2&copyx©&amp=®"]  # as in a browser
+
+
 def test_written_files_are_warc(pages, tmp_path):
     records = warc.derivatives(warc.responses(pages)).repartition(2)
     warc.write_warc(records, str(tmp_path / "out"))
