@@ -30,6 +30,8 @@ FORMS = 256
 """Forms of a mention that the model tells apart; other forms fall together by hash."""
 NEAR = 200
 """Characters between neighbours in the chain."""
+SETTLED = 1e-4
+"""Largest change of a message, in log units, after which no more are sent."""
 MENTION_SCHEMA = "n int, label array<int>, start array<int>, end array<int>, form array<int>, same array<long>"
 
 
@@ -105,20 +107,22 @@ def mentions(text: str) -> list[tuple[int, int, int, int, int]]:
 
 
 def personal_data(
-    docs: DataFrame, rounds: int = 6, certain: float = 0.9, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, rounds: int = 200, certain: float = 0.9, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """The base spans of every whole text, and those a skip-chain CRF adds.
 
     Nodes are the base spans, whose labels are given, and other mentions: words with an @ and runs
     of seven or more digits. Factors: a node's form (separators, number of digits) with its label;
     neighbours in the text within NEAR characters; and skip edges between successive mentions, however
-    distant, of the same thing (equal local part, equal last seven digits), which share a potential.
+    distant, of the same thing (equal local part, equal last seven digits), which share a potential: from
+    every base span to each other mention of its key, and between successive mentions that are none.
     The factors are trained piecewise, each from counts over all documents: forms and neighbours with
-    mentions as negatives, unless a skip edge ties them to a base span, skip edges by how often base
-    spans of one key agree. Loopy belief propagation with `rounds` of messages then gives the
-    marginals, the nodes of a batch of documents side by side; a mention whose likeliest kind has a
-    marginal over `certain` becomes a span of that kind. A thing's mentions are linked in a row, so
-    edges are never more than nodes, also in a text that repeats one number all over.
+    mentions as negatives, unless a skip edge ties them to a base span, skip edges by how often
+    successive base spans of one key agree. Loopy belief propagation then gives the marginals, the
+    nodes of a batch of documents side by side, until messages no longer change, at most `rounds`
+    times; a mention whose likeliest kind has a marginal over `certain` becomes a span of that kind.
+    As a base span's label is given, its messages are the same in each round: they enter as counts of
+    base labels by document and key, so work is linear, also in a text that repeats one number all over.
 
     Null and empty texts have no spans. Each row is read by itself, repeated ones too; null
     identifiers and columns of any other names do no harm. An empty table gives an empty result.
@@ -171,9 +175,23 @@ class Graph:
         near = (self.doc[1:] == self.doc[:-1]) & (self.start[1:] - self.end[:-1] <= NEAR)
         self.chain = np.stack([next_[near] - 1, next_[near]])
         order = np.lexsort((self.start, self.same, self.doc))
+        self.skip = self._links(order[self.label[order] == NONE])
+        self.agree = self._links(order[self.label[order] != NONE])
+        first = np.ones(len(order), dtype=bool)
+        first[1:] = (self.doc[order[1:]] != self.doc[order[:-1]]) | (self.same[order[1:]] != self.same[order[:-1]])
+        key = np.empty(len(order), dtype=np.int64)
+        key[order] = np.cumsum(first) - 1
+        given = self.label != NONE
+        by_key = np.zeros((int(first.sum()), LABELS))
+        np.add.at(by_key, (key[given], self.label[given]), 1)
+        self.known = by_key[key]
+        """Base spans of each label that share the node's document and key."""
+
+    def _links(self, order: np.ndarray) -> np.ndarray:
+        """Successive ones of the nodes, sorted by document and key, that share both."""
         a, b = order[:-1], order[1:]
         equal = (self.doc[a] == self.doc[b]) & (self.same[a] == self.same[b])
-        self.skip = np.stack([a[equal], b[equal]])
+        return np.stack([a[equal], b[equal]])
 
 
 def _evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,14 +200,11 @@ def _evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     chain, skip = (np.zeros((LABELS, LABELS), dtype=np.int64) for _ in range(2))
     for batch in batches:
         g = Graph(batch)
-        tied = np.zeros(len(g.label), dtype=bool)
-        for a, b in (g.skip, g.skip[::-1]):
-            tied[a[g.label[b] != NONE]] = True
-        sure = (g.label != NONE) | ~tied
+        sure = (g.label != NONE) | (g.known.sum(axis=1) == 0)
         np.add.at(form, (g.form[sure], g.label[sure]), 1)
         a, b = g.chain[:, sure[g.chain].all(axis=0)]
         np.add.at(chain, (g.label[a], g.label[b]), 1)
-        a, b = g.skip[:, (g.label[g.skip] != NONE).all(axis=0)]
+        a, b = g.agree
         np.add.at(skip, (g.label[a], g.label[b]), 1)
     for factor, counts in enumerate((form, chain, skip)):
         a, b = np.nonzero(counts)
@@ -216,15 +231,16 @@ def _potentials(rows: list[tuple[int, int, int, int]]) -> tuple[np.ndarray, np.n
 
 
 def _marginals(g: Graph, model: tuple[np.ndarray, ...], rounds: int) -> np.ndarray:
-    """Sum-product messages along all edges in both directions, damped by half."""
+    """Sum-product messages along all edges in both directions, damped by half, until they settle."""
     form, chain, skip = model
-    own = form[g.form].copy()
+    own = form[g.form] + g.known @ skip
     given = g.label != NONE
     own[given] = -50.0
     own[given, g.label[given]] = 0.0
-    a = np.concatenate([g.chain[0], g.skip[0]])
-    b = np.concatenate([g.chain[1], g.skip[1]])
-    kind = np.repeat([0, 1], [g.chain.shape[1], g.skip.shape[1]])
+    beside = g.chain[:, (~given)[g.chain].any(axis=0)]
+    a = np.concatenate([beside[0], g.skip[0]])
+    b = np.concatenate([beside[1], g.skip[1]])
+    kind = np.repeat([0, 1], [beside.shape[1], g.skip.shape[1]])
     pair = np.stack([chain, skip])[kind]
     source, target = np.concatenate([a, b]), np.concatenate([b, a])
     pair = np.concatenate([pair, pair.transpose(0, 2, 1)])
@@ -240,7 +256,11 @@ def _marginals(g: Graph, model: tuple[np.ndarray, ...], rounds: int) -> np.ndarr
         out = (belief()[source] - sent[back])[:, :, None] + pair
         top = out.max(axis=1, keepdims=True)
         new = np.log(np.exp(out - top).sum(axis=1)) + top[:, 0]
-        sent = (sent + new - new.max(axis=1, keepdims=True)) / 2
+        new -= new.max(axis=1, keepdims=True)
+        change = np.abs(new - sent).max()
+        sent = (sent + new) / 2
+        if change < SETTLED:
+            break
     total = belief()
     total = np.exp(total - total.max(axis=1, keepdims=True))
     return total / total.sum(axis=1, keepdims=True)

@@ -104,6 +104,20 @@ def test_skip_edges_carry_labels(make):
     assert all(not got[5000 + i].spans for i in range(60))
 
 
+def test_labels_reach_all_mentions_of_a_thing(make):
+    """One known number and 2, 5 and 20 reformatted mentions, near and far; look-alikes of no known one stay clean."""
+    rows = [(i, f"call +1 (743) 555-{1000 + i} or again +1 (743) 555-{1000 + i}") for i in range(1200)]
+    rows += [(5000 + i, f"order 743 555 {1000 + i} shipped") for i in range(60)]
+    for n in (2, 5, 20):
+        rows += [(9000 + n, "call +1 (743) 555-9999 now " + ("and so on " * 30 + "as said 743 555 9999 thanks ") * n)]
+        rows += [(9100 + n, "and 743 555 9999 again " * n + "call +1 (743) 555-9999 now")]
+        rows += [(9200 + n, "and 743 555 9999 again " * n + "call +1 (743) 555-8888 now")]
+    got = {r.doc_id: r for r in personal_data(make(rows)).collect()}
+    for n in (2, 5, 20):
+        assert [len(got[k + n].spans) - len(got[k + n].base) for k in (9000, 9100, 9200)] == [n, n, 0]
+    assert all(not got[5000 + i].spans for i in range(60))
+
+
 def quality_base(text):
     w = WORD.findall(text or "")
     windows = [tuple(w[i : i + 8]) for i in range(len(w) - 7)]
