@@ -41,7 +41,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     if "@" in text:
         found += [(s, 1, e) for s, e in _emails(text)]
     if DIGIT.search(text):
-        found += [(m.start(), 2, m.end()) for m in IP.finditer(text) if all(int(p) < 256 for p in m[0].split("."))]
+        found += [(m.start(), 2, m.end()) for m in IP.finditer(text) if all(map(_octet, m[0].split(".")))]
         found += [(m.start(), 3, m.end()) for m in CARD.finditer(text) if _card(m[0])]
         if "+" in text:
             found += [(m.start(), 4, m.end()) for m in PHONE.finditer(text) if 9 <= len(_digits(m[0])) <= 15]
@@ -62,6 +62,12 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", max(at + 1, done))
 
 
+def _octet(part: str) -> bool:
+    """Whether a run of digits is below 256; int() takes no more than 4,300 digits."""
+    significant = part.lstrip("0")
+    return len(significant) <= 3 and int(significant or "0") < 256
+
+
 def _digits(span: str) -> str:
     return "".join(c for c in span if "0" <= c <= "9")
 

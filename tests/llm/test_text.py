@@ -13,7 +13,7 @@ import tiktoken
 from creditloom.llm import byte_bpe
 from creditloom.llm.backoff import backoff_scores
 from creditloom.llm.divergence import CHAR_CLASSES, quality_rules
-from creditloom.llm.pii_crf import KINDS, personal_data
+from creditloom.llm.pii_crf import KINDS, base_spans, personal_data
 from creditloom.llm.queries import bpe_digests
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -92,6 +92,13 @@ def test_personal_data_base(make, odd):
     assert personal_data(make([])).count() == 0
 
 
+def test_very_long_numbers_are_no_address():
+    long = "9" * 5000
+    assert not base_spans(f"{long}.1.1.1") and not base_spans(f"1.1.1.{long}")
+    zeros = "0" * 5000
+    assert base_spans(f"at {zeros}7.1.1.255") == [(3, 2, 5012)] == base_spans(f"at {zeros}7.1.1.255, 1.1.256.1")
+
+
 def test_skip_edges_carry_labels(make):
     """A number that repeats a known one in another shape becomes a span; a lone one like it does not."""
     rows = [(i, f"call +1 (743) 555-{1000 + i} or again +1 (743) 555-{1000 + i}") for i in range(1200)]
