@@ -18,7 +18,10 @@ from creditloom.session import materialize
 VIEWS = ("text", "meta")
 TEXT_BITS, META_BITS = 1 << 12, 1 << 8
 HELD_OUT = 5
-"""One labelled document in HELD_OUT calibrates; the others train."""
+"""One labelled document of a class in HELD_OUT calibrates; the others train."""
+BIN, BINS = 0.02, 2500
+"""Width of a bin of margins, and how many there are on each side of 0; the last holds the rest."""
+SHARES = 1 << 30
 
 
 @dataclass
@@ -77,84 +80,131 @@ def co_train(
     label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text",
     meta_cols: tuple[str, ...] = ("lang", "source"),
 ) -> CoTrained:
-    """Fit both views on at most `max_labelled` labelled and `pool` unlabelled documents.
+    """Fit both views, with pseudo-labels from all unlabelled documents.
 
     The text view sees words, hashed, and shares of characters; the metadata view the tags in
-    `meta_cols` and the lengths. In every round each view is fitted on the labels it has, and gives the
-    other its most confident pseudo-labels of the pool: `step` of the pool, split by the classes' share
-    of the labels. Then each view's margin is calibrated by a logistic fit on labelled documents that
-    no view was trained on. The sample is taken by the order of a hash of the identifier, so its
-    bounds are the only thing that does not grow with the tables.
+    `meta_cols` and the lengths. After every round but the last both views score all unlabelled documents, and
+    each gives the other its most confident pseudo-labels: `step` of all unlabelled documents, split by
+    the classes' share of the labels, down to a margin found by counting documents per bin of margins
+    (inside the last bin a hash of the identifier decides). Then each view's margin is calibrated by a
+    logistic fit on labelled documents that no view was trained on.
+
+    Only the rows that are fitted are a sample, by a hash of the identifier: at most `max_labelled`
+    labelled documents, half of them of each class, and about `pool` pseudo-labelled ones for each
+    view. Weights restore the shares that classes and pseudo-labels have in the whole tables, so a
+    rare class is seen and a larger table is fitted like a smaller one.
 
     Labels: null ones are none; for several of one document the lowest holds. Documents without
-    identifier are not sampled. With fewer than two classes no view is fitted and every score is the
+    identifier are not used. With fewer than two classes no view is fitted and every score is the
     prior (one half without labels).
     """
     spark = docs.sparkSession
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(
         F.col(id_col).cast("long").alias("id")
-    ).agg(F.min(F.col(label_col).cast("double")).alias("label"))
+    ).agg((F.min(F.col(label_col).cast("double")) > 0).cast("double").alias("y"))
     present = docs.select(F.col(id_col).cast("long").alias("id")).where("id is not null").distinct()
-    by_hash = F.xxhash64("id", F.lit(5))
-    labelled = present.join(known, "id").orderBy(by_hash).limit(max_labelled)
-    others = present.join(known.select("id"), "id", "left_anti").orderBy(by_hash).limit(pool)
-    chosen = materialize(labelled.unionByName(others.withColumn("label", F.lit(None).cast("double"))), "chosen")
-    sample = docs.join(F.broadcast(chosen), docs[id_col].cast("long") == chosen["id"], "left_semi")
-    sample = _vectors(_features(sample, id_col, text_col, meta_cols).dropDuplicates(["id"]))
-    sample = materialize(sample.join(F.broadcast(chosen), "id").repartition(4, "id"), "sample")
-
-    model = CoTrained()
-    held = F.pmod(F.xxhash64("id", F.lit(6)), F.lit(HELD_OUT)) == 0
-    train, check = sample.where(~held | F.col("label").isNull()), sample.where(held & F.col("label").isNotNull())
-    sizes = {r["label"]: r["n"] for r in train.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    unlabelled = sizes.pop(None, 0)
-    good = sum(n for label, n in sizes.items() if label > 0)
-    total = sum(sizes.values())
-    model.prior = math.log((good + 0.5) / (total - good + 0.5))
+    ids = materialize(present.join(known, "id", "left"), "ids")
+    sizes = {r["y"]: r["n"] for r in ids.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    unlabelled, good = sizes.get(None, 0), sizes.get(1.0, 0)
+    total = good + sizes.get(0.0, 0)
+    model = CoTrained(prior=math.log((good + 0.5) / (total - good + 0.5)))
     if good in (0, total):
         return model
 
-    labels_of = {view: train.where("label is not null").select("id", (F.col("label") > 0).cast("double").alias("y"))
-                 for view in VIEWS}
+    share = {1.0: good / total, 0.0: 1 - good / total}
+    chosen = []
+    for y in share:
+        rows = [r["id"] for r in _hashed(ids.where(F.col("y") == y), max(2, max_labelled // 2), sizes[y]).collect()]
+        chosen += [(i, y, sizes[y] / len(rows), n % HELD_OUT == 1) for n, i in enumerate(rows)]
+    scale = len(chosen) / total
+    chosen = spark.createDataFrame([(i, y, w * scale, held) for i, y, w, held in chosen], "id long, y double, w double, held boolean")
+
+    def with_vectors(rows: DataFrame, purpose: str) -> DataFrame:
+        found = docs.join(F.broadcast(rows), docs[id_col].cast("long") == rows["id"], "left_semi")
+        found = _vectors(_features(found, id_col, text_col, meta_cols).dropDuplicates(["id"]))
+        return materialize(found.join(F.broadcast(rows), "id").repartition(4, "id"), purpose)
+
+    sample = with_vectors(chosen, "sample")
+    check, train = sample.where("held"), sample.where("not held").drop("held")
+    trained = {view: train for view in VIEWS}
+    state = ids.where("y is null").select("id", *[F.lit(None).cast("double").alias(f"y_{view}") for view in VIEWS])
     for turn in range(rounds):
-        model.views = {view: _fit(train, labels_of[view], view) for view in VIEWS}
+        model.views = {view: _fit(trained[view], view) for view in VIEWS}
         if turn == rounds - 1 or not unlabelled:
             break
-        taken = max(2, round(step * unlabelled))
-        per_class = (max(1, round(taken * good / total)), max(1, round(taken * (total - good) / total)))
-        given = {}
-        for view, other in (VIEWS, VIEWS[::-1]):
-            free = train.where("label is null").join(labels_of[other], "id", "left_anti")
-            scored = _margins(free, model.views[view]).select("id", "m")
-            best = scored.where("m > 0").orderBy(F.desc("m"), "id").limit(per_class[0])
-            worst = scored.where("m < 0").orderBy("m", "id").limit(per_class[1])
-            new = best.select("id", F.lit(1.0).alias("y")).union(worst.select("id", F.lit(0.0)))
-            given[other] = [(r["id"], r["y"]) for r in new.collect()]
-        for view, rows in given.items():
-            model.exchanged[view] = model.exchanged.get(view, 0) + len(rows)
-            labels_of[view] = labels_of[view].union(spark.createDataFrame(rows, "id long, y double"))
+        rows = _vectors(_features(docs, id_col, text_col, meta_cols))
+        for view in VIEWS:
+            rows = _margins(rows, model.views[view], view)
+        margins = rows.where("id is not null").groupBy("id").agg(*[F.min(f"m_{view}").alias(f"m_{view}") for view in VIEWS])
+        scored = materialize(state.join(margins, "id"), "margins")
+        wanted = {y: max(1, round(step * unlabelled * share[y])) for y in share}
+        given = {
+            other: _confident(scored.where(F.col(f"y_{other}").isNull()), f"m_{view}", wanted)
+            for view, other in (VIEWS, VIEWS[::-1])
+        }
+        state = materialize(
+            scored.select("id", *[F.coalesce(f"y_{view}", given[view]).alias(f"y_{view}") for view in VIEWS]), "pseudo-labels"
+        )
+        for view in VIEWS:
+            pseudo = state.where(F.col(f"y_{view}").isNotNull()).select("id", F.col(f"y_{view}").alias("y"))
+            n = model.exchanged[view] = pseudo.count()
+            if n:
+                part = min(1.0, pool / n)
+                fitted = pseudo.where(_draw("id", 7) < part * SHARES).withColumn("w", F.lit(scale / part))
+                trained[view] = train.unionByName(with_vectors(fitted, f"pseudo-{view}"))
     for view in VIEWS:
         model.calibration[view] = _calibrate(check, model.views[view], model.prior)
     return model
 
 
-def _fit(train: DataFrame, labels: DataFrame, view: str) -> LogisticRegressionModel:
-    rows = train.select("id", view).join(labels, "id").coalesce(4)
-    return LogisticRegression(featuresCol=view, labelCol="y", regParam=0.01, maxIter=25).fit(rows)
+def _draw(id_: str, seed: int) -> Column:
+    return F.pmod(F.xxhash64(id_, F.lit(seed)), F.lit(SHARES))
+
+
+def _hashed(ids: DataFrame, n: int, size: int) -> DataFrame:
+    """The first n of `size` identifiers by hash; few more than n are looked at."""
+    near = ids.where(_draw("id", 5) < min(1.0, (2 * n + 100) / max(1, size)) * SHARES)
+    return near.orderBy(_draw("id", 5), "id").limit(n)
+
+
+def _confident(free: DataFrame, margin: str, wanted: dict[float, int]) -> Column:
+    """The pseudo-label of a row with this margin, null for all but about the wanted numbers of each class."""
+    side = F.least(F.floor(F.abs(margin) / BIN), F.lit(BINS)).cast("int")
+    counts = free.where(F.col(margin) != 0).groupBy((F.col(margin) > 0).cast("double").alias("y"), side.alias("bin"))
+    per_bin = {(r["y"], r["bin"]): r["n"] for r in counts.agg(F.count("*").alias("n")).collect()}
+    label = F.lit(None).cast("double")
+    for y, left in wanted.items():
+        part = 1.0
+        edge = 0
+        for edge, n in sorted(((b, n) for (at, b), n in per_bin.items() if at == y), reverse=True):
+            part = min(1.0, left / n)
+            left -= n
+            if left <= 0:
+                break
+        sure = (side > edge) | ((side == edge) & (_draw("id", 8) < part * SHARES))
+        label = F.when((F.col(margin) > 0 if y else F.col(margin) < 0) & sure, F.lit(y)).otherwise(label)
+    return label
+
+
+def _fit(train: DataFrame, view: str) -> LogisticRegressionModel:
+    rows = train.select("y", "w", view).coalesce(4)
+    return LogisticRegression(featuresCol=view, labelCol="y", weightCol="w", regParam=0.01, maxIter=25).fit(rows)
 
 
-def _margins(rows: DataFrame, model: LogisticRegressionModel) -> DataFrame:
-    """The rows with the log-odds that a fitted view gives them, as m."""
-    return model.transform(rows).withColumn("m", vector_to_array("rawPrediction")[1])
+def _margins(rows: DataFrame, model: LogisticRegressionModel, view: str) -> DataFrame:
+    """The rows with the log-odds that a fitted view gives them, as m_ and the view."""
+    fitted = model.copy().setRawPredictionCol(f"{view}_raw").setProbabilityCol("").setPredictionCol("")
+    return fitted.transform(rows).withColumn(f"m_{view}", vector_to_array(f"{view}_raw")[1])
 
 
 def _calibrate(check: DataFrame, model: LogisticRegressionModel, prior: float) -> tuple[float, float]:
-    rows = VectorAssembler(inputCols=["m"], outputCol="x").transform(
-        _margins(check, model).select("m", (F.col("label") > 0).cast("double").alias("y"))
+    view = model.getFeaturesCol()
+    rows = VectorAssembler(inputCols=[f"m_{view}"], outputCol="x").transform(
+        _margins(check, model, view).select(f"m_{view}", "y", "w")
     )
     if rows.select("y").distinct().count() < 2:
         return 0.0, prior
-    fitted = LogisticRegression(featuresCol="x", labelCol="y", regParam=0.001, maxIter=25).fit(rows)
+    fitted = LogisticRegression(featuresCol="x", labelCol="y", weightCol="w", regParam=0.001, maxIter=25).fit(rows)
     return float(fitted.coefficients[0]), float(fitted.intercept)
 
 
@@ -174,9 +224,8 @@ def score(
     odds = {view: F.lit(model.prior) for view in VIEWS}
     for view, fitted in model.views.items():
         slope, offset = model.calibration[view]
-        fitted = fitted.copy().setRawPredictionCol(f"{view}_raw").setProbabilityCol("").setPredictionCol("")
-        rows = fitted.transform(rows)
-        odds[view] = vector_to_array(f"{view}_raw")[1] * slope + offset
+        rows = _margins(rows, fitted, view)
+        odds[view] = F.col(f"m_{view}") * slope + offset
     both = odds["text"] + odds["meta"] - F.lit(model.prior)
 
     def chance(x: Column) -> Column:

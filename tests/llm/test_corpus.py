@@ -132,6 +132,21 @@ def test_co_training(spark, make, odd):
     assert all(0 <= r.score <= 1 for r in got)
 
 
+def test_co_training_searches_all_documents_and_sees_rare_classes(spark, make):
+    """Pseudo-labels are a share of all unlabelled documents, not of a pool; a class of 6 in 600 is fitted."""
+    rng = random.Random(12)
+    prose = "the of and to in that is for it on some words make sentences".split()
+    bad = {i for i in range(20, 1220) if i % 100 == 5}
+    rows = [(i, junk(60, i) if i in bad else " ".join(rng.choices(prose, k=60)), "en", "bad" if i in bad else "good") for i in range(20, 1220)]
+    labels = spark.createDataFrame([(i, int(i not in bad)) for i in range(20, 620)], "doc_id long, quality int")
+    docs = make(rows)
+    model = co_train(docs, labels, rounds=2, max_labelled=40, pool=20)
+    assert model.views and all(slope > 0 for slope, _ in model.calibration.values())
+    assert all(40 <= n <= 80 for n in model.exchanged.values())
+    got = {r.doc_id: r.kept for r in score(docs, model).collect()}
+    assert sum(got[i] == (i not in bad) for i in range(620, 1220)) > 0.97 * 600 and not any(got[i] for i in bad)
+
+
 def test_co_training_without_classes(spark, make):
     docs = make([(1, "a"), (2, None)])
     for known in ([], [(1, 1)]):
