@@ -25,9 +25,16 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates; of rows repeated as a whole, one."""
-    stay = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("stays")).distinct()
-    kept = docs.join(stay, F.col("doc_id").eqNullSafe(F.col("stays")), "left_semi")
+    """One document of each group of near duplicates, that of the smallest identifier; of rows repeated as a whole, one.
+
+    Rows of one identifier, null ones too, are told apart by a hash of identifier and text.
+    """
+    hashed = docs.withColumn("row_hash", F.xxhash64(F.col("doc_id"), F.coalesce("text", F.lit(""))))
+    found = near_duplicates(hashed, id_col="row_hash").select(F.col("doc_id").alias("row_hash"), "component_id").distinct()
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_hash"))
+    stay = found.join(hashed.select("row_hash", "doc_id").distinct(), "row_hash").groupBy("component_id").agg(first.alias("f"))
+    kept = hashed.join(stay.select(F.col("f.row_hash").alias("stays")), F.col("row_hash") == F.col("stays"), "left_semi")
+    kept = kept.drop("row_hash")
     same = Window.partitionBy("doc_id", "text_hash").orderBy(F.lit(1))
     numbered = kept.withColumn("text_hash", F.xxhash64("text")).withColumn("nth", F.row_number().over(same))
     return numbered.where("nth = 1").drop("text_hash", "nth")

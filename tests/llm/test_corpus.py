@@ -215,3 +215,25 @@ def test_pipeline(spark, tmp_path):
     texts = current.groupBy("doc_id", F.sha2("text", 256).alias("h")).count()
     assert out.groupBy("doc_id", F.col("decoded_sha256").alias("h")).count().exceptAll(texts).count() == 0
     assert out.count() == current.count()
+
+
+def test_near_stage_keeps_one_of_each_group(spark, make):
+    """Null and repeated identifiers against brute force."""
+    rng = random.Random(13)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(12)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(100 + i, t + " end") for i, t in enumerate(texts)]
+    rows += [(None, texts[0] + " more"), (None, "alone " + texts[0][:0] + " ".join(f"z{k}" for k in range(60))), (None, texts[1] + " x")]
+    rows += [(7, " ".join(f"y{k}" for k in range(60))), (7, texts[7]), (200, None), (201, ""), (None, None)]
+
+    def shingles(text):
+        w = (text or "").split()
+        return {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
+
+    order = sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0))
+    want = []
+    for i, text in order:
+        mine = shingles(text)
+        if not any(mine and len(mine & shingles(t)) >= 0.75 * len(mine | shingles(t)) for _, t in want):
+            want.append((i, text))
+    got = corpus_pipeline.near(spark, make(rows), "").select("doc_id", "text").collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
