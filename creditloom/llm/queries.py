@@ -13,10 +13,13 @@ from creditloom.llm.backoff import backoff_scores
 from creditloom.llm.cotrain import co_train, score
 from creditloom.llm.divergence import quality_rules
 from creditloom.llm.fair_mix import fair_mix
+from creditloom.llm.language import fit_language, is_held_out, predict_language
 from creditloom.llm.line_dedup import line_dedup
 from creditloom.llm.odd_sketch import near_duplicates
 from creditloom.llm.pii_crf import KINDS, personal_data
+from creditloom.llm.spelling import count_words, group_variants
 from creditloom.llm.tree_dedup import tree_dedup
+from creditloom.llm.whitening import fit_whitening, whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -172,3 +175,22 @@ def op9_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = fair_mix(documents(spark, sf_dir), payload=["doc_id"])
     return mixed.select("row.doc_id", "size", "source_size", "target", "taken")
+
+
+@register("op11_spelling_variants")
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_variants(count_words(documents(spark, sf_dir), min_length=5, min_count=3, drop_one_in=97))
+
+
+@register("op12_language")
+def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = fit_language(docs, learn_from=~is_held_out("doc_id"))
+    found = predict_language(docs, model)
+    return found.select("doc_id", is_held_out("doc_id").alias("held_out"), "lang_pred", "score", "accepted")
+
+
+@register("op13_whitening")
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return whiten(vectors, fit_whitening(vectors))
