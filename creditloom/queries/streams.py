@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 from creditloom.queries.decisions import DECISION
 from creditloom.queries.monitoring import CHECK_NAME, CHECK_STATUS, categorical_psi_sql, numeric_psi_sql
 from creditloom.queries.registry import query
-from creditloom.session import shared_dir
+from creditloom.session import materialize, shared_dir
 from creditloom.sources import fixtures as fx
-from creditloom.sources.reports import latest_per_queue as newest_events
-from creditloom.streaming import jobs
+from creditloom.streaming import jobs, state
 
 T = 0.08
 PROBABILITY = "(event_id * 7919 % 1000) / 1000e0 * 0.2e0"
@@ -22,11 +21,28 @@ def event_stream(spark, sf_dir):
     return events.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def decisions(spark, sf_dir):
-    scored = event_stream(spark, sf_dir).selectExpr("user_id", "ts", f"{PROBABILITY} AS probability")
+def decide(events):
+    scored = events.selectExpr("user_id", "ts", f"{PROBABILITY} AS probability")
     return jobs.triage_stream(scored, "user_id", "probability", T, F.col("ts"))
 
 
+def decisions(spark, sf_dir):
+    return decide(event_stream(spark, sf_dir))
+
+
+# When an event arrives: in six-day batches, one in ten a batch later and one in fifty two batches later.
+ARRIVAL = """CAST(least(5, greatest(0, floor(({seconds}) / 518400e0)) + CASE WHEN event_id % 10 = 3 THEN 1
+  WHEN event_id % 50 = 7 THEN 2 ELSE 0 END) AS INT)"""
+ARRIVED = ARRIVAL.format(seconds="unix_timestamp(ts) - 1704067200")
+ARRIVED_SQL = ARRIVAL.format(seconds="floor(epoch(ts)) - 1704067200")
+
+
+def arrivals(spark, sf_dir):
+    """The events with the number of the batch they arrive in."""
+    events = fx.table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    return events.withColumn("arrived", F.expr(ARRIVED))
+
+
 TRIAGE_SQL = f"""SELECT 'credit_decision_triage' AS event_type, ts AS emitted_at, user_id AS client_id, probability,
   {DECISION} FROM (SELECT user_id, ts, {PROBABILITY} AS probability FROM events)"""
 
@@ -46,9 +62,29 @@ def triage_stream(spark, sf_dir):
 )
 def latest_per_queue(spark, sf_dir):
     base = shared_dir(spark, "latest")
-    latest = newest_events(decisions(spark, sf_dir))
-    jobs.run_available(jobs.upsert_sink(latest, f"{base}/rows"), f"{base}/checkpoint")
-    return jobs.latest_rows(spark, f"{base}/rows", ["queue"])
+    jobs.replay(
+        arrivals(spark, sf_dir), "arrived", f"{base}/source", f"{base}/checkpoint",
+        lambda events: jobs.changes_only(state.newest_events(decide(events))),
+    )
+    return state.newest_now(spark, f"{base}/checkpoint").drop(state.TIED)
+
+
+@query(
+    "latest_ties",
+    f"""SELECT queue, max(emitted_at) AS emitted_at, count(*) AS tied FROM (
+          SELECT *, max(emitted_at) OVER (PARTITION BY queue) AS newest FROM (
+            SELECT queue, date_trunc('day', emitted_at) AS emitted_at FROM (
+              SELECT *, action AS queue FROM ({TRIAGE_SQL}) UNION ALL SELECT *, 'latest' FROM ({TRIAGE_SQL}))))
+        WHERE emitted_at = newest GROUP BY 1""",
+)
+def latest_ties(spark, sf_dir):
+    """Decisions emitted once a day: how many share each queue's newest time."""
+    base = shared_dir(spark, "ties")
+    jobs.replay(
+        arrivals(spark, sf_dir).withColumn("ts", F.date_trunc("day", "ts")), "arrived", f"{base}/source", f"{base}/checkpoint",
+        lambda events: jobs.changes_only(state.newest_events(decide(events))),
+    )
+    return state.newest_now(spark, f"{base}/checkpoint").select("queue", "emitted_at", "tied")
 
 
 @query(
@@ -93,6 +129,51 @@ def dedupe_stream(spark, sf_dir):
     return spark.read.parquet(f"{base}/rows")
 
 
+@query(
+    "monitor_closed_windows",
+    f"""WITH a AS (SELECT *, {ARRIVED_SQL} AS arrived, time_bucket(INTERVAL 5 MINUTE, ts) AS window_start FROM events),
+          marks AS (SELECT b AS arrived, (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 DAY FROM a WHERE a.arrived < b) AS mark
+                    FROM (SELECT DISTINCT arrived AS b FROM a)),
+          ends AS (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 DAY AS last FROM a)
+        SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, count(*) FILTER (WHERE lower({CHECK_STATUS}) = 'ok') AS ok,
+          count(*) FILTER (WHERE lower({CHECK_STATUS}) = 'warn') AS warn, count(*) FILTER (WHERE lower({CHECK_STATUS}) = 'fail') AS fail,
+          count(*) AS checks
+        FROM a JOIN marks USING (arrived), ends
+        WHERE (mark IS NULL OR window_start + INTERVAL 5 MINUTE > mark) AND window_start + INTERVAL 5 MINUTE <= last GROUP BY 1""",
+)
+def monitor_closed_windows(spark, sf_dir):
+    """Windows that the watermark has closed, each written once; rows that come after that are dropped."""
+    base = shared_dir(spark, "closed")
+
+    def job(events):
+        checks = events.selectExpr("ts", f"{CHECK_NAME} AS name", f"lower({CHECK_STATUS}) AS status")
+        return jobs.append_sink(jobs.monitor_window(checks, "ts", "status", late_by="1 day"), f"{base}/rows")
+
+    jobs.replay(arrivals(spark, sf_dir), "arrived", f"{base}/source", f"{base}/checkpoint", job)
+    return spark.read.parquet(f"{base}/rows")
+
+
+@query(
+    "dedupe_late_stream",
+    f"""WITH once AS (SELECT event_id, ts, user_id, value, {ARRIVED_SQL} AS arrived FROM events),
+          a AS (SELECT * FROM once UNION ALL SELECT * REPLACE (least(5, arrived + 1) AS arrived) FROM once WHERE event_id % 5 = 0),
+          marks AS (SELECT b AS arrived, (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 DAY FROM a WHERE a.arrived < b) AS mark
+                    FROM (SELECT DISTINCT arrived AS b FROM a))
+        SELECT DISTINCT event_id, ts, user_id, value FROM a JOIN marks USING (arrived) WHERE mark IS NULL OR ts > mark""",
+    "value",
+)
+def dedupe_late_stream(spark, sf_dir):
+    """One event in five arrives again a batch later; state ends with the watermark, later copies are late."""
+    base = shared_dir(spark, "dedupe")
+    events = arrivals(spark, sf_dir).select("event_id", "ts", "user_id", "value", "arrived")
+    again = events.filter("event_id % 5 = 0").withColumn("arrived", F.least(F.lit(5), F.col("arrived") + 1))
+    jobs.replay(
+        events.union(again), "arrived", f"{base}/source", f"{base}/checkpoint",
+        lambda rows: jobs.append_sink(jobs.dedupe_events(rows, ["event_id"], "ts", "1 day"), f"{base}/rows"),
+    )
+    return spark.read.parquet(f"{base}/rows")
+
+
 HALF = "TIMESTAMP '2024-01-16 00:00:00'"
 OLD, NEW = (f"(SELECT value AS v FROM events WHERE ts {op} {HALF})" for op in ("<", ">="))
 OLD_TYPE, NEW_TYPE = (f"(SELECT event_type AS v FROM events WHERE ts {op} {HALF})" for op in ("<", ">="))
@@ -112,3 +193,29 @@ def stream_psi(spark, sf_dir):
         jobs.psi_sink(incoming, reference, ["value"], ["event_type"], f"{base}/rows"), f"{base}/checkpoint"
     )
     return jobs.latest_rows(spark, f"{base}/rows", ["feature"])
+
+
+BATCHES = 4
+WEEK = "CAST(least(3, floor((epoch(ts) - 1705363200) / 302400e0)) AS INT)"
+
+
+def _of_batch(number: int) -> str:
+    value, kind = (f"(SELECT {c} AS v FROM events WHERE ts >= {HALF} AND {WEEK} = {number})" for c in ("value", "event_type"))
+    return f"""SELECT {number} AS batch, * FROM ({numeric_psi_sql('value', OLD, value)} UNION ALL
+      {categorical_psi_sql('event_type', OLD_TYPE, kind)})"""
+
+
+@query("stream_psi_batches", " UNION ALL ".join(map(_of_batch, range(BATCHES))), "psi")
+def stream_psi_batches(spark, sf_dir):
+    """The drift of every micro-batch against the reference that was counted when the stream was defined."""
+    base = shared_dir(spark, "psi")
+    half = F.lit("2024-01-16 00:00:00").cast("timestamp")
+    events = fx.table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    week = F.least(F.lit(BATCHES - 1), F.floor((F.unix_micros("ts") / 1e6 - 1705363200) / 302400)).cast("int")
+    incoming = events.filter(F.col("ts") >= half).select("value", "event_type", week.alias("week"))
+    reference = materialize(events.filter(F.col("ts") < half).select("value", "event_type"), "reference")
+    jobs.replay(
+        incoming, "week", f"{base}/source", f"{base}/checkpoint",
+        lambda rows: jobs.psi_sink(rows, reference, ["value"], ["event_type"], f"{base}/rows"),
+    )
+    return spark.read.option("basePath", f"{base}/rows").parquet(f"{base}/rows")

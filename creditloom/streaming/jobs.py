@@ -6,7 +6,7 @@ number with overwrite, so a replayed batch replaces itself and never counts twic
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,6 +45,21 @@ def run_available(writer: DataStreamWriter, checkpoint: str) -> StreamingQuery:
     return running
 
 
+def replay(rows: DataFrame, batch: str, source: str, checkpoint: str, job: Callable[[DataFrame], DataStreamWriter]) -> None:
+    """Run a streaming job over a table as it arrived, the rows of one number of column `batch` after the other.
+
+    Each number's rows are added to the folder `source` as new files, then the job runs to the end of what is there and stops; the
+    next run continues from its checkpoint. So a micro-batch holds exactly one number's rows, however many
+    files they are, and the watermark of each is that of the numbers before. Rows without number are left out; the
+    numbers are few, as each is a run.
+    """
+    spark = rows.sparkSession
+    kept = materialize(rows.filter(F.col(batch).isNotNull()), "arrivals")
+    for number in sorted(r[0] for r in kept.select(batch).distinct().collect()):
+        kept.filter(F.col(batch) == number).drop(batch).write.mode("append").parquet(source)
+        run_available(job(read_stream(spark, source, kept.drop(batch).schema)), checkpoint)
+
+
 def triage_stream(scored: DataFrame, client: str, score: str, threshold: float, at: Column) -> DataFrame:
     """One triage event per scored client."""
     return triage(scored, client, score, threshold, at)
@@ -104,6 +119,11 @@ def dedupe_events(events: DataFrame, keys: Sequence[str], ts: str, late_by: str
     return events.withWatermark(ts, late_by).dropDuplicatesWithinWatermark(list(keys))
 
 
+def changes_only(rows: DataFrame) -> DataStreamWriter:
+    """Run a stateful job for its state alone; the changed rows are not kept."""
+    return rows.writeStream.outputMode("update").format("noop")
+
+
 def append_sink(rows: DataFrame, path: str) -> DataStreamWriter:
     return rows.writeStream.outputMode("append").format("parquet").option("path", path)
 
