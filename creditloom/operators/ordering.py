@@ -22,9 +22,13 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from creditloom.session import materialize
+
 STEPS = 128.0
 CELLS = 8192
 SMALL = 1_000_000
+PART_BITS = 33
+"""`monotonically_increasing_id` counts a partition's rows in its lower bits."""
 
 
 def order_bucket(value: Column) -> Column:
@@ -306,47 +310,25 @@ def running_totals(
 
 
 def rank_by(df: DataFrame, metric: str, key: str, descending: bool = True) -> DataFrame:
-    """Position of every row in the metric's order, ties by the numeric unique `key`.
+    """Position of every row in the metric's order, ties by the unique `key`.
 
-    Three counting scans place each row in a cell: by metric bucket, by equal widths inside
-    a heavy bucket, and by equal widths of the key inside a cell of one shared value. The
-    rows themselves are shuffled once, by cell, and numbered there. Rows without a metric
-    get no rank and are left out.
+    Spark samples (metric, key) pairs, range-partitions the rows by the pair and sorts each part. As the
+    key is part of the range, a value that a third of the rows share is spread over a third of the parts, beside any
+    close neighbours. The table is read twice, for the sample and for the shuffle; the sorted rows are written
+    with their place in their part, and the parts' sizes, one number a part, become starting ranks. Rows without a
+    metric get no rank and are left out.
     """
     order = F.col(metric).desc() if descending else F.col(metric).asc()
-    sign = F.lit(-1.0 if descending else 1.0)
-    rows = df.filter(F.col(metric).isNotNull()).withColumns(
-        {"__v": F.col(metric).cast("double") * sign, "__k": F.col(key).cast("double")}
-    )
-    rows = rows.withColumn("__bucket", order_bucket(F.col("__v")))
-    whole = rows.agg(F.count("*").alias("n")).scalar()
-
-    buckets = rows.groupBy("__bucket").agg(
-        F.count("*").alias("__n"), F.min("__v").alias("__low"), F.max("__v").alias("__high")
-    )
-    # each of the three sides is bounded by the number of buckets plus twice CELLS
-    rows = rows.join(F.broadcast(buckets), "__bucket").withColumn(
-        "__cell", cell_in_bucket(F.col("__v"), F.col("__low"), F.col("__high"), F.col("__n"), whole)
-    ).drop("__n", "__low", "__high")
-    cells = rows.groupBy("__bucket", "__cell").agg(
-        F.count("*").alias("__n"),
-        (F.min(metric) == F.max(metric)).alias("__shared"),
-        F.min("__k").alias("__low"),
-        F.max("__k").alias("__high"),
-    )
-    by_key = cell_in_bucket(F.col("__k"), F.col("__low"), F.col("__high"), F.col("__n"), whole)
-    rows = rows.join(F.broadcast(cells), ["__bucket", "__cell"]).withColumn(
-        "__part", F.when(F.col("__shared"), by_key).otherwise(F.lit(0))
-    ).drop("__n", "__shared", "__low", "__high")
-    place = ["__bucket", "__cell", "__part"]
-    before = Window.orderBy(*place).rowsBetween(Window.unboundedPreceding, -1)
-    starts = rows.groupBy(*place).agg(F.count("*").alias("__n")).select(
-        *place, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start")
-    )
-    within = Window.partitionBy(*place, "__start").orderBy(order, key)
-    return rows.join(F.broadcast(starts), place).select(
-        *df.columns, (F.col("__start") + F.row_number().over(within)).alias("rank")
+    rows = df.filter(F.col(metric).isNotNull()).repartitionByRange(order, F.col(key)).sortWithinPartitions(order, key)
+    placed = materialize(rows.withColumn("__at", F.monotonically_increasing_id()), "ranked")
+    placed = placed.withColumn("__part", F.shiftright("__at", PART_BITS))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy("__part").agg(F.count("*").alias("__n")).select(
+        "__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start")
     )
+    within = F.col("__at").bitwiseAND(F.lit((1 << PART_BITS) - 1)) + 1
+    # one row per part of the shuffle
+    return placed.join(F.broadcast(starts), "__part").select(*df.columns, (F.col("__start") + within).alias("rank"))
 
 
 def percentile_of(df: DataFrame, feature: str, value: float) -> DataFrame:

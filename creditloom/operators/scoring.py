@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from creditloom.functions import floor_below, is_infinite, null_when, safe_ratio
 from creditloom.operators.joins import label_column
-from creditloom.operators.ordering import quantile_bands, quantile_values, running_totals
+from creditloom.operators.ordering import long_values, order_bucket, quantile_bands, quantile_values, running_totals
+from creditloom.session import materialize
 
 # Fixed values of the decision contract.
 LOW_SHARE = 0.4
@@ -116,35 +117,46 @@ def segment_risk(
     )
 
 
-def portfolio_benchmark(portfolio: DataFrame, clients: DataFrame, key: str, features: Sequence[str]) -> DataFrame:
-    """(key, feature, client_value, p50, p75, p90, percentile) for the given clients.
+def portfolio_benchmark(
+    portfolio: DataFrame, clients: DataFrame, key: str, features: Sequence[str], label: str | None = None
+) -> DataFrame:
+    """(key, feature, client_value, p50, p75, p90, percentile) for the given clients, with the portfolio's size and default rate.
+
+    The percentile is the share of portfolio values up to the client's, for any value. `sample_size` counts
+    all portfolio rows; `portfolio_default_rate`, only with `label`, is the mean of the labels that are
+    not null. Null client values, and features without any value in the portfolio, have no row.
 
-    The percentile is the share of portfolio values up to the client's, for any value: those
-    of the clients join the running total with weight 0. Null client values have no row.
+    All features are read together, so the number of scans does not depend on theirs. Values of
+    buckets in which no client's value lies are counted as one row per bucket, so what is shuffled is
+    the buckets and the values around the clients'; those of the clients join the running total with weight 0.
     """
-    marks = quantile_values(portfolio, features, [0.5, 0.75, 0.9])
-    parts = []
-    for feature in features:
-        p50, p75, p90 = marks.get(feature, (None, None, None))
-        mine = clients.select(key, F.col(feature).cast("double").alias("client_value")).filter(
-            "client_value IS NOT NULL"
-        )
-        numbers = portfolio.select(F.col(feature).cast("double").alias("client_value"), F.lit(1).alias("n"))
-        asked = mine.select("client_value", F.lit(0).alias("n")).distinct()
-        totals = running_totals(numbers.union(asked), "client_value", {"n": F.col("n")})
-        places = totals.select("client_value", (F.col("cum_n") / F.col("total_n") * 100).alias("percentile"))
-        parts.append(
-            mine.join(places, "client_value").select(
-                key,
-                F.lit(feature).alias("feature"),
-                "client_value",
-                F.lit(p50).cast("double").alias("p50"),
-                F.lit(p75).cast("double").alias("p75"),
-                F.lit(p90).cast("double").alias("p90"),
-                "percentile",
-            )
+    marks = [(f, *map(float, values)) for f, values in quantile_values(portfolio, features, [0.5, 0.75, 0.9]).items()]
+    marks = portfolio.sparkSession.createDataFrame(marks, "feature string, p50 double, p75 double, p90 double")
+    mine = long_values(clients, features, [key])
+    asked = mine.select("feature", "value").distinct().withColumn("bucket", order_bucket(F.col("value")))
+    around = asked.select("feature", "bucket", F.lit(True).alias("near")).distinct()
+    numbers = long_values(portfolio, features).withColumn("bucket", order_bucket(F.col("value")))
+    # bounded by the number of buckets a feature
+    counted = numbers.join(F.broadcast(around), ["feature", "bucket"], "left").groupBy(
+        "feature", "bucket", F.when(F.col("near"), F.col("value")).alias("at")
+    )
+    counted = counted.agg(F.count("*").alias("n"), F.min("value").alias("value")).select("feature", "value", "n")
+    lookup = materialize(counted.union(asked.select("feature", "value", F.lit(0).cast("long"))), "benchmark")
+    totals = running_totals(lookup, "value", {"n": F.col("n")}, ["feature"])
+    places = totals.select("feature", "value", (F.col("cum_n") / F.col("total_n") * 100).alias("percentile"))
+    rates = [F.count("*").alias("sample_size")]
+    if label is not None:
+        rates.append(F.avg(label).alias("portfolio_default_rate"))
+    overall = portfolio.agg(*rates).first()  # one row
+    return (
+        mine.join(places, ["feature", "value"])
+        .join(F.broadcast(marks), "feature")
+        .select(
+            key, "feature", F.col("value").alias("client_value"), "p50", "p75", "p90", "percentile",
+            F.lit(overall["sample_size"]).cast("long").alias("sample_size"),
+            *([F.lit(overall["portfolio_default_rate"]).cast("double").alias("portfolio_default_rate")] if label else []),
         )
-    return reduce(DataFrame.unionByName, parts)
+    )
 
 
 # ---------------------------------------------------------------- what-if

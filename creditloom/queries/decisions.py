@@ -81,18 +81,19 @@ def _benchmark(feature: str) -> str:
     )
     return (
         f"SELECT SK_ID_CURR, '{feature}' AS feature, CAST({feature} AS DOUBLE) AS client_value, {marks}, "
-        f"100 * cume_dist() OVER (ORDER BY {feature}) AS percentile FROM scored WHERE {feature} IS NOT NULL"
+        f"100 * cume_dist() OVER (ORDER BY {feature}) AS percentile, (SELECT count(*) FROM scored) AS sample_size, "
+        f"(SELECT avg(TARGET) FROM scored) AS portfolio_default_rate FROM scored WHERE {feature} IS NOT NULL"
     )
 
 
 @query(
     "portfolio_benchmark",
     f"{_benchmark('AMT_CREDIT')} UNION ALL {_benchmark('AMT_ANNUITY')}",
-    "client_value p50 p75 p90 percentile",
+    "client_value p50 p75 p90 percentile portfolio_default_rate",
 )
 def portfolio_benchmark(spark, sf_dir):
     portfolio = fx.scored(spark, sf_dir)
-    return s.portfolio_benchmark(portfolio, portfolio, "SK_ID_CURR", ["AMT_CREDIT", "AMT_ANNUITY"])
+    return s.portfolio_benchmark(portfolio, portfolio, "SK_ID_CURR", ["AMT_CREDIT", "AMT_ANNUITY"], "TARGET")
 
 
 # ---------------------------------------------------------------- what-if

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,6 +52,9 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/creditloom/{purpose}-{uuid.uuid4().hex}"
 
 
+_recorders: list[list[str]] = []
+
+
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """Write a table that several jobs read, and go on from the written copy.
 
@@ -56,4 +62,29 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """
     path = shared_dir(df.sparkSession, purpose)
     df.write.parquet(path)
+    for folders in _recorders:
+        folders.append(path)
     return df.sparkSession.read.parquet(path)
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The folders that `materialize` writes inside the block, for `remove` once nothing reads them."""
+    folders: list[str] = []
+    _recorders.append(folders)
+    try:
+        yield folders
+    finally:
+        _recorders.remove(folders)
+
+
+def remove(spark: SparkSession, folders: list[str]) -> None:
+    """Delete written intermediate tables, and let Spark drop the shuffle files of results that are gone."""
+    if not folders:
+        return
+    path_of, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    for folder in folders:
+        path = path_of(folder)
+        path.getFileSystem(conf).delete(path, True)
+    gc.collect()
+    spark._jvm.System.gc()

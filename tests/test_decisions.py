@@ -186,6 +186,20 @@ def test_benchmark_answers_for_any_value(spark):
     assert got == {1: 10.0, 2: 50.0, 3: 0.0, 4: 100.0, 6: 50.0}
 
 
+def test_benchmark_of_several_features_with_rate_and_size(spark):
+    rows = [(i, float(i % 50), 1e6 + i * 1e-3, 7 if i % 3 else None, None if i % 10 == 0 else i % 2, None) for i in range(300)]
+    portfolio = spark.createDataFrame(rows, "id int, a double, b double, c int, y int, e double")
+    clients = spark.createDataFrame([(1, 3.0, 1e6, 7, 0, 1.0), (2, 3.5, 1e6 + 0.1, 8, 1, 2.0), (None, 1.0, 1.0, 1, 1, 1.0)], portfolio.schema)
+    got = s.portfolio_benchmark(portfolio, clients, "id", ["a", "b", "c", "e"], "y").collect()
+    share = lambda c, v: 100 * np.mean([r[c] <= v for r in rows if r[c] is not None])
+    assert {(r["id"], r["feature"]): pytest.approx(r["percentile"]) for r in got} == {
+        (i, f): share(c, v) for i, values in ((1, (3.0, 1e6, 7)), (2, (3.5, 1e6 + 0.1, 8))) for c, (f, v) in enumerate(zip("abc", values), 1)
+    }
+    assert {(r["sample_size"], round(r["portfolio_default_rate"], 9)) for r in got} == {(300, round(np.mean([r[4] for r in rows if r[4] is not None]), 9))}
+    empty = s.portfolio_benchmark(portfolio.limit(0), clients, "id", ["a", "b"], "y")
+    assert empty.count() == 0
+
+
 def test_unreadable_overrides_are_listed(spark):
     df = spark.createDataFrame([(1, 2.0, "a")], "id int, x double, c string")
     rows = [(1, "x", "abc"), (1, "x", "3.5"), (1, "c", None), (1, "nope", "1"), (1, None, "1")]

@@ -3,11 +3,13 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from creditloom.operators import aggregates as a
 from creditloom.operators import ordering as o
 from creditloom.operators import sampling as s
+from creditloom.session import materialize
 
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.9, 0.999, 1.0]
 
@@ -84,6 +86,23 @@ def test_rank_with_a_value_shared_by_most_rows(spark):
     assert got == expected
 
 
+def test_rank_spreads_a_heavy_value_beside_close_ones(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(o, "materialize", lambda df, name: written.append(materialize(df, name)) or written[-1])
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merging, "false")  # at this size Spark would merge all parts
+    rows = spark.range(60_000).selectExpr("id AS k", "CASE WHEN id % 3 = 0 THEN 5.0D ELSE 5.0D + (id % 1000 - 500) * 1e-12D END AS v")
+    ranked = o.rank_by(rows.repartition(6), "v", "k", descending=False).cache()
+    want = Window.orderBy("v", "k")
+    assert ranked.withColumn("want", F.row_number().over(want)).filter("rank <> want").isEmpty() and ranked.count() == 60_000
+    # of the parts that were sorted, none holds much more than its share
+    parts = written[0].groupBy(F.shiftright("__at", o.PART_BITS)).count().agg(F.max("count")).first()[0]
+    assert parts < 3 * 60_000 / int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranked.unpersist()
+    spark.conf.set(merging, "true")
+    assert o.rank_by(rows.limit(0), "v", "k").count() == 0
+
+
 def test_quantile_bands(spark):
     df = spark.createDataFrame([(i, float(i)) for i in range(1, 101)] + [(0, None)], "k int, v double")
     rows = {r["k"]: r for r in o.quantile_bands(df, "v").collect()}
