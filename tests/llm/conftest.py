@@ -1,7 +1,8 @@
 import pytest
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
-CLASHES = ("id", "row", "size", "hash", "kept", "digest", "n", "bucket", "label", "words", "batch", "leaf", "html", "t")
+CLASHES = ("id", "row", "size", "hash", "kept", "digest", "n", "bucket", "label", "words", "batch", "leaf", "html", "t", "stays",
+           "row_hash", "text_hash", "nth")
 
 
 @pytest.fixture(scope="session")

@@ -4,6 +4,7 @@ import gzip
 import hashlib
 import random
 import re
+from collections import Counter
 from html.entities import html5
 from html.parser import HTMLParser
 from pathlib import Path
@@ -237,3 +238,75 @@ def test_near_stage_keeps_one_of_each_group(spark, make):
             want.append((i, text))
     got = corpus_pipeline.near(spark, make(rows), "").select("doc_id", "text").collect()
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+
+
+def mixed_corpus():
+    """Clean, shared, repeated, near and empty documents of a language that has a reference."""
+    rng = random.Random(17)
+    common = "the of and to in is that for it as".split()
+    words = [f"{a}{b}{c}" for a in "bdfglmnprst" for b in "aeiou" for c in ("nd", "rt", "ll", "ng", "st")]
+
+    def text(n):
+        return " ".join(rng.choice(common) if rng.random() < 0.4 else rng.choice(words) for _ in range(n))
+
+    rows = [(i, "\n".join(text(12) for _ in range(8)) + ("\nShared footer line" if i % 2 else "")) for i in range(60)]
+    rows += [(100 + i, rows[i][1] + " end") for i in range(6)] + rows[:4] + [(None, rows[9][1]), (7, rows[20][1])]
+    return rows + [(200, None), (201, ""), (202, "too short"), (203, "same words again and again " * 30)]
+
+
+def test_stages_of_a_mixed_corpus(spark, make, tmp_path):
+    """Every stage, with clashing columns, against brute force on what the stage before kept."""
+    docs = make(mixed_corpus())
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, "")
+        if name != "encode":
+            assert sorted(out.columns) == sorted(docs.columns)
+        out.write.parquet(str(tmp_path / name))
+        kept[name] = [(r.doc_id, r.text) for r in docs.collect()], spark.read.parquet(str(tmp_path / name))
+        docs = kept[name][1]
+
+    def pairs(rows):
+        return sorted(map(repr, rows))
+
+    def texts(df):
+        return [(r.doc_id, r.text) for r in df.collect()]
+
+    before, out = kept["quality"]
+    gone = {202, 203, 200, 201}
+    assert pairs(texts(out)) == pairs([r for r in before if r[0] not in gone])
+    before, out = kept["lines"]
+    assert pairs(texts(out)) == pairs([(i, t.removesuffix("\nShared footer line").replace("\nShared footer line end", "\nShared footer line end")) for i, t in before])
+    before, out = kept["near"]
+    sets = [({tuple(w[k : k + 5]) for k in range(len(w) - 4)}, i, t) for i, t in before for w in [t.split()]]
+    groups = []
+    for mine, i, t in sorted(sets, key=lambda s: (s[1] is None, s[1] or 0, s[2])):
+        if not any(100 * len(mine & s) >= 75 * len(mine | s) for s, *_ in groups):
+            groups.append((mine, i, t))
+    assert pairs(texts(out)) == pairs([g[1:] for g in groups])
+    before, out = kept["mix"]
+    sizes = Counter(before)
+    taken = Counter(texts(out))
+    assert set(taken) <= set(sizes) and all(n <= 3 * sizes[r] for r, n in taken.items())
+    budget = sum(len(t.split()) for _, t in before)
+    total = sum(len(t.split()) * n for (_, t), n in taken.items())
+    assert budget - max(len(t.split()) for _, t in before) < total <= budget
+    before, out = kept["encode"]
+    assert pairs([(r.doc_id, r.decoded_sha256) for r in out.collect()]) == pairs([(i, hashlib.sha256(t.encode()).hexdigest()) for i, t in before])
+
+
+def test_pipeline_of_nothing(spark, make, tmp_path):
+    make([]).select("doc_id", "text", "lang", "source", "n_chars").write.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_stages_delete_what_the_stage_before_wrote(spark, make, tmp_path):
+    first = corpus_pipeline.quality(spark, make(mixed_corpus()), "")
+    folders = list(corpus_pipeline.left_by_last)
+    assert folders and all(Path(f).exists() for f in folders)
+    first.write.parquet(str(tmp_path / "quality"))
+    corpus_pipeline.lines(spark, spark.read.parquet(str(tmp_path / "quality")), "").count()
+    assert not any(Path(f).exists() for f in folders)
+    # a stage whose result was not written keeps what it reads
+    again = corpus_pipeline.quality(spark, make(mixed_corpus()), "")
+    assert corpus_pipeline.near(spark, again, "").count() > 0
