@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import time
+import uuid
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
+from datetime import datetime, timezone
 from functools import reduce
 from typing import Any
 
@@ -14,17 +17,20 @@ from pyspark.ml.feature import (
     Imputer,
     OneHotEncoder,
     StandardScaler,
-    StringIndexer,
+    StringIndexerModel,
     VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from creditloom.operators.cleaning import text_columns
+from creditloom.operators.cleaning import numeric_columns, text_columns
 from creditloom.operators.metrics import evaluate
+from creditloom.operators.quality import QualityError
 
 LABEL, KEY = "TARGET", "SK_ID_CURR"
+MOST_CATEGORIES = 1000
+"""Categories of a column with an index of their own; rarer ones share one."""
 
 
 @dataclass(frozen=True)
@@ -54,6 +60,7 @@ class FittedModel:
     categorical: list[str]
     fills: dict[str, str]
     seconds: float
+    labels: dict[str, list[str]] = field(default_factory=dict)
 
     @property
     def features(self) -> list[str]:
@@ -69,8 +76,12 @@ def _prepared(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
     )
 
 
-def _encoder(numeric: Sequence[str], categorical: Sequence[str], kind: str) -> list:
-    """Median imputation, category indexes, and for linear models one-hot and scaling."""
+def _encoder(numeric: Sequence[str], labels: Mapping[str, Sequence[str]], kind: str) -> list:
+    """Median imputation, category indexes, and for linear models one-hot and scaling.
+
+    A category without a label, too rare or not seen, gets the index after the last label.
+    """
+    categorical = list(labels)
     stages: list = []
     inputs = [f"{c}__num" for c in numeric]
     if numeric:
@@ -79,7 +90,9 @@ def _encoder(numeric: Sequence[str], categorical: Sequence[str], kind: str) -> l
         )
     if categorical:
         indexed = [f"{c}__idx" for c in categorical]
-        stages.append(StringIndexer(inputCols=list(categorical), outputCols=indexed, handleInvalid="keep"))
+        stages += [
+            StringIndexerModel.from_labels(labels[c], c, index, handleInvalid="keep") for c, index in zip(categorical, indexed)
+        ]
         if kind == "lr":
             hot = [f"{c}__hot" for c in categorical]
             stages.append(OneHotEncoder(inputCols=indexed, outputCols=hot, handleInvalid="keep"))
@@ -112,28 +125,46 @@ def _weight(df: DataFrame, spec: ModelSpec) -> Column:
     return F.when(F.col(LABEL) == 1, 0.5 / rate).otherwise(0.5 / (1.0 - rate))
 
 
-def _category_modes(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[str, int]]:
-    """Most frequent category and number of categories per column."""
+def category_index(df: DataFrame, cols: Sequence[str], most: int = MOST_CATEGORIES) -> DataFrame:
+    """(feature, value, n, position) of every category of the columns, by falling frequency, ties by value.
+
+    The `most` frequent categories of a column have positions from 0; all others share position
+    `most`. Categories are counted per (column, category) before the shuffle and stay distributed, so a column may have
+    millions of them: each task passes on its first `most`, and only those are ordered.
+    """
     if not cols:
-        return {}
+        return df.sparkSession.createDataFrame([], "feature string, value string, n long, position int")
     counts = (
-        df.select(*cols)
+        df.select(*[F.col(c).cast("string").alias(c) for c in cols])
         .unpivot([], list(cols), "feature", "value")
         .filter("value IS NOT NULL")
         .groupBy("feature", "value")
         .agg(F.count("*").alias("n"))
     )
-    modes = counts.groupBy("feature").agg(
-        F.min_by("value", F.struct(-F.col("n"), "value")).alias("mode"), F.count("*").alias("categories")
-    )
-    return {r["feature"]: (r["mode"], r["categories"]) for r in modes.collect()}  # one row per column
+    first = Window.partitionBy("feature").orderBy(F.col("n").desc(), "value")
+    top = counts.withColumn("position", F.row_number().over(first)).filter(F.col("position") <= most)
+    # at most `most` rows a column
+    found = counts.join(F.broadcast(top.select("feature", "value", "position")), ["feature", "value"], "left")
+    return found.withColumn("position", F.coalesce(F.col("position") - 1, F.lit(most)).cast("int"))
+
 
+def _category_labels(df: DataFrame, cols: Sequence[str], most: int) -> dict[str, list[str]]:
+    """The categories with an index of their own, most frequent first: at most `most` a column."""
+    top = category_index(df, cols, most).filter(F.col("position") < most)
+    labels: dict[str, list[str]] = {c: [] for c in cols}
+    for row in sorted(top.collect(), key=lambda r: r["position"]):
+        labels[row["feature"]].append(row["value"])
+    return labels
 
-def fit(train: DataFrame, spec: ModelSpec, features: Sequence[str], seed: int = 42) -> FittedModel:
+
+def fit(
+    train: DataFrame, spec: ModelSpec, features: Sequence[str], seed: int = 42, most_categories: int = MOST_CATEGORIES
+) -> FittedModel:
     """Fit one model; columns without any value in `train` are left out.
 
-    Category counts are grouped by (column, category), so no task holds a column's whole
-    value set. `train` should be a written table: each stage reads it again.
+    Of a column's categories the `most_categories` frequent ones are indexed, which bounds what the
+    driver and the model hold; rarer ones share an index with unseen ones. `train` should be a
+    written table: each stage reads it again.
     """
     texts = set(text_columns(train))
     categorical = [c for c in features if c in texts]
@@ -141,18 +172,28 @@ def fit(train: DataFrame, spec: ModelSpec, features: Sequence[str], seed: int =
     filled = train.agg(*[F.count(c).alias(c) for c in features]).first()
     numeric = [c for c in numeric if filled[c]]
     categorical = [c for c in categorical if filled[c]]
-    modes = _category_modes(train, categorical)
-    fills = {c: modes[c][0] for c in categorical}
-    max_bins = max([32, *[modes[c][1] + 2 for c in categorical]])  # a tree needs a bin per category
+    labels = _category_labels(train, categorical, most_categories)
+    fills = {c: labels[c][0] for c in categorical}
+    max_bins = max([32, *[len(labels[c]) + 2 for c in categorical]])  # a tree needs a bin per category
     data = _prepared(train, numeric, categorical, fills).withColumn("__weight", _weight(train, spec))
     started = time.perf_counter()
-    stages = Pipeline(stages=[*_encoder(numeric, categorical, spec.kind), _classifier(spec, max_bins, seed)]).fit(
+    stages = Pipeline(stages=[*_encoder(numeric, labels, spec.kind), _classifier(spec, max_bins, seed)]).fit(
         data.select(LABEL, "__weight", *numeric, *categorical)
     )
-    return FittedModel(spec, stages, numeric, categorical, fills, time.perf_counter() - started)
+    return FittedModel(spec, stages, numeric, categorical, fills, time.perf_counter() - started, labels)
+
+
+def require_features(df: DataFrame, model: FittedModel) -> None:
+    """Stop if the table lacks a feature, or holds text where the model was fitted on numbers."""
+    numbers = {*numeric_columns(df), *[f.name for f in df.schema.fields if f.dataType.typeName() == "boolean"]}
+    problems = [f"{c} absent" for c in model.features if c not in df.columns]
+    problems += [f"{c} is not a number" for c in model.numeric if c in df.columns and c not in numbers]
+    if problems:
+        raise QualityError("score", problems)
 
 
 def transform(df: DataFrame, model: FittedModel) -> DataFrame:
+    require_features(df, model)
     return model.stages.transform(_prepared(df, model.numeric, model.categorical, model.fills))
 
 
@@ -164,12 +205,29 @@ def score(df: DataFrame, model: FittedModel, threshold: float) -> DataFrame:
     )
 
 
-def save(model: FittedModel, path: str) -> None:
-    model.stages.write().overwrite().save(path)
+def save(model: FittedModel, path: str, threshold: float = 0.5) -> None:
+    """Keep a model for scoring: its stages, and a record of its features, categories, fills and threshold.
 
-
-def load_stages(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+    The stages are written to a folder of their own first; the record that names the folder is
+    appended last. A failed save leaves the model before it in force.
+    """
+    location = f"{path.rstrip('/')}/stages/{uuid.uuid4().hex}"
+    model.stages.save(location)
+    kept = {f: getattr(model, f) for f in ("numeric", "categorical", "fills", "seconds", "labels")}
+    spec = {**asdict(model.spec), "params": dict(model.spec.params)}
+    contract = json.dumps({"location": location, "threshold": threshold, "spec": spec, **kept})
+    record = [(datetime.now(timezone.utc), contract)]
+    rows = SparkSession.active().createDataFrame(record, "saved_at timestamp, contract string")
+    rows.coalesce(1).write.mode("append").json(f"{path.rstrip('/')}/saved")
+
+
+def load(spark: SparkSession, path: str) -> tuple[FittedModel, float]:
+    """The model saved last and its threshold; `score` takes both."""
+    saved = spark.read.schema("saved_at timestamp, contract string").json(f"{path.rstrip('/')}/saved")
+    kept = json.loads(saved.agg(F.max_by("contract", "saved_at").alias("c")).first()["c"])
+    stages = PipelineModel.load(kept.pop("location"))
+    threshold = kept.pop("threshold")
+    return FittedModel(spec=ModelSpec(**kept.pop("spec")), stages=stages, **kept), threshold
 
 
 def _vector_names(rows: DataFrame, col: str) -> list[str]:

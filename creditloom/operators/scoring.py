@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -18,6 +18,7 @@ LOW_SHARE = 0.4
 BANDS = ("Baixo risco", "Risco moderado", "Alto risco")
 ACTIONS = ("autoaprovacao_candidata", "mesa_analise", "recusa_candidata")
 UNKNOWN = "Não informado"
+NO_INFORMATION = "Sem Info"  # fixed value: the answer that leaves a feature as it is
 DECISIONS = ("Aprovado (Pagador Saudável)", "Reprovado (Risco de Inadimplência)")
 ACTION_LABELS = {
     "autoaprovacao_candidata": "Autoaprovação candidata (humano confirma política)",
@@ -25,7 +26,7 @@ ACTION_LABELS = {
     "recusa_candidata": "Recusa candidata (parecer + auditoria XAI)",
 }
 # Columns an event carries when the scored row has them.
-EXPLANATIONS = ("top_risk_factors", "top_positive_factors", "applied_overrides")
+EXPLANATIONS = ("top_risk_factors", "top_positive_factors", "applied_overrides", "rejected_overrides")
 
 
 def _three_way(probability: Column, threshold: Column, names: Sequence[str]) -> Column:
@@ -166,14 +167,14 @@ def apply_overrides(df: DataFrame, scenarios: DataFrame, key: str) -> DataFrame:
 
     Features the table lacks and values that the feature's type cannot hold, null among
     them, change nothing; `rejected_overrides` lists them. Of several values for one feature
-    the largest text counts. The scenario table becomes one row per client, holding at most one entry
+    the largest number counts, among texts the largest text. The scenario table becomes one row per client, holding at most one entry
     per feature, and is joined once.
     """
     features = [c for c in df.columns if c != key]
     asked = (
         scenarios.filter(F.col("feature").isin(*features))
         .groupBy(F.col("client_id").alias(key), "feature")
-        .agg(F.max("value").alias("value"))
+        .agg(F.max_by("value", F.struct(F.col("value").try_cast("double"), "value")).alias("value"))
     )
     wide = asked.groupBy(key).agg(
         F.map_from_entries(F.collect_list(F.struct("feature", "value"))).alias("__new")
@@ -187,18 +188,40 @@ def apply_overrides(df: DataFrame, scenarios: DataFrame, key: str) -> DataFrame:
     return joined.withColumns(changed).select(*df.columns)
 
 
-def rejected_overrides(df: DataFrame, scenarios: DataFrame, key: str) -> DataFrame:
-    """The scenario rows that `apply_overrides` cannot apply, with a reason."""
+def _unreadable(df: DataFrame, key: str) -> Column:
+    """Why a scenario row's value is none for the table, or null."""
     kinds = {f.name: f.dataType for f in df.schema.fields if f.name != key}
     readable = F.lit(False)
     for name, kind in kinds.items():
         readable = F.when(F.col("feature") == name, F.col("value").try_cast(kind).isNotNull()).otherwise(readable)
-    reason = (
+    return (
         F.when(~F.coalesce(F.col("feature").isin(*kinds), F.lit(False)), "unknown feature")
         .when(F.col("value").isNull(), "no value")
         .when(~readable, "unreadable value")
     )
-    return scenarios.withColumn("reason", reason).filter("reason IS NOT NULL")
+
+
+def rejected_overrides(df: DataFrame, scenarios: DataFrame, key: str) -> DataFrame:
+    """The scenario rows that `apply_overrides` cannot apply, with a reason."""
+    return scenarios.withColumn("reason", _unreadable(df, key)).filter("reason IS NOT NULL")
+
+
+def screen_overrides(
+    df: DataFrame, scenarios: DataFrame, key: str, bounds: Mapping[str, tuple[float, float]]
+) -> DataFrame:
+    """The scenario rows with a `reason` against each that cannot be applied, null for the others.
+
+    A bounded amount may be written with a decimal comma, which is replaced, and must lie within its bounds.
+    The answer that stands for no information leaves the client's value as it is, so its rows go.
+    """
+    rows = scenarios.filter(~F.coalesce(F.trim("value") == NO_INFORMATION, F.lit(False)))
+    amount = F.col("feature").isin(*bounds)
+    rows = rows.withColumn("value", F.when(amount, F.replace(F.trim("value"), F.lit(","), F.lit("."))).otherwise(F.col("value")))
+    outside = F.lit(False)
+    for feature, (low, high) in bounds.items():
+        number = F.col("value").try_cast("double")
+        outside = F.when(F.col("feature") == feature, ~(number.between(low, high) & ~F.isnan(number))).otherwise(outside)
+    return rows.withColumn("reason", F.coalesce(_unreadable(df, key), F.when(outside, "out of bounds")))
 
 
 def recalculate(df: DataFrame) -> DataFrame:

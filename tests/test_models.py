@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from creditloom.operators import models
+from creditloom.operators.quality import QualityError
 from creditloom.plans import training
 
 SPECS = [
@@ -54,8 +55,33 @@ def test_train_run_and_save(spark, table, tmp_path):
     row = record.first()
     assert row["feature_columns"] == ["x", "noise", "c"] and sum(row["rows"]) == 800
     assert demo.count() == row["rows"]["demo"]
-    models.save(model, str(tmp_path / "m"))
-    assert len(models.load_stages(str(tmp_path / "m")).stages) == len(model.stages.stages)
+    models.save(models.fit(table, SPECS[0], ["x"]), str(tmp_path / "m"))
+    models.save(model, str(tmp_path / "m"), 0.3)
+    again, threshold = models.load(spark, str(tmp_path / "m"))
+    assert threshold == 0.3 and again.spec == model.spec and again.labels == model.labels == {"c": ["high", "low"]}
+    left, right = (models.score(table, m, threshold) for m in (model, again))
+    assert left.exceptAll(right).isEmpty() and right.count() == 800
+    with pytest.raises(QualityError, match="noise absent"):
+        models.score(table.drop("noise"), again, threshold)
+    with pytest.raises(QualityError, match="x is not a number"):
+        models.score(table.withColumn("x", F.lit("a")), again, threshold)
+
+
+def test_rare_categories_share_an_index(spark, table):
+    rows = table.withColumn("many", F.concat(F.lit("c"), F.least(F.col("SK_ID_CURR") % 40, F.col("SK_ID_CURR") % 7).cast("string")))
+    index = models.category_index(rows, ["many", "c"], 3).collect()
+    counts = {(r["feature"], r["value"]): r["n"] for r in index}
+    for name in ("many", "c"):
+        order = sorted((v for f, v in counts if f == name), key=lambda v: (-counts[name, v], v))
+        assert {r["value"]: r["position"] for r in index if r["feature"] == name} == {v: min(i, 3) for i, v in enumerate(order)}
+    for spec in SPECS:
+        model = models.fit(rows, spec, ["x", "many", "c"], most_categories=3)
+        assert {c: len(x) for c, x in model.labels.items()} == {"many": 3, "c": 2}
+        unseen = models.score(rows.limit(1).withColumn("many", F.lit("nowhere")), model, 0.5).first()["probability"]
+        rare = models.score(rows.limit(1).withColumn("many", F.lit("c6")), model, 0.5).first()["probability"]
+        assert unseen == rare
+    wide = spark.range(30_000).selectExpr("CAST(id AS STRING) AS t", "CAST(id % 2 AS INT) AS TARGET", "CAST(id % 3 AS DOUBLE) AS x")
+    assert len(models.fit(wide, SPECS[0], ["x", "t"], most_categories=50).labels["t"]) == 50
 
 
 def test_decide_clients(spark, table):
@@ -63,10 +89,14 @@ def test_decide_clients(spark, table):
 
     model = models.fit(table, SPECS[0], ["x", "noise", "c"])
     ids = spark.createDataFrame([(1,), (2,), (2,)], "SK_ID_CURR long")
-    asked = spark.createDataFrame([(2, "x", "1.0"), (2, "c", "low")], "client_id long, feature string, value string")
-    rows = decide_clients(table, ids, asked, model, 0.3, F.lit("2026-01-01").cast("timestamp")).orderBy("client_id").collect()
+    asked = [(2, "x", "1.0"), (2, "c", " Low"), (2, "noise", "abc"), (1, "x", "900"), (1, "x", "nan"), (1, "c", "Sem Info")]
+    asked = spark.createDataFrame(asked, "client_id long, feature string, value string")
+    bounds = {"x": (0.0, 100.0)}
+    rows = decide_clients(table, ids, asked, model, 0.3, F.lit("2026-01-01").cast("timestamp"), bounds=bounds).orderBy("client_id").collect()
     assert [r["client_id"] for r in rows] == [1, 2]
     assert rows[0]["applied_overrides"] is None
+    assert [tuple(r) for r in rows[0]["rejected_overrides"]] == [("x", "900", "out of bounds"), ("x", "nan", "out of bounds")]
+    assert [tuple(r) for r in rows[1]["rejected_overrides"]] == [("noise", "abc", "unreadable value")]
     assert rows[1]["applied_overrides"]["x"]["applied"] == "1.0"
     assert rows[1]["probability"] > 0.5 and rows[1]["action"] == "recusa_candidata"
     assert rows[1]["top_risk_factors"][0]["feature"] in ("x", "c")
