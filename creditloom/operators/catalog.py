@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from creditloom.operators.cleaning import numeric_columns
 from creditloom.operators.features import DROP_COLUMNS
-from creditloom.operators.joins import broadcast_if_small
 
 # Name prefix -> source of an aggregated feature.
 PREFIX_SOURCES = {
@@ -113,7 +112,7 @@ def table_catalog(
     if dictionary is None:
         out = out.withColumns({"table": F.lit(None).cast("string"), "description": F.lit(None).cast("string")})
     else:
-        out = out.join(broadcast_if_small(dictionary.select("column", "table", "description")), "column", "left")
+        out = out.join(dictionary.select("column", "table", "description"), "column", "left")
     name = F.col("column")
     return out.select(
         "position",

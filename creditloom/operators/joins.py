@@ -15,8 +15,7 @@ from pyspark.sql import types as T
 
 from creditloom.functions import normal_token
 from creditloom.operators.cleaning import numeric_columns
-
-SMALL_SIDE_ROWS = 200_000
+from creditloom.session import materialize
 
 # Tokens that stand for yes and no.
 YES_TOKENS = ("y", "yes", "true")
@@ -27,17 +26,6 @@ class DuplicateKeyError(ValueError):
     """A side that must hold one row per key holds several."""
 
 
-def broadcast_if_small(side: DataFrame, max_rows: int = SMALL_SIDE_ROWS) -> DataFrame:
-    """Broadcast hint only after counting that the side is small.
-
-    The count stops at max_rows + 1 rows; a larger side is joined without a hint, so
-    Spark sorts and merges it.
-    """
-    if side.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(side)
-    return side
-
-
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their count; null keys are equal to each other."""
     return df.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")
@@ -116,17 +104,26 @@ def map_categories(df: DataFrame, col: str, dictionary: DataFrame, name: str) ->
         .select("__token", F.col("pick.category").alias("__category"))
     )
     keyed = df.withColumn("__token", normal_token(value, numeric))
-    joined = keyed.join(broadcast_if_small(chosen), "__token", "left")
+    joined = keyed.join(chosen, "__token", "left")
     return joined.select(*[c for c in df.columns if c != name], F.col("__category").alias(name))
 
 
 def align_categories(train: DataFrame, other: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Values of `other` that never occur in `train` become NULL."""
+    """Values of `other` that never occur in `train` become NULL.
+
+    One pass over `train` writes its distinct (column, value) pairs; each column then joins to its
+    own, which Spark broadcasts if their written size allows.
+    """
+    if not cols:
+        return other
+    texts = train.select(*[F.col(c).cast("string").alias(c) for c in cols])
+    pairs = texts.unpivot([], list(cols), "__feature", "__known").filter("__known IS NOT NULL").distinct()
+    known = materialize(pairs, "categories")
     out = other
     for col in cols:
-        known = train.select(F.col(col).alias("__known")).filter("__known IS NOT NULL").distinct()
-        joined = out.join(broadcast_if_small(known), F.col(col) == F.col("__known"), "left")
-        out = joined.withColumn(col, F.col("__known")).drop("__known")
+        mine = known.filter(F.col("__feature") == col).select("__known")
+        joined = out.join(mine, F.col(col).cast("string") == F.col("__known"), "left")
+        out = joined.withColumn(col, F.when(F.col("__known").isNotNull(), F.col(col))).drop("__known")
     return out
 
 
@@ -141,18 +138,17 @@ def label_column(col: Column, labels: Mapping[str, str]) -> Column:
 def label_join(df: DataFrame, col: str, labels: DataFrame, name: str = "label") -> DataFrame:
     """Label from a (name, label) table, falling back to the technical name."""
     side = labels.select(F.col("name").alias("__name"), F.col("label").alias("__label"))
-    joined = df.join(broadcast_if_small(side), F.col(col) == F.col("__name"), "left")
+    joined = df.join(side, F.col(col) == F.col("__name"), "left")
     return joined.withColumn(name, F.coalesce("__label", F.col(col))).drop("__name", "__label")
 
 
 def lookup_rows(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    """Rows of the wanted ids; an id without a row is an error."""
-    wanted = broadcast_if_small(ids.select(key).distinct())
-    rows = df.join(wanted, key, "left_semi")
-    absent = wanted.subtract(rows.select(key)).limit(5).collect()
-    if absent:
-        raise KeyError(f"{key} not found: {[row[key] for row in absent]}")
-    return rows
+    """Rows of the wanted ids; an id without a row is an error. The ids are read once."""
+    wanted = materialize(ids.select(key).distinct(), "wanted")
+    absent = wanted.join(df.select(key), key, "left_anti").agg(F.count("*").alias("n"), F.min(key).alias("first")).first()
+    if absent["n"]:
+        raise KeyError(f"{absent['n']} of {key} not found, the first is {absent['first']}")
+    return df.join(wanted, key, "left_semi")
 
 
 def search_rows(

@@ -6,6 +6,7 @@ from creditloom.operators import drift as d
 from creditloom.operators import joins as j
 from creditloom.operators import metrics as m
 from creditloom.operators import scoring as s
+from creditloom.session import materialize
 
 
 def scores(spark, pairs):
@@ -168,8 +169,17 @@ def test_joins(spark):
     assert j.lookup_rows(left, spark.createDataFrame([(1,), (1,)], "k int"), "k").count() == 1
     assert j.search_rows(left, "  ", None, ["v"]).count() == 3
     assert j.align_categories(left.filter("k = 1"), left, ["v"]).filter("v IS NOT NULL").count() == 1
-    big = j.broadcast_if_small(left, max_rows=2)
-    assert "broadcast" not in left.join(big, "k")._jdf.queryExecution().logical().toString().lower()
+
+
+def test_alignment_of_many_columns_reads_the_known_values_once(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(j, "materialize", lambda df, name: written.append(name) or materialize(df, name))
+    train = spark.createDataFrame([("a", "x", 1, True), ("b", None, 2, True)], "c string, d string, n int, f boolean")
+    other = spark.createDataFrame([("a", "z", 2, False), ("q", "x", 3, True), (None, None, None, None)], train.schema)
+    got = j.align_categories(train, other, ["c", "d", "n", "f"])
+    assert got.schema == other.schema and written == ["categories"]
+    assert {tuple(r) for r in got.collect()} == {("a", None, 2, None), (None, "x", None, True), (None,) * 4}
+    assert j.align_categories(train, other, []).collect() == other.collect()
 
 
 def test_segment_risk_keeps_missing_group(spark):
