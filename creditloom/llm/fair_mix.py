@@ -100,7 +100,10 @@ def targets(sizes: DataFrame, weights: tuple[int, ...], share: float, max_copies
     )
     order = Window.orderBy(F.col("cap") / F.col("weight"), "mix_source")
     full = F.coalesce(F.sum("cap").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    left = F.sum("weight").over(order.rowsBetween(0, Window.unboundedFollowing))
+    # a running sum taken off the whole: a frame to the end would be added up anew for every source
+    left = F.sum("weight").over(everything) - F.coalesce(
+        F.sum("weight").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    )
     level = capped.withColumn("level", (F.col("budget") - full) / left)
     common = F.max("level").over(everything)
     return level.select(

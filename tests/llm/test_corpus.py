@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from creditloom.llm import warc
 from creditloom.llm.cotrain import co_train, score
-from creditloom.llm.fair_mix import fair_mix, mixed_documents
+from creditloom.llm.fair_mix import fair_mix, mixed_documents, targets
 
 SF = "/root/testdata/sf0.001"
 PAGE = (
@@ -310,3 +310,14 @@ def test_stages_delete_what_the_stage_before_wrote(spark, make, tmp_path):
     # a stage whose result was not written keeps what it reads
     again = corpus_pipeline.quality(spark, make(mixed_corpus()), "")
     assert corpus_pipeline.near(spark, again, "").count() > 0
+
+
+def test_targets_of_very_many_sources(spark):
+    """Work in proportion to the sources: the frames of the targets are running ones."""
+    sizes = spark.range(200_000).selectExpr("lpad(id, 7, '0') AS mix_source", "1 + id * 7919 % 1000 AS slice_size")
+    found = targets(sizes, (1, 2, 3), 1.0, 3)
+    row = found.agg(F.count("*").alias("n"), F.sum("source_size").alias("words"), F.sum("target").alias("target")).first()
+    assert row["n"] == 200_000 and row["target"] == pytest.approx(row["words"], rel=1e-9)
+    assert found.where("target > 3 * source_size + 1e-6").isEmpty()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "currentrow$(), unboundedfollowing$()" not in plan
