@@ -60,7 +60,9 @@ def backoff_scores(
     asked = batched.groupBy("batch").applyInArrow(
         lambda table: _ask(table, order, parts), "bucket int, batch int, grams binary, counts binary"
     )
+    asked = asked.repartition(partitions, "bucket")
     answered = asked.groupBy("bucket").applyInArrow(_count, "batch int, bucket int, totals binary")
+    answered = answered.repartition(partitions, "batch")
     found = ", ".join(f"n_order_{n} long" for n in range(order + 1))
     return batched.groupBy("batch").cogroup(answered.groupBy("batch")).applyInArrow(
         lambda texts, totals: _score(texts, totals, order, alpha),
