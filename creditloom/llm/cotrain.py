@@ -22,6 +22,8 @@ HELD_OUT = 5
 BIN, BINS = 0.02, 2500
 """Width of a bin of margins, and how many there are on each side of 0; the last holds the rest."""
 SHARES = 1 << 30
+TEXT_INPUTS = ["word_share", "symbols", "upper", "digits", "others", "space", "distinct"]
+META_INPUTS = ["tag_count", "log_chars", "log_words", "log_lines"]
 
 
 @dataclass
@@ -34,8 +36,14 @@ class CoTrained:
     exchanged: dict[str, int] = field(default_factory=dict)
 
 
-def _features(docs: DataFrame, id_col: str, text_col: str, meta_cols: tuple[str, ...]) -> DataFrame:
-    """id, and the raw inputs of both views."""
+def document_features(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", meta_cols: tuple[str, ...] = ("lang", "source")
+) -> DataFrame:
+    """The raw inputs of both views, one row per row, written once for all rounds and the scores.
+
+    id, counts of hashed words and tags as sparse vectors (small in Parquet: bucket numbers and counts
+    are dictionary-coded), shares of character classes, and lengths. Null and empty texts count as empty.
+    """
     text = text_of(text_col)
     read = docs.select(
         F.col(id_col).cast("long").alias("id"), text.alias("t"), words(text).alias("words"),
@@ -49,7 +57,7 @@ def _features(docs: DataFrame, id_col: str, text_col: str, meta_cols: tuple[str,
         return (F.length("t") - F.length(F.regexp_replace("t", f"{char_class}+", ""))) / n
 
     lines = F.length("t") - F.length(F.replace(F.col("t"), F.lit("\n"), F.lit(""))) + 1
-    return read.select(
+    found = read.select(
         "id", "words", "tags",
         share(r"[#*$%&<>|]").alias("symbols"), share("[A-Z]").alias("upper"), share("[0-9]").alias("digits"),
         share(f"[^A-Za-z0-9#*$%&<>|{SPACE}]").alias("others"), share(f"[{SPACE}]").alias("space"),
@@ -57,19 +65,22 @@ def _features(docs: DataFrame, id_col: str, text_col: str, meta_cols: tuple[str,
         F.log1p(F.length("t").cast("double")).alias("log_chars"), F.log1p(w.cast("double")).alias("log_words"),
         F.log1p(lines.cast("double")).alias("log_lines"),
     )
+    hashed = PipelineModel(
+        [
+            HashingTF(inputCol="words", outputCol="word_count", numFeatures=TEXT_BITS),
+            HashingTF(inputCol="tags", outputCol="tag_count", numFeatures=META_BITS, binary=True),
+        ]
+    ).transform(found)
+    return materialize(hashed.drop("words", "tags"), "features")
 
 
 def _vectors(features: DataFrame) -> DataFrame:
     """id, text and meta vectors."""
-    text = ["word_share", "symbols", "upper", "digits", "others", "space", "distinct"]
-    meta = ["tag_count", "log_chars", "log_words", "log_lines"]
     stages = PipelineModel(
         [
-            HashingTF(inputCol="words", outputCol="word_count", numFeatures=TEXT_BITS),
             Normalizer(inputCol="word_count", outputCol="word_share"),
-            HashingTF(inputCol="tags", outputCol="tag_count", numFeatures=META_BITS, binary=True),
-            VectorAssembler(inputCols=text, outputCol="text"),
-            VectorAssembler(inputCols=meta, outputCol="meta"),
+            VectorAssembler(inputCols=TEXT_INPUTS, outputCol="text"),
+            VectorAssembler(inputCols=META_INPUTS, outputCol="meta"),
         ]
     )
     return stages.transform(features).select("id", *VIEWS)
@@ -78,7 +89,7 @@ def _vectors(features: DataFrame) -> DataFrame:
 def co_train(
     docs: DataFrame, labels: DataFrame, rounds: int = 3, max_labelled: int = 4000, pool: int = 4000, step: float = 0.1,
     label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text",
-    meta_cols: tuple[str, ...] = ("lang", "source"),
+    meta_cols: tuple[str, ...] = ("lang", "source"), features: DataFrame | None = None,
 ) -> CoTrained:
     """Fit both views, with pseudo-labels from all unlabelled documents.
 
@@ -95,14 +106,17 @@ def co_train(
     rare class is seen and a larger table is fitted like a smaller one.
 
     Labels: null ones are none; for several of one document the lowest holds. Documents without
-    identifier are not used. With fewer than two classes no view is fitted and every score is the
+    identifier are not used. `features` are the documents' `document_features`, made here if not
+    given. With fewer than two classes no view is fitted and every score is the
     prior (one half without labels).
     """
     spark = docs.sparkSession
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(
         F.col(id_col).cast("long").alias("id")
     ).agg((F.min(F.col(label_col).cast("double")) > 0).cast("double").alias("y"))
-    present = docs.select(F.col(id_col).cast("long").alias("id")).where("id is not null").distinct()
+    if features is None:
+        features = document_features(docs, id_col, text_col, meta_cols)
+    present = features.select("id").where("id is not null").distinct()
     ids = materialize(present.join(known, "id", "left"), "ids")
     sizes = {r["y"]: r["n"] for r in ids.groupBy("y").agg(F.count("*").alias("n")).collect()}
     unlabelled, good = sizes.get(None, 0), sizes.get(1.0, 0)
@@ -120,8 +134,7 @@ def co_train(
     chosen = spark.createDataFrame([(i, y, w * scale, held) for i, y, w, held in chosen], "id long, y double, w double, held boolean")
 
     def with_vectors(rows: DataFrame, purpose: str) -> DataFrame:
-        found = docs.join(F.broadcast(rows), docs[id_col].cast("long") == rows["id"], "left_semi")
-        found = _vectors(_features(found, id_col, text_col, meta_cols).dropDuplicates(["id"]))
+        found = _vectors(features.join(F.broadcast(rows), "id", "left_semi").dropDuplicates(["id"]))
         return materialize(found.join(F.broadcast(rows), "id").repartition(4, "id"), purpose)
 
     sample = with_vectors(chosen, "sample")
@@ -132,7 +145,7 @@ def co_train(
         model.views = {view: _fit(trained[view], view) for view in VIEWS}
         if turn == rounds - 1 or not unlabelled:
             break
-        rows = _vectors(_features(docs, id_col, text_col, meta_cols))
+        rows = _vectors(features)
         for view in VIEWS:
             rows = _margins(rows, model.views[view], view)
         margins = rows.where("id is not null").groupBy("id").agg(*[F.min(f"m_{view}").alias(f"m_{view}") for view in VIEWS])
@@ -210,17 +223,19 @@ def _calibrate(check: DataFrame, model: LogisticRegressionModel, prior: float) -
 
 def score(
     docs: DataFrame, model: CoTrained, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text",
-    meta_cols: tuple[str, ...] = ("lang", "source"),
+    meta_cols: tuple[str, ...] = ("lang", "source"), features: DataFrame | None = None,
 ) -> DataFrame:
     """The calibrated probability of quality of every document by each view and by both together.
 
-    The views count as independent given the class: their log-odds add up, less the prior's. One
-    pass over the text, in the JVM; nothing is shuffled. Null and empty texts have zero features and
+    The views count as independent given the class: their log-odds add up, less the prior's. Reads
+    `features` if given, else the text once; nothing is shuffled. Null and empty texts have zero features and
     are scored by what remains. Every row is scored by itself, repeated ones too.
 
     Returns doc_id, text_score, meta_score, score, kept (score at least `threshold`).
     """
-    rows = _vectors(_features(docs, id_col, text_col, meta_cols))
+    if features is None:
+        features = document_features(docs, id_col, text_col, meta_cols)
+    rows = _vectors(features)
     odds = {view: F.lit(model.prior) for view in VIEWS}
     for view, fitted in model.views.items():
         slope, offset = model.calibration[view]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from creditloom.llm import byte_bpe, warc
 from creditloom.llm.backoff import backoff_scores
-from creditloom.llm.cotrain import co_train, score
+from creditloom.llm.cotrain import co_train, document_features, score
 from creditloom.llm.divergence import quality_rules
 from creditloom.llm.fair_mix import fair_mix
 from creditloom.llm.language import fit_language, is_held_out, predict_language
@@ -88,7 +88,9 @@ def op4_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op5_cotraining")
 def op5_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    return score(docs, co_train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    features = document_features(docs)
+    model = co_train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), features=features)
+    return score(docs, model, features=features)
 
 
 @register("op6_divergence")

@@ -2,6 +2,7 @@
 
 import gzip
 import hashlib
+import math
 import random
 import re
 from collections import Counter
@@ -10,11 +11,12 @@ from html.parser import HTMLParser
 from pathlib import Path
 
 import pytest
+from pyspark.ml.feature import HashingTF
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from creditloom.llm import warc
-from creditloom.llm.cotrain import co_train, score
+from creditloom.llm import cotrain, warc
+from creditloom.llm.cotrain import co_train, document_features, score
 from creditloom.llm.fair_mix import fair_mix, mixed_documents, targets
 
 SF = "/root/testdata/sf0.001"
@@ -157,6 +159,65 @@ def test_co_training_without_classes(spark, make):
     assert score(empty, co_train(empty, spark.createDataFrame([], "doc_id long, quality int"))).count() == 0
 
 
+def test_co_training_features_against_python(make, odd):
+    """Both views' inputs of every row, computed in Python."""
+    hashing = HashingTF(numFeatures=cotrain.TEXT_BITS)
+    docs = make(odd + [(i, junk(40, i), "fr", None) for i in range(20, 26)] + [(30, "A1 b\nB2 b #x")])
+    texts = Counter()
+    for row in docs.collect():
+        text = row.text or ""
+        found = re.findall("[^\x20\x09-\x0d]+", text)
+        counts = Counter(hashing.indexOf(w) for w in found)
+        norm = math.sqrt(sum(n * n for n in counts.values())) or 1.0
+        n = max(1, len(text))
+        classes = ["[#*$%&<>|]", "[A-Z]", "[0-9]", "[^A-Za-z0-9#*$%&<>|\x20\x09-\x0d]", "[\x20\x09-\x0d]"]
+        shares = [len(re.findall(c, text)) / n for c in classes] + [len(set(found)) / max(1, len(found))]
+        view = {b: c / norm for b, c in counts.items()} | {cotrain.TEXT_BITS + k: x for k, x in enumerate(shares)}
+        lengths = [math.log1p(len(text)), math.log1p(max(1, len(found))), math.log1p(text.count("\n") + 1)]
+        rounded = tuple(sorted((b, round(x, 9)) for b, x in view.items() if x))
+        texts[row.doc_id, rounded, tuple(round(x, 9) for x in lengths)] += 1
+    got = Counter()
+    for row in cotrain._vectors(document_features(docs)).collect():
+        text = row.text.toArray()
+        rounded = tuple((b, round(float(text[b]), 9)) for b in range(len(text)) if text[b])
+        got[row.id, rounded, tuple(round(float(x), 9) for x in row.meta.toArray()[-3:])] += 1
+    assert got == texts
+
+
+def test_pseudo_labels_against_brute_force(spark):
+    """The most confident of all rows, down to a bin in which a hash decides."""
+    rng = random.Random(17)
+    margins = {i: rng.choice([0.0, 0.5, rng.gauss(0, 1), rng.gauss(3, 2), 900.0]) for i in range(3000)}
+    free = spark.createDataFrame(list(margins.items()), "id long, m double").repartition(5)
+    draw = {r.id: r.d for r in free.select("id", cotrain._draw("id", 8).alias("d")).collect()}
+    for wanted in ({1.0: 300, 0.0: 100}, {1.0: 1, 0.0: 5000}, {1.0: 700, 0.0: 1}):
+        got = {r.id: r.y for r in free.select("id", cotrain._confident(free, "m", wanted).alias("y")).collect()}
+        for y, n in wanted.items():
+            mine = {i: min(math.floor(abs(m) / cotrain.BIN), cotrain.BINS) for i, m in margins.items() if (m > 0 if y else m < 0)}
+            given = {i for i, label in got.items() if label == y}
+            edge, sure = -1, set()
+            for edge in sorted(set(mine.values()), reverse=True):
+                last = {i for i, b in mine.items() if b == edge}
+                if len(sure) + len(last) >= n:
+                    break
+                sure |= last
+            else:
+                last = set()
+            part = (n - len(sure)) / len(last) if last else 0
+            assert given == sure | {i for i in last if draw[i] < part * cotrain.SHARES}
+            assert abs(len(given) - min(n, len(mine))) <= 4 * math.sqrt(len(last)) + 1
+
+
+def test_co_training_reads_given_features(spark, make):
+    """Features made once give the model and the scores that each call's own give."""
+    docs = make([(i, junk(30, i) if i % 3 else "the words of a sentence in the text " * (i % 5 + 1)) for i in range(90)])
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(45)], "doc_id long, quality int")
+    features = document_features(docs)
+    shared = score(docs, co_train(docs, labels, rounds=2, features=features), features=features)
+    own = score(docs, co_train(docs, labels, rounds=2))
+    assert {r.doc_id: round(r.score, 6) for r in shared.collect()} == {r.doc_id: round(r.score, 6) for r in own.collect()}
+
+
 def mix_brute(rows, weights, copies):
     sized = [(i, len(re.findall("[^\x20\x09-\x0d]+", t or "")), s) for i, t, _, s in rows]
     sources = sorted({s for *_, s in sized}, key=lambda s: (s is None, s or ""))
