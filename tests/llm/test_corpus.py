@@ -1,5 +1,6 @@
 """WARC derivatives, co-training, mixing, and the pipeline."""
 
+import functools
 import gzip
 import hashlib
 import math
@@ -161,13 +162,13 @@ def test_co_training_without_classes(spark, make):
 
 def test_co_training_features_against_python(make, odd):
     """Both views' inputs of every row, computed in Python."""
-    hashing = HashingTF(numFeatures=cotrain.TEXT_BITS)
+    index = functools.cache(HashingTF(numFeatures=cotrain.TEXT_BITS).indexOf)
     docs = make(odd + [(i, junk(40, i), "fr", None) for i in range(20, 26)] + [(30, "A1 b\nB2 b #x")])
     texts = Counter()
     for row in docs.collect():
         text = row.text or ""
         found = re.findall("[^\x20\x09-\x0d]+", text)
-        counts = Counter(hashing.indexOf(w) for w in found)
+        counts = Counter(index(w) for w in found)
         norm = math.sqrt(sum(n * n for n in counts.values())) or 1.0
         n = max(1, len(text))
         classes = ["[#*$%&<>|]", "[A-Z]", "[0-9]", "[^A-Za-z0-9#*$%&<>|\x20\x09-\x0d]", "[\x20\x09-\x0d]"]
