@@ -5,13 +5,14 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
 from creditloom.llm import odd_sketch
 from creditloom.llm.graph import components
 from creditloom.llm.line_dedup import line_dedup
 from creditloom.llm.odd_sketch import near_duplicates
-from creditloom.llm.tree_dedup import tree_dedup
+from creditloom.llm.tree_dedup import _merge, tree_dedup
 
 SPACE = " \t\n\x0b\x0c\r"
 
@@ -37,6 +38,38 @@ def test_tree_dedup(make, odd, keep, fan_in, rounds):
         assert [r.doc_id for r in mine if r.kept] == [keep_id]
 
 
+def test_sorted_runs_are_merged_across_batches():
+    """The pass over a sorted stream, cut into batches of any size, against a dictionary."""
+    rng = random.Random(5)
+    rows = sorted(
+        ((rng.randrange(2), rng.choice("abcdef"), 1, rng.randrange(2), rng.choice([None, *range(9)]), rng.randrange(1, 4)) for _ in range(200)),
+        key=lambda r: r[:4],
+    )
+    names = ["place", "digest", "bytes", "hash", "keep_id", "group_size"]
+    types = [pa.int32(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+    for keep, best in (("smallest", min), ("largest", max)):
+        wanted = {}
+        for *key, i, n in rows:
+            ids, size = wanted.get(tuple(key), ([], 0))
+            wanted[tuple(key)] = (ids + [i] * (i is not None), size + n)
+        wanted = [(*key, best(ids, default=None), n) for key, (ids, n) in wanted.items()]
+        for step in (1, 2, 7, 200):
+            cut = [rows[at : at + step] for at in range(0, len(rows), step)] + [[]]
+            batches = [
+                pa.record_batch([pa.array([r[c] for r in part], t) for c, t in enumerate(types)], names=names) for part in cut
+            ]
+            got = [tuple(r.values()) for b in _merge(iter(batches), keep) for r in b.to_pylist()]
+            assert got == wanted
+
+
+def test_rounds_merge_sorted_runs(make):
+    """Spark can't drop the order that a merge needs: each of leaves and rounds has its sort."""
+    plan = tree_dedup(make([(1, "a"), (2, "a")]), fan_in=2, rounds=2)._jdf.queryExecution().optimizedPlan().toString()
+    lines = [line.strip(" :+-") for line in plan.split("\n")]
+    merges = [n for n, line in enumerate(lines) if line.startswith("MapInArrow")]
+    assert len(merges) >= 3 and all(any(x.startswith("Sort [place") for x in lines[n + 1 : n + 4]) for n in merges)
+
+
 def test_tree_dedup_of_nothing(make):
     assert tree_dedup(make([])).count() == 0
 
