@@ -171,7 +171,5 @@ def search_rows(
 
 def first_by_position(df: DataFrame, key: str, prefer: Column, position: str) -> DataFrame:
     """One row per key: the last preferred row, else the first row."""
-    order = Window.partitionBy(key).orderBy(
-        prefer.desc(), F.when(prefer, -F.col(position)).otherwise(F.col(position)).asc()
-    )
+    order = Window.partitionBy(key).orderBy(prefer.desc(), F.when(prefer, F.col(position)).desc(), F.col(position).asc())
     return df.withColumn("__row", F.row_number().over(order)).filter("__row = 1").drop("__row")

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from creditloom.operators.drift import check_domain
+from creditloom.operators.quality import QualityError, no_rows_where
 from creditloom.plans import silver, suites
 from creditloom.queries.decisions import triage
 from creditloom.queries.monitoring import CHECK_NAME, CHECK_STATUS, check_history
@@ -12,7 +15,7 @@ from creditloom.queries.registry import query
 from creditloom.session import shared_dir
 from creditloom.sources import fixtures as fx
 from creditloom.sources import landing, reports, tables
-from creditloom.sources.publish import publish_if_valid, read_published
+from creditloom.sources.publish import publish_if_valid, published_runs, read_published
 
 
 @query("read_parquet_table", "SELECT o_orderkey, o_totalprice FROM orders", "o_totalprice")
@@ -45,6 +48,24 @@ def published_table(spark, sf_dir):
     return read_published(spark, path)
 
 
+@query("publish_retry", "SELECT o_orderkey, o_totalprice + 1 AS o_totalprice, 2 AS versions FROM orders", "o_totalprice")
+def publish_retry(spark, sf_dir):
+    """A run, its retry with rows that fail, and a later run, which removes the failed attempt."""
+    path = shared_dir(spark, "retry")
+    orders = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+
+    def attempt(run_id, price):
+        checks = lambda written: [no_rows_where("price_not_negative", F.col("o_totalprice") < 0)]
+        publish_if_valid(orders.withColumn("o_totalprice", price), "orders", checks, path, run_id, timedelta(0))
+
+    attempt("run 1", F.col("o_totalprice"))
+    try:
+        attempt("run 1", -F.col("o_totalprice"))
+    except QualityError:
+        attempt("run 2", F.col("o_totalprice") + 1)
+    return read_published(spark, path).withColumn("versions", F.lit(published_runs(spark, path).count()).cast("int"))
+
+
 @query(
     "write_report",
     f"""SELECT {CHECK_NAME} AS name, count(*) AS checks FROM events
@@ -99,18 +120,22 @@ def audit_landing(spark, sf_dir):
     """SELECT c AS "column", t AS "table", d AS description, '' AS special FROM (
          SELECT *, row_number() OVER (PARTITION BY c ORDER BY app DESC, CASE WHEN app THEN -p ELSE p END) AS rn
          FROM (SELECT 'COL_' || o_custkey AS c, CASE o_orderkey % 4 WHEN 0 THEN 'application_{train|test}.csv' ELSE 'bureau.csv' END AS t,
-                 o_orderpriority AS d, o_orderkey AS p, o_orderkey % 4 = 0 AS app FROM orders)) WHERE rn = 1""",
+                 o_orderpriority || ' \u00e9' AS d, o_orderkey AS p, o_orderkey % 4 = 0 AS app FROM orders)) WHERE rn = 1""",
 )
 def read_dictionary(spark, sf_dir):
-    """One dictionary row per order, several for the same column."""
+    """One dictionary row per order, several for the same column, in latin-1 CSV files read back."""
     rows = fx.table(spark, sf_dir, "orders").select(
-        F.concat(F.lit(" COL_"), F.col("o_custkey").cast("string")).alias("Row"),
         F.when(F.col("o_orderkey") % 4 == 0, "application_{train|test}.csv").otherwise("bureau.csv").alias("Table"),
-        F.col("o_orderpriority").alias("Description"),
+        F.concat(F.lit(" COL_"), F.col("o_custkey").cast("string")).alias("Row"),
+        F.concat("o_orderpriority", F.lit(" \u00e9")).alias("Description"),
         F.lit(None).cast("string").alias("Special"),
-        F.col("o_orderkey").alias("position"),
+        "o_orderkey",
     )
-    return tables.dictionary_rows(rows)
+    path = shared_dir(spark, "dictionary")
+    ordered = rows.repartitionByRange(4, "o_orderkey").sortWithinPartitions("o_orderkey").drop("o_orderkey")
+    writer = ordered.write.option("header", True).option("encoding", "ISO-8859-1").option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).csv(path)
+    return tables.read_dictionary(spark, path)
 
 
 @query(

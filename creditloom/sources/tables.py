@@ -40,11 +40,12 @@ def read_parquet_table(spark: SparkSession, path: str, columns: list[str] | None
 def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
     """(column, table, description, special): one row per described column.
 
-    The last row of an application table wins, otherwise the first row seen. The file is
-    a small side table; its row order is the order of the file.
+    The last row of an application table wins, otherwise the first row seen. The order of rows is
+    that of files by name, of blocks in a file, and of rows in a block, however the files are split.
     """
     raw = read_csv_table(spark, path, "Table string, Row string, Description string, Special string", "ISO-8859-1")
-    return dictionary_rows(raw.withColumn("position", F.monotonically_increasing_id()))
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row"))
+    return dictionary_rows(raw.withColumn("position", place))
 
 
 def dictionary_rows(raw: DataFrame) -> DataFrame:

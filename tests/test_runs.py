@@ -1,3 +1,5 @@
+from datetime import timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,13 +7,16 @@ from creditloom.operators.quality import QualityError, no_rows_where
 from creditloom.plans import runs
 from creditloom.session import shared_dir
 from creditloom.sources import fixtures as fx
+from creditloom.sources.publish import _claim, stage
 from creditloom.sources import (
     audit_landing,
     latest_report,
     publish_if_valid,
+    published_runs,
     read_csv_table,
     read_dictionary,
     read_published,
+    remove_orphans,
     write_report,
 )
 
@@ -118,3 +123,42 @@ def test_retry_of_a_published_run_changes_nothing(spark):
     assert [r["x"] for r in read_published(spark, path).collect()] == [1]
     publish_if_valid(good.selectExpr("x + 1 AS x"), "t", not_negative, path, "r_1")
     assert [r["x"] for r in read_published(spark, path).collect()] == [2]
+
+
+def test_publishers_at_the_same_time_are_all_kept(spark):
+    path = shared_dir(spark, "claims")
+    places = [stage(spark.createDataFrame([(x,)], "x int"), path, "r") for x in (1, 2, 3)]
+    record = {"run_id": "r", "published_at": "2026-01-01T00:00:00+00:00", "passes": 1, "warnings": 0}
+    assert [_claim(spark, path, record | {"location": p}, version=1) for p in places] == [1, 2, 3]  # all saw an empty log
+    assert published_runs(spark, path).count() == 3
+    assert [r["x"] for r in read_published(spark, path).collect()] == [3]
+    open(f"{path.removeprefix('file:')}/published/v000000000004.json", "w").close()  # claimed by one that died
+    assert [r["x"] for r in read_published(spark, path).collect()] == [3]
+    publish_if_valid(spark.createDataFrame([(5,)], "x int"), "t", not_negative, path, "r")
+    assert [r["x"] for r in read_published(spark, path).collect()] == [5]
+    assert {r["version"] for r in published_runs(spark, path).collect()} == {1, 2, 3, 5}
+
+
+def test_old_attempts_without_a_record_go(spark):
+    path = shared_dir(spark, "orphans")
+    publish_if_valid(spark.createDataFrame([(1,)], "x int"), "t", not_negative, path, "a")
+    with pytest.raises(QualityError):
+        publish_if_valid(spark.createDataFrame([(-1,)], "x int"), "t", not_negative, path, "a")
+    assert remove_orphans(spark, path) == []
+    removed = remove_orphans(spark, path, timedelta(0))
+    assert len(removed) == 1 and "attempt=" in removed[0]
+    assert spark.read.parquet(f"{path}/runs/a").count() == 1
+    assert [r["x"] for r in read_published(spark, path).collect()] == [1]
+
+
+def test_dictionary_order_does_not_depend_on_splits(spark, tmp_path):
+    lines = [f"{'application_a.csv' if i % 3 else 'bureau.csv'},COL_{i % 2 if i % 3 else 9},row {i} \u00e9," for i in range(400)]
+    (tmp_path / "d.csv").write_bytes(("Table,Row,Description,Special\n" + "\n".join(lines) + "\n").encode("latin-1"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("256", "1000", before):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            rows = {r["column"]: r["description"] for r in read_dictionary(spark, str(tmp_path / "d.csv")).collect()}
+            assert rows == {"COL_0": "row 398 \u00e9", "COL_1": "row 397 \u00e9", "COL_9": "row 0 \u00e9"}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
