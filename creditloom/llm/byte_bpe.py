@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -28,6 +29,8 @@ BEYOND_LATIN = re.compile(f"[^\\x00-{chr(LATIN - 1)}]")
 CLASS = r"\\(?:p\{\w+\}|[sS])"
 CHUNK = 1_000_000
 """Characters that are cut into pre-tokens at once."""
+SLICE = 1 << 20
+"""Bytes of text whose results a task holds at once, beside those of one text."""
 TO_LETTERS = {b: 0x100 + b for b in range(256)}
 """Every byte is a letter of its own from U+0100 on, so that no piece has a space or a control."""
 
@@ -139,6 +142,24 @@ class Encoder:
         return b"".join(packed)
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in parts whose rows after the first have less than SLICE bytes in the second column."""
+    part = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)) // SLICE
+    edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    for start, end in zip(edges, edges[1:]):
+        if end > start:
+            yield batch.slice(start, end - start)
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
+
+
+def _decoder(vocabulary: list[bytes]) -> Callable[[bytes | None], bytes]:
+    bytes_of = vocabulary.__getitem__
+    return lambda ids: b"".join(map(bytes_of, np.frombuffer(ids or b"", dtype="<u4").tolist()))
+
+
 def encode(
     docs: DataFrame, vocabulary: list[bytes], pattern: str, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -154,13 +175,12 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(model.value, pattern)
-        for batch in batches:
-            ids = [encoder(t.as_py()) for t in batch.column(1)]
-            yield pa.record_batch([batch.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+        for part in (part for batch in batches for part in _slices(batch)):
+            ids = pa.array([encoder(t.as_py()) for t in part.column(1)], pa.binary())
+            yield pa.record_batch([part.column(0), ids], ["doc_id", "ids"])
 
-    return docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(
-        run, f"doc_id {docs.schema[id_col].dataType.simpleString()}, ids binary"
-    )
+    kind = docs.schema[id_col].dataType.simpleString()
+    return _texts(docs, id_col, text_col).mapInArrow(run, f"doc_id {kind}, ids binary")
 
 
 def decode(encoded: DataFrame, vocabulary: list[bytes]) -> DataFrame:
@@ -169,15 +189,32 @@ def decode(encoded: DataFrame, vocabulary: list[bytes]) -> DataFrame:
     kind = encoded.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bytes_of: Callable[[int], bytes] = tokens.value.__getitem__
-        for batch in batches:
-            ids = (np.frombuffer(i.as_py() or b"", dtype="<u4").tolist() for i in batch.column(1))
-            decoded = pa.array([b"".join(map(bytes_of, i)) for i in ids], pa.binary())
-            yield pa.record_batch([batch.column(0), batch.column(1), decoded], ["doc_id", "ids", "decoded"])
+        decoder = _decoder(tokens.value)
+        for part in (part for batch in batches for part in _slices(batch)):
+            decoded = pa.array([decoder(i.as_py()) for i in part.column(1)], pa.binary())
+            yield pa.record_batch([part.column(0), part.column(1), decoded], ["doc_id", "ids", "decoded"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, ids binary, decoded binary")
 
 
+def round_trip(
+    docs: DataFrame, vocabulary: list[bytes], pattern: str, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of `encode` followed by `decode`, made in one Python worker a task instead of two."""
+    context = docs.sparkSession.sparkContext
+    model, tokens = context.broadcast(serialise(vocabulary)), context.broadcast(vocabulary)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, decoder = Encoder(model.value, pattern), _decoder(tokens.value)
+        for part in (part for batch in batches for part in _slices(batch)):
+            ids = [encoder(t.as_py()) for t in part.column(1)]
+            columns = [part.column(0), pa.array(ids, pa.binary()), pa.array(map(decoder, ids), pa.binary())]
+            yield pa.record_batch(columns, ["doc_id", "ids", "decoded"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return _texts(docs, id_col, text_col).mapInArrow(run, f"doc_id {kind}, ids binary, decoded binary")
+
+
 def digests(decoded: DataFrame) -> DataFrame:
     """doc_id, n_tokens, the digests of ids and decoded bytes, and the ids."""
     return decoded.select(

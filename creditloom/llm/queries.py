@@ -71,8 +71,7 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bpe_digests(docs: DataFrame) -> DataFrame:
     vocabulary = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    encoded = byte_bpe.encode(docs, vocabulary, public_tokenizers.PATTERN)
-    return byte_bpe.digests(byte_bpe.decode(encoded, vocabulary))
+    return byte_bpe.digests(byte_bpe.round_trip(docs, vocabulary, public_tokenizers.PATTERN))
 
 
 @register("op4_warc_derivatives")

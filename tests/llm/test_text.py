@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -56,6 +57,25 @@ def test_bpe_cuts_long_texts_at_safe_places(vocabulary, tokens, monkeypatch):
         assert ids == tokens.encode_ordinary(text)
 
 
+def test_bpe_in_one_step_equals_encode_then_decode(make, odd, vocabulary):
+    docs = make(odd)
+    two = byte_bpe.decode(byte_bpe.encode(docs, vocabulary, public_tokenizers.PATTERN), vocabulary)
+    one = byte_bpe.round_trip(docs, vocabulary, public_tokenizers.PATTERN)
+    assert one.schema == two.schema
+    rows = Counter((r["doc_id"], bytes(r["ids"]), bytes(r["decoded"])) for r in one.collect())
+    assert rows == Counter((r["doc_id"], bytes(r["ids"]), bytes(r["decoded"])) for r in two.collect())
+    assert Counter((i, decoded) for i, _, decoded in rows.elements()) == Counter((i, (t or "").encode()) for i, t in odd)
+
+
+def test_bpe_slices_hold_every_row_once(monkeypatch):
+    monkeypatch.setattr(byte_bpe, "SLICE", 10)
+    for lengths in ([], [0], [0, 0, 0], [25], [3, 4, 5, 30, 0, 0, 9, 1], [1] * 57):
+        batch = pa.record_batch([pa.array(range(len(lengths))), pa.array(["x" * n for n in lengths], pa.string())], ["i", "t"])
+        parts = list(byte_bpe._slices(batch))
+        assert [i for p in parts for i in p.column(0).to_pylist()] == list(range(len(lengths)))
+        assert all(sum(map(len, p.column(1).to_pylist()[1:])) < byte_bpe.SLICE for p in parts)
+
+
 def luhn(span):
     digits = [int(c) for c in span if c.isdigit()][::-1]
     return 12 <= len(digits) <= 19 and sum(sum(divmod(d * (1 + i % 2), 10)) for i, d in enumerate(digits)) % 10 == 0
