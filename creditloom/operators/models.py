@@ -9,8 +9,10 @@ from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 from datetime import datetime, timezone
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import (
@@ -27,6 +29,7 @@ from pyspark.sql import functions as F
 from creditloom.operators.cleaning import numeric_columns, text_columns
 from creditloom.operators.metrics import evaluate
 from creditloom.operators.quality import QualityError
+from creditloom.session import materialize
 
 LABEL, KEY = "TARGET", "SK_ID_CURR"
 MOST_CATEGORIES = 1000
@@ -157,6 +160,22 @@ def _category_labels(df: DataFrame, cols: Sequence[str], most: int) -> dict[str,
     return labels
 
 
+def _inputs(
+    train: DataFrame, features: Sequence[str], most_categories: int
+) -> tuple[list[str], dict[str, list[str]], dict[str, str]]:
+    """Numeric columns, indexed categories and fill of each text column; columns without any value are left out."""
+    texts = set(text_columns(train))
+    filled = train.agg(*[F.count(c).alias(c) for c in features]).first()
+    numeric = [c for c in features if c not in texts and filled[c]]
+    labels = _category_labels(train, [c for c in features if c in texts and filled[c]], most_categories)
+    return numeric, labels, {c: found[0] for c, found in labels.items()}
+
+
+def _max_bins(labels: Mapping[str, Sequence[str]]) -> int:
+    """A tree needs a bin per category."""
+    return max([32, *[len(found) + 2 for found in labels.values()]])
+
+
 def fit(
     train: DataFrame, spec: ModelSpec, features: Sequence[str], seed: int = 42, most_categories: int = MOST_CATEGORIES
 ) -> FittedModel:
@@ -166,18 +185,11 @@ def fit(
     driver and the model hold; rarer ones share an index with unseen ones. `train` should be a
     written table: each stage reads it again.
     """
-    texts = set(text_columns(train))
-    categorical = [c for c in features if c in texts]
-    numeric = [c for c in features if c not in texts]
-    filled = train.agg(*[F.count(c).alias(c) for c in features]).first()
-    numeric = [c for c in numeric if filled[c]]
-    categorical = [c for c in categorical if filled[c]]
-    labels = _category_labels(train, categorical, most_categories)
-    fills = {c: labels[c][0] for c in categorical}
-    max_bins = max([32, *[len(labels[c]) + 2 for c in categorical]])  # a tree needs a bin per category
+    numeric, labels, fills = _inputs(train, features, most_categories)
+    categorical = list(labels)
     data = _prepared(train, numeric, categorical, fills).withColumn("__weight", _weight(train, spec))
     started = time.perf_counter()
-    stages = Pipeline(stages=[*_encoder(numeric, labels, spec.kind), _classifier(spec, max_bins, seed)]).fit(
+    stages = Pipeline(stages=[*_encoder(numeric, labels, spec.kind), _classifier(spec, _max_bins(labels), seed)]).fit(
         data.select(LABEL, "__weight", *numeric, *categorical)
     )
     return FittedModel(spec, stages, numeric, categorical, fills, time.perf_counter() - started, labels)
@@ -302,13 +314,99 @@ def compare_models(
     return reduce(DataFrame.unionByName, rows)
 
 
-def sweep(
-    train: DataFrame, test: DataFrame, specs: Sequence[ModelSpec], features: Sequence[str], threshold: float
+@dataclass(frozen=True)
+class Encoded:
+    """Train and test rows as (label, features), written once for any number of fits."""
+
+    linear: bool
+    train: DataFrame
+    test: DataFrame
+    max_bins: int
+
+
+def encode(
+    train: DataFrame, test: DataFrame, features: Sequence[str], linear: bool, most_categories: int = MOST_CATEGORIES
+) -> Encoded:
+    """Impute, index and for linear models scale by the training rows, and write both parts.
+
+    Trees share one encoding, whatever their kind.
+    """
+    numeric, labels, fills = _inputs(train, features, most_categories)
+    columns = [*numeric, *labels]
+    stages = _encoder(numeric, labels, "lr" if linear else "tree")
+    encoder = Pipeline(stages=stages).fit(_prepared(train, numeric, list(labels), fills).select(*columns))
+
+    def written(df: DataFrame, purpose: str) -> DataFrame:
+        rows = encoder.transform(_prepared(df, numeric, list(labels), fills).select(LABEL, *columns))
+        return materialize(rows.select(LABEL, "features"), purpose)
+
+    return Encoded(linear, written(train, "encoded-train"), written(test, "encoded-test"), _max_bins(labels))
+
+
+def fit_settings(
+    encoded: Encoded, specs: Sequence[ModelSpec], threshold: float, parallelism: int = 2, seed: int = 42
 ) -> DataFrame:
-    """One metric row per setting (grid, number of trees, class weight)."""
-    rows = [
-        evaluation_row(test, fit(train, spec, features), threshold, setting=i) for i, spec in enumerate(specs)
+    """One metric row per setting, numbered as given, of classifiers fitted on the same encoded rows.
+
+    At most `parallelism` fits run at a time. The scores of all settings are written in one table and
+    measured together, so the test rows are ranked in one pass.
+    """
+    spark = encoded.train.sparkSession
+    wrong = [spec.name for spec in specs if (spec.kind == "lr") != encoded.linear]
+    if wrong:
+        raise ValueError(f"rows are encoded for another kind of model than {', '.join(wrong)}")
+
+    def one(spec: ModelSpec):
+        rows = encoded.train.withColumn("__weight", _weight(encoded.train, spec))
+        started = time.perf_counter()
+        model = _classifier(spec, encoded.max_bins, seed).fit(rows)
+        return model, time.perf_counter() - started
+
+    with ThreadPool(max(1, min(parallelism, len(specs)))) as pool:
+        fitted = pool.map(inheritable_thread_target(spark)(one), specs)
+    scored = [
+        model.transform(encoded.test).select(
+            F.lit(i).alias("setting"), LABEL, vector_to_array("probability")[1].alias("probability")
+        )
+        for i, (model, _) in enumerate(fitted)
     ]
+    scores = materialize(reduce(DataFrame.unionByName, scored), "setting-scores")
+    metrics = evaluate(scores, LABEL, "probability", threshold, by=["setting"])
+    named = [(i, spec.name, seconds) for i, (spec, (_, seconds)) in enumerate(zip(specs, fitted))]
+    settings = spark.createDataFrame(named, "setting int, model string, fit_seconds double")
+    return settings.join(metrics, "setting", "left")
+
+
+def sweep(
+    train: DataFrame, test: DataFrame, specs: Sequence[ModelSpec], features: Sequence[str], threshold: float,
+    parallelism: int = 2,
+) -> DataFrame:
+    """One metric row per setting (grid, number of trees, class weight).
+
+    Rows are encoded once for all linear models and once for all trees, whatever the number of settings.
+    """
+    rows = []
+    for linear in (True, False):
+        places = [i for i, spec in enumerate(specs) if (spec.kind == "lr") == linear]
+        if places:
+            found = fit_settings(encode(train, test, features, linear), [specs[i] for i in places], threshold, parallelism)
+            place = F.get(F.array(*map(F.lit, places)), F.col("setting"))
+            rows.append(found.withColumn("setting", place))
+    return reduce(DataFrame.unionByName, rows)
+
+
+def sweep_folds(
+    folded: DataFrame, specs: Sequence[ModelSpec], features: Sequence[str], threshold: float, k: int = 5,
+    parallelism: int = 2,
+) -> DataFrame:
+    """One metric row per setting and fold of a table with column `fold`.
+
+    Each fold's rows are encoded by the other folds alone, once for all settings.
+    """
+    rows = []
+    for fold in range(k):
+        inside, outside = (folded.filter(c).drop("fold") for c in (F.col("fold") == fold, F.col("fold") != fold))
+        rows.append(sweep(outside, inside, specs, features, threshold, parallelism).withColumn("fold", F.lit(fold)))
     return reduce(DataFrame.unionByName, rows)
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from creditloom.operators import metrics, models
 from creditloom.operators import scoring as s
+from creditloom.operators.ordering import argmax_row, best_within_tolerance, marginal_gain
 from creditloom.operators.sampling import k_fold, undersample
 from creditloom.operators.scoring import segment_risk, top_factors
 from creditloom.plans import decision, silver, training
@@ -99,7 +100,49 @@ def tree_sweep(spark, sf_dir):
     table = split(spark, sf_dir)
     specs = [replace(BOOSTED, name=f"boosted_{n}", params={**BOOSTED.params, "maxIter": n}) for n in (2, 4, 8)]
     features = training.model_features(table, "core", LEAKY)
-    return models.sweep(training.part(table, "train"), training.part(table, "test"), specs, features, T)
+    rows = models.sweep(training.part(table, "train"), training.part(table, "test"), specs, features, T)
+    return marginal_gain(rows.withColumn("sweep", F.lit("trees")), "setting", "pr_auc", "fit_seconds", ["sweep"]).drop("sweep")
+
+
+# (depth, learning rate) of the tree grid
+GRID = [(3, 0.05), (4, 0.05), (5, 0.05), (4, 0.03)]
+
+
+@query(
+    "grid_search",
+    f"""WITH sizes AS (
+          SELECT TARGET, n - h AS rest FROM (
+            SELECT TARGET, count(*) AS n, floor(count(*) * CAST({FRACTIONS["demo"]} AS DOUBLE) + 0.5) AS h
+            FROM clean_application GROUP BY TARGET)),
+        tests AS (
+          SELECT TARGET, CAST(floor(rest * (CAST({FRACTIONS["test"]} AS DOUBLE)
+                   / (CAST({FRACTIONS["train"]} AS DOUBLE) + CAST({FRACTIONS["test"]} AS DOUBLE))) + 0.5) AS BIGINT) AS n FROM sizes)
+        SELECT max_depth, step_size, (SELECT n FROM tests WHERE TARGET = 0) AS negatives,
+               (SELECT n FROM tests WHERE TARGET = 1) AS positives, true AS in_range, true AS best_found, true AS chosen_near
+        FROM (VALUES {", ".join(f"({d}, CAST({r} AS DOUBLE))" for d, r in GRID)}) AS grid(max_depth, step_size)""",
+    "step_size",
+)
+def grid_search(spark, sf_dir):
+    """What holds for any fit of the grid: rows of each class, metrics in range, the best setting and the one with fewest misses near it."""
+    table = split(spark, sf_dir)
+    specs = [
+        replace(BOOSTED, name=f"depth_{d}_rate_{r}", params={**BOOSTED.params, "maxDepth": d, "stepSize": r}) for d, r in GRID
+    ]
+    features = training.model_features(table, "core", LEAKY)
+    rows = materialize(models.sweep(training.part(table, "train"), training.part(table, "test"), specs, features, T), "grid")
+    best = argmax_row(rows, "pr_auc", ["setting"]).select(F.col("pr_auc").alias("best_pr_auc"))
+    chosen = best_within_tolerance(rows, "pr_auc", "fn", ties=["setting"]).select(
+        F.struct(F.col("pr_auc"), F.col("fn")).alias("chosen")
+    )
+    top, near = best.scalar(), chosen.scalar()
+    place = F.struct(*[F.array(*[F.lit(g[i]) for g in GRID])[F.col("setting")].alias(n) for i, n in enumerate(("max_depth", "step_size"))])
+    return rows.select(
+        place["max_depth"].alias("max_depth"), place["step_size"].alias("step_size"),
+        (F.col("tn") + F.col("fp")).alias("negatives"), (F.col("fn") + F.col("tp")).alias("positives"),
+        (F.col("pr_auc").between(0, 1) & F.col("roc_auc").between(0, 1)).alias("in_range"),
+        (F.col("pr_auc") <= top).alias("best_found"),
+        ((near["pr_auc"] >= top - 0.001) & ((F.col("pr_auc") < top - 0.001) | (F.col("fn") >= near["fn"]))).alias("chosen_near"),
+    )
 
 
 @query("weight_sweep")

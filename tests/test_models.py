@@ -39,6 +39,31 @@ def test_models_learn(spark, table, spec):
     assert top in ("x", "c")
 
 
+def test_settings_share_one_encoding(spark, table, monkeypatch):
+    specs = [SPECS[0], SPECS[2], models.ModelSpec("lr_5", "lr", {"maxIter": 20}, 5.0)]
+    train, test = table.filter("SK_ID_CURR % 4 > 0"), table.filter("SK_ID_CURR % 4 = 0")
+    features, encodings = ["x", "noise", "n", "c"], []
+    encode = models.encode
+    monkeypatch.setattr(models, "encode", lambda *a: encodings.append(a[3]) or encode(*a))
+    rows = {r["setting"]: r for r in models.sweep(train, test, specs, features, 0.4).collect()}
+    assert encodings == [True, False]  # once for the linear models, once for the trees
+    for i, spec in enumerate(specs):
+        alone = models.evaluation_row(test, models.fit(train, spec, features), 0.4).first()
+        assert rows[i]["model"] == spec.name and rows[i]["fit_seconds"] > 0
+        for metric in ("pr_auc", "roc_auc", "tn", "fp", "fn", "tp", "f_beta"):
+            assert rows[i][metric] == pytest.approx(alone[metric], abs=1e-9)
+    with pytest.raises(ValueError, match="gbt"):
+        models.fit_settings(encode(train, test, features, True), [SPECS[2]], 0.4)
+
+
+def test_sweep_over_folds(spark, table):
+    folded = table.withColumn("fold", (F.col("SK_ID_CURR") % 2).cast("int"))
+    rows = models.sweep_folds(folded, SPECS[:1], ["x", "c"], 0.4, k=2).orderBy("fold").collect()
+    alone = models.cross_validate(folded, SPECS[0], ["x", "c"], 0.4, k=2).orderBy("fold").collect()
+    assert [r["fold"] for r in rows] == [0, 1]
+    assert [r["pr_auc"] for r in rows] == pytest.approx([r["pr_auc"] for r in alone])
+
+
 def test_contributions_add_up_to_the_log_odds(spark, table):
     model = models.fit(table, SPECS[0], ["x", "noise", "c"])
     parts = models.contributions(table, model)
