@@ -114,7 +114,10 @@ class Encoder:
         return {t: array("I", i).tobytes() for t, i in zip(tokens, ids)}
 
     def _chunks(self, text: str) -> Iterator[str]:
-        """Cuts before white space that follows other characters, which no pre-token spans."""
+        """Cuts before white space that follows other characters.
+
+        Holds for patterns in which no match runs from another character into white space, as that of byte-level BPE.
+        """
         start = 0
         while len(text) - start > CHUNK:
             edge = self.edge.search(text, start + CHUNK)
