@@ -14,3 +14,25 @@ def test_instalments_are_dealt_by_rows(spark, tmp_path, monkeypatch):
     shares = rows.groupBy(F.spark_partition_id().alias("part")).count().collect()
     assert sum(r["count"] for r in shares) == 2400 and max(r["count"] for r in shares) < 400
     assert fx.parts_for(spark.range(450)) == 5 and fx.parts_for(spark.range(1)) == spark.sparkContext.defaultParallelism
+
+
+def test_cuts_from_keys_need_no_read_of_the_table(spark, tmp_path):
+    """The split and the folds are those of the whole table, which is read once, to write it."""
+    from creditloom.operators.sampling import k_fold
+    from creditloom.plans import training
+
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def counted(x):
+        read.add(1)
+        return x
+
+    keys = spark.range(500).selectExpr("id AS SK_ID_CURR", "CAST(id % 4 = 0 AS INT) AS TARGET")
+    table = keys.withColumn("x", counted(F.col("TARGET")))
+    parts = {"train": 0.7, "test": 0.2, "demo": 0.1}
+    found = training.split_table(table, keys=keys, **parts).select("SK_ID_CURR", "split")
+    assert found.count() == 500 and read.value == 500
+    assert found.exceptAll(training.split_table(keys, **parts).select("SK_ID_CURR", "split")).isEmpty()
+    folds = k_fold(table, 5, keys=keys).select("SK_ID_CURR", "fold")
+    assert folds.exceptAll(k_fold(keys, 5).select("SK_ID_CURR", "fold")).isEmpty()
