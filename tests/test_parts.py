@@ -36,3 +36,16 @@ def test_cuts_from_keys_need_no_read_of_the_table(spark, tmp_path):
     assert found.exceptAll(training.split_table(keys, **parts).select("SK_ID_CURR", "split")).isEmpty()
     folds = k_fold(table, 5, keys=keys).select("SK_ID_CURR", "fold")
     assert folds.exceptAll(k_fold(keys, 5).select("SK_ID_CURR", "fold")).isEmpty()
+
+
+def test_trees_encode_their_rows_once(spark, monkeypatch):
+    from creditloom.operators import models
+
+    written = []
+    keep = models.materialize
+    monkeypatch.setattr(models, "materialize", lambda df, name: written.append(df.columns) or keep(df, name))
+    table = spark.range(200).selectExpr("id AS SK_ID_CURR", "CAST(id % 3 = 0 AS INT) AS TARGET", "CAST(id % 5 AS DOUBLE) AS x", "CAST(id % 2 AS STRING) AS c")
+    for kind, most in (("rf", {"numTrees": 2, "maxDepth": 2}), ("gbt", {"maxIter": 2, "maxDepth": 2}), ("lr", {"maxIter": 5})):
+        model = models.fit(table, models.ModelSpec(kind, kind, most), ["x", "c"])
+        assert models.score(table, model, 0.5).filter("probability BETWEEN 0 AND 1").count() == 200
+    assert written == [["TARGET", "__weight", "features"]] * 2
