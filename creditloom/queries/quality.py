@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from creditloom.operators import quality as q
 from creditloom.plans import silver, suites
 from creditloom.queries import gold
+from creditloom.queries.cleaning import clean_bureau_balance
 from creditloom.queries.registry import query
 from creditloom.session import materialize
 from creditloom.sources import fixtures as fx
@@ -102,7 +103,7 @@ def qa_bureau(spark, sf_dir):
     "observed",
 )
 def qa_bureau_balance(spark, sf_dir):
-    return suites.silver_suite("bureau_balance", silver.clean_bureau_balance(fx.raw_bureau_balance(spark, sf_dir)))
+    return suites.silver_suite("bureau_balance", clean_bureau_balance(spark, sf_dir))
 
 
 MONTHLY = (

@@ -16,6 +16,24 @@ def test_instalments_are_dealt_by_rows(spark, tmp_path, monkeypatch):
     assert fx.parts_for(spark.range(450)) == 5 and fx.parts_for(spark.range(1)) == spark.sparkContext.defaultParallelism
 
 
+def test_balances_are_dealt_by_rows(spark, tmp_path, monkeypatch):
+    """A task's share of the months does not grow with the table, and a month with very many copies is not sorted in one task."""
+    from creditloom.queries.cleaning import clean_bureau_balance
+
+    lines = spark.range(1200).selectExpr(
+        "CASE WHEN id < 400 THEN 53 ELSE id END AS l_orderkey", "add_months(DATE '1990-01-01', CAST(id % 100 AS INT)) AS l_shipdate",
+        "1L AS l_partkey", "'R' AS l_returnflag", "'F' AS l_linestatus",
+    )
+    lines.unionByName(lines.withColumn("l_returnflag", F.lit("N"))).write.parquet(f"{tmp_path}/lineitem.parquet")
+    monkeypatch.setattr(fx, "ROWS_A_PART", 100)
+    clean = clean_bureau_balance(spark, str(tmp_path))
+    shares = clean.groupBy(F.spark_partition_id().alias("part")).count().collect()
+    assert sum(r["count"] for r in shares) == 801 and max(r["count"] for r in shares) < 100
+    assert clean.select("STATUS").distinct().collect() == [("1",)]  # " 1" comes before "0"
+    plan = clean._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.index("Sort") < plan.index("HashAggregate") < plan.index("Exchange")
+
+
 def test_cuts_from_keys_need_no_read_of_the_table(spark, tmp_path):
     """The split and the folds are those of the whole table, which is read once, to write it."""
     from creditloom.operators.sampling import k_fold
