@@ -1,3 +1,5 @@
+import re
+
 from pyspark.sql import functions as F
 
 from creditloom.sources import fixtures as fx
@@ -34,6 +36,34 @@ def test_balances_are_dealt_by_rows(spark, tmp_path, monkeypatch):
     assert plan.count("Exchange") == 1 and plan.index("Sort") < plan.index("HashAggregate") < plan.index("Exchange")
 
 
+def test_modelling_table_is_dealt_by_rows(spark, tmp_path, monkeypatch):
+    """Every query over the modelling table gets the instalments and the contracts' months in parts that follow the rows."""
+    from creditloom.queries import gold
+
+    spark.range(20).selectExpr(
+        "id AS c_custkey", "CONCAT('c', id) AS c_name", "CAST(id % 5 AS INT) AS c_nationkey", "CAST(id AS DOUBLE) AS c_acctbal", "'BUILDING' AS c_mktsegment"
+    ).write.parquet(f"{tmp_path}/customer.parquet")
+    orders = spark.range(1, 201).selectExpr(
+        "id AS o_orderkey", "id % 20 AS o_custkey", "'F' AS o_orderstatus", "CAST(id AS DOUBLE) AS o_totalprice",
+        "TIMESTAMP '2001-01-01' AS o_orderdate", "'1-URGENT' AS o_orderpriority",
+    )
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    orders.selectExpr(
+        "o_orderkey AS l_orderkey", "1L AS l_partkey", "explode(array(1, 2, 3)) AS l_linenumber", "1e0 AS l_extendedprice", "0e0 AS l_discount",
+        "'R' AS l_returnflag", "'F' AS l_linestatus", "add_months(o_orderdate, l_linenumber) AS l_shipdate",
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(20).selectExpr(
+        "id AS event_id", "TIMESTAMP '2001-01-02' AS ts", "id AS user_id", "'click' AS event_type", "1e0 AS value", "'' AS props"
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(fx, "ROWS_A_PART", 10)
+    table = gold.abt(spark, str(tmp_path))
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    dealt = re.findall(r"Exchange hashpartitioning\((\w+)#.*?, (\d+)\), REPARTITION_BY_NUM", plan)
+    assert sorted(dealt) == [("SK_ID_BUREAU", "60"), ("l_orderkey", "60"), ("o_orderkey", "60")]
+    rows = table.agg(F.count("*"), F.sum("INST_CNT_PARCELAS"), F.sum("BB_CNT_MONTHS")).first()
+    assert tuple(rows) == (20, 600, 594)  # the months of orders 53, 106 and 159 are one and the same
+
+
 def test_cuts_from_keys_need_no_read_of_the_table(spark, tmp_path):
     """The split and the folds are those of the whole table, which is read once, to write it."""
     from creditloom.operators.sampling import k_fold
