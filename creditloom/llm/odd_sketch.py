@@ -345,7 +345,7 @@ def _compared(table: pa.Table, percent: int, floor: int) -> pa.Table:
 def _apart(bitmaps: np.ndarray, one: np.ndarray, other: np.ndarray) -> np.ndarray:
     """Population counts of the XOR of bitmaps, pair by pair."""
     total = np.zeros(len(one), dtype=np.int64)
-    for word in bitmaps.T:
+    for word in bitmaps.view(np.uint64).T:  # numpy counts the bits of a negative number's absolute value
         total += np.bitwise_count(word[one] ^ word[other])
     return total
 

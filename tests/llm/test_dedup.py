@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -176,6 +177,30 @@ def test_near_duplicates(make, odd, monkeypatch, few, members):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_large_bucket_of_copies(make, monkeypatch):
+    """A bucket compared in blocks: copies with up to a tenth of their words changed, most further from each other than from the first."""
+    monkeypatch.setattr(odd_sketch, "FEW", 0)
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(9000)]
+    base = rng.choices(vocabulary, k=390)
+    rows = [(0, " ".join(base))]
+    for i in range(1, 260):
+        copy = list(base)
+        for at in rng.sample(range(390), int(39 * rng.random())):
+            copy[at] = rng.choice(vocabulary)
+        rows.append((i, " ".join(copy)))
+    rng.shuffle(rows)
+    got = near_duplicates(make(rows)).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == near_brute(rows)
+
+
+def test_differing_bits_of_signed_words():
+    words = np.random.default_rng(1).integers(-(1 << 63), 1 << 63, (40, 16), dtype=np.int64)
+    one, other = np.arange(40), np.roll(np.arange(40), 1)
+    wanted = [sum(bin((int(a) ^ int(b)) & (1 << 64) - 1).count("1") for a, b in zip(words[x], words[y])) for x, y in zip(one, other)]
+    assert odd_sketch._apart(words, one, other).tolist() == wanted
+
+
 def test_near_duplicates_of_nothing(make):
     assert near_duplicates(make([])).count() == 0
 
