@@ -39,6 +39,15 @@ def test_models_learn(spark, table, spec):
     assert top in ("x", "c")
 
 
+def test_gbt_scores_fits_every_round(spark, monkeypatch):
+    from creditloom.queries import models as registered
+
+    fitted = []
+    monkeypatch.setattr(registered, "scored_by", lambda spec, *_: fitted.append(spec))
+    registered.gbt_scores(spark, "anywhere")
+    assert fitted == [models.BOOSTED] and fitted[0].params["maxIter"] == 300 and fitted[0].params["maxDepth"] == 5
+
+
 def test_settings_share_one_encoding(spark, table, monkeypatch):
     specs = [SPECS[0], SPECS[2], models.ModelSpec("lr_5", "lr", {"maxIter": 20}, 5.0)]
     train, test = table.filter("SK_ID_CURR % 4 > 0"), table.filter("SK_ID_CURR % 4 = 0")
